@@ -1,0 +1,17 @@
+"""Join strategy helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def checked_broadcast(small: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast ``small`` only if it provably has at most ``max_rows`` rows.
+
+    The check counts at most ``max_rows + 1`` rows. Beyond the bound the
+    frame is returned unhinted and Spark plans a shuffle join (AQE may still
+    demote it at run time, and splits skewed partitions).
+    """
+    n = small.limit(max_rows + 1).count()
+    return F.broadcast(small) if n <= max_rows else small
