@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardwatch.config import Thresholds
-from wardwatch.operators import marts, staging
+from wardwatch.operators import marts, monitoring, quality, staging
 from wardwatch.schemas import STAGING_COLUMNS
 from wardwatch.session import configure
 from wardwatch.sources import fixtures
@@ -126,4 +126,60 @@ def q_silent(spark, sf_dir):
     return marts.silent_monitors(q_patient_summary(spark, sf_dir), SILENT_MINUTES)
 
 
+# ---------------------------------------------------------------- step 4: quality, monitoring
+def mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stg = staged(spark, sf_dir)
+    return marts.health_summary(stg, marts.max_reading_time(stg))
+
+
+def _dq(spark, sf_dir, tests: tuple[str, ...]):
+    checks = [c for c in quality.default_checks() if c.test in tests]
+    return quality.report(raw(spark, sf_dir), mart(spark, sf_dir), checks)
+
+
+@register("dq_not_null")
+def q_dq_not_null(spark, sf_dir):
+    return _dq(spark, sf_dir, ("not_null",))
+
+
+@register("dq_accepted_values")
+def q_dq_accepted(spark, sf_dir):
+    return _dq(spark, sf_dir, ("accepted_values",))
+
+
+@register("dq_unique")
+def q_dq_unique(spark, sf_dir):
+    return _dq(spark, sf_dir, ("unique",))
+
+
+@register("dq_range")
+def q_dq_range(spark, sf_dir):
+    return _dq(spark, sf_dir, ("range",))
+
+
+@register("dq_report")
+def q_dq_report(spark, sf_dir):
+    return _dq(spark, sf_dir, quality.TESTS)
+
+
+@register("mon_load")
+def q_mon_load(spark, sf_dir):
+    return monitoring.load_status(raw(spark, sf_dir))
+
+
+@register("mon_lag")
+def q_mon_lag(spark, sf_dir):
+    return monitoring.ingest_lag(raw(spark, sf_dir), monitoring.LAST_INGEST)
+
+
+@register("mon_latest20")
+def q_mon_latest20(spark, sf_dir):
+    return monitoring.latest_readings(raw(spark, sf_dir), 20)
+
+
+@register("mon_abnormal")
+def q_mon_abnormal(spark, sf_dir):
+    return monitoring.abnormal_readings(raw(spark, sf_dir))
+
+
 assert len(STAGING_COLUMNS) == 25
