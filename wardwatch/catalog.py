@@ -13,7 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardwatch.config import Thresholds
-from wardwatch.operators import marts, monitoring, quality, staging
+from wardwatch.functions.time import ntz_literal
+from wardwatch.operators import enrich, marts, monitoring, quality, staging
+from wardwatch.schemas import MESSAGE_COLUMNS
+from wardwatch.session import new_work_dir
+from wardwatch.sources import messages, sinks
 from wardwatch.schemas import STAGING_COLUMNS
 from wardwatch.session import configure
 from wardwatch.sources import fixtures
@@ -26,6 +30,8 @@ REPLAY_AS_OF = "2024-01-30 22:30:00"
 # non-default thresholds exercised by ``stg_flags_custom``
 CUSTOM_THRESHOLDS = Thresholds(hr_high=110, hr_low=50, spo2_critical=88, spo2_low=92, bp_crisis=170)
 SILENT_MINUTES = 60
+# one load stamp for a whole batch (``ingest_stamp``)
+BATCH_STAMP = "2024-02-01 00:00:00"
 
 
 def register(key: str):
@@ -126,6 +132,62 @@ def q_silent(spark, sf_dir):
     return marts.silent_monitors(q_patient_summary(spark, sf_dir), SILENT_MINUTES)
 
 
+# ---------------------------------------------------------------- step 3: ingest
+def decoded(spark: SparkSession, sf_dir: str, stamp=None) -> DataFrame:
+    envs = fixtures.envelopes(raw(spark, sf_dir), faults=True)
+    return messages.decode(envs, stamp=F.col("timestamp") if stamp is None else stamp)
+
+
+@register("ingest_decode")
+def q_ingest_decode(spark, sf_dir):
+    return messages.loaded(decoded(spark, sf_dir)).select(*MESSAGE_COLUMNS, "kafka_offset")
+
+
+@register("ingest_explode_array")
+def q_ingest_explode(spark, sf_dir):
+    envs = fixtures.array_envelopes(raw(spark, sf_dir))
+    return messages.loaded(messages.decode(envs, stamp=F.col("timestamp"))).select(*MESSAGE_COLUMNS, "kafka_offset")
+
+
+@register("ingest_utf8")
+def q_ingest_utf8(spark, sf_dir):
+    envs = fixtures.binary_envelopes(raw(spark, sf_dir))
+    dec = messages.loaded(messages.decode(envs, stamp=F.col("timestamp")))
+    return dec.select("kafka_offset", "patient_name",
+                      F.col("patient_name").contains("\ufffd").alias("name_repaired"))
+
+
+@register("ingest_quarantine")
+def q_ingest_quarantine(spark, sf_dir):
+    return messages.quarantined(decoded(spark, sf_dir)).select(
+        "reason", "ingested_at", "kafka_partition", "kafka_offset")
+
+
+@register("ingest_stamp")
+def q_ingest_stamp(spark, sf_dir):
+    dec = decoded(spark, sf_dir, stamp=ntz_literal(BATCH_STAMP))
+    return messages.loaded(dec).select("patient_id", "ingested_at", "kafka_partition", "kafka_offset")
+
+
+@register("ingest_counts")
+def q_ingest_counts(spark, sf_dir):
+    return messages.counts(decoded(spark, sf_dir))
+
+
+@register("enrich_registry")
+def q_enrich(spark, sf_dir):
+    configure(spark)
+    events = read_table(spark, sf_dir, "events")
+    return enrich.enrich(fixtures.monitor_readings(events), fixtures.registry(events))
+
+
+@register("sink_keyed_json")
+def q_sink(spark, sf_dir):
+    path = new_work_dir(spark, "keyed-json")
+    sinks.write_keyed_json(raw(spark, sf_dir).where(F.col("patient_id").isNotNull()), path)
+    return sinks.read_keyed_json(spark, path)
+
+
 # ---------------------------------------------------------------- step 4: quality, monitoring
 def mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     stg = staged(spark, sf_dir)

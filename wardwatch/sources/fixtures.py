@@ -160,3 +160,79 @@ def monitor_readings(events: DataFrame) -> DataFrame:
         F.col("ts").alias("reading_timestamp"),
         E.cast("long").alias("kafka_offset"),
     )
+
+
+# --- fixed values: planted message faults, by kafka_offset % modulus == remainder ---
+TRUNCATED_JSON = (997, 1)       # value cut to its first 40 characters
+FRACTIONAL_AGE = (991, 2)       # "age":98.6 in an integer field
+QUOTED_HEART_RATE = (983, 3)    # "heart_rate_bpm":"<n>" (a quoted number loads)
+MISSING_RESP_RATE = (977, 4)    # respiratory_rate left out
+LONG_PATIENT_ID = (971, 5)      # a 21-character patient id
+BAD_UTF8_NAME = (967, 6)        # a 0xFF byte inside patient_name (binary values only)
+TRUNCATE_AT = 40
+# --- end of fixed values ---
+
+
+def _hit(rule, off: Column) -> Column:
+    return off % rule[0] == rule[1]
+
+
+def envelopes(raw: DataFrame, faults: bool = True) -> DataFrame:
+    """Raw readings -> topic records ``(key, value, partition, offset, timestamp)``.
+
+    The record timestamp is the reading's load time, so decoding reproduces
+    the raw table. With ``faults`` the planted faults above are applied.
+    """
+    from wardwatch.sources.messages import encode
+
+    off = F.col("kafka_offset")
+    rows = raw
+    if faults:
+        rows = raw.withColumn(
+            "patient_id",
+            F.when(_hit(LONG_PATIENT_ID, off), F.concat(F.lit("PAT-"), F.lpad(off.cast("string"), 17, "0")))
+            .otherwise(F.col("patient_id")),
+        ).withColumn(
+            "respiratory_rate", F.when(~_hit(MISSING_RESP_RATE, off), F.col("respiratory_rate")))
+    rec = encode(rows, keep=("kafka_partition", "kafka_offset", "ingested_at"))
+    value = F.col("value")
+    if faults:
+        value = (F.when(_hit(TRUNCATED_JSON, off), F.substring(value, 1, TRUNCATE_AT))
+                 .when(_hit(FRACTIONAL_AGE, off), F.regexp_replace(value, r'"age":-?[0-9]+', '"age":98.6'))
+                 .when(_hit(QUOTED_HEART_RATE, off),
+                       F.regexp_replace(value, r'"heart_rate_bpm":(-?[0-9]+)', '"heart_rate_bpm":"$1"'))
+                 .otherwise(value))
+    return rec.select(
+        "key", value.alias("value"),
+        F.col("kafka_partition").alias("partition"),
+        F.col("kafka_offset").alias("offset"),
+        F.col("ingested_at").alias("timestamp"),
+    )
+
+
+def array_envelopes(raw: DataFrame, group_size: int = 2, single_every: int = 3) -> DataFrame:
+    """Records that carry an outer JSON array of ``group_size`` readings.
+
+    Readings are grouped by ``offset DIV group_size``; every ``single_every``-th
+    group is sent as bare objects instead. An array record's offset is the
+    smallest offset in it. Grouping is a shuffle of bounded groups.
+    """
+    rec = envelopes(raw, faults=False)
+    grp = F.floor(F.col("offset") / group_size)
+    single = rec.where(grp % single_every == 0)
+    arrays = (rec.where(grp % single_every != 0)
+              .groupBy(grp.alias("_g"))
+              .agg(F.concat(F.lit("["), F.array_join(F.collect_list("value"), ","), F.lit("]")).alias("value"),
+                   F.min("offset").alias("offset"), F.min("partition").alias("partition"),
+                   F.min("timestamp").alias("timestamp"), F.min("key").alias("key")))
+    return single.unionByName(arrays.drop("_g"))
+
+
+def binary_envelopes(raw: DataFrame) -> DataFrame:
+    """Records with binary values; planted rows carry an invalid UTF-8 byte in the name."""
+    rec = envelopes(raw, faults=False)
+    marked = F.regexp_replace("value", '"patient_name":"', '"patient_name":"\u0001')
+    parts = F.split(marked, "\u0001")
+    bad = F.concat(F.encode(parts.getItem(0), "UTF-8"), F.unhex(F.lit("FF")), F.encode(parts.getItem(1), "UTF-8"))
+    value = F.when(_hit(BAD_UTF8_NAME, F.col("offset")), bad).otherwise(F.encode("value", "UTF-8"))
+    return rec.select("key", value.alias("value"), "partition", "offset", "timestamp")
