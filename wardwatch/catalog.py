@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from wardwatch.config import Thresholds
 from wardwatch.functions.time import ntz_literal
-from wardwatch.operators import enrich, marts, monitoring, quality, staging
+from wardwatch.operators import enrich, marts, monitoring, quality, staging, upsert
 from wardwatch.schemas import MESSAGE_COLUMNS
 from wardwatch.session import new_work_dir
 from wardwatch.sources import messages, sinks
@@ -30,6 +30,8 @@ REPLAY_AS_OF = "2024-01-30 22:30:00"
 # non-default thresholds exercised by ``stg_flags_custom``
 CUSTOM_THRESHOLDS = Thresholds(hr_high=110, hr_low=50, spo2_critical=88, spo2_low=92, bp_crisis=170)
 SILENT_MINUTES = 60
+# upsert demo: readings up to this moment form the first batch, later ones the second
+UPSERT_SPLIT = "2024-01-15 00:00:00"
 # one load stamp for a whole batch (``ingest_stamp``)
 BATCH_STAMP = "2024-02-01 00:00:00"
 
@@ -121,6 +123,36 @@ def q_lookback(spark, sf_dir):
     return marts.patient_summary(marts.latest_per_patient(recent), as_of)
 
 
+def _summary_batches(spark, sf_dir):
+    stg = staged(spark, sf_dir)
+    as_of = marts.max_reading_time(stg)
+    split = ntz_literal(UPSERT_SPLIT)
+    early = marts.patient_summary(marts.latest_per_patient(stg.where(F.col("reading_timestamp") <= split)), as_of)
+    late = marts.patient_summary(marts.latest_per_patient(stg.where(F.col("reading_timestamp") > split)), as_of)
+    return early, late
+
+
+@register("mart_upsert")
+def q_mart_upsert(spark, sf_dir):
+    """Batch 1 (early readings), batch 2 (later ones), then batch 1 again out of order."""
+    early, late = _summary_batches(spark, sf_dir)
+    table = upsert.VersionedTable(spark, new_work_dir(spark, "mart-upsert"))
+    table.upsert(early, version=1)
+    table.upsert(late, version=2)
+    table.upsert(early, version=3)      # an older redelivery must not replace newer rows
+    return table.read()
+
+
+@register("mart_schema_sync")
+def q_mart_schema_sync(spark, sf_dir):
+    """The second batch adds ``hospital_id`` and no longer has ``data_source``."""
+    early, late = _summary_batches(spark, sf_dir)
+    table = upsert.VersionedTable(spark, new_work_dir(spark, "mart-sync"))
+    table.upsert(early.withColumn("data_source", F.lit("batch-1")), version=1)
+    table.upsert(late.withColumn("hospital_id", F.lit("HOSP-001")), version=2, sync_schema=True)
+    return table.read()
+
+
 @register("stg_flags_custom")
 def q_flags_custom(spark, sf_dir):
     return staging.filter_valid(raw(spark, sf_dir)).select(
