@@ -88,7 +88,7 @@ if __name__ == "__main__":
     from __spark_entry__ import queries
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     keys = sys.argv[2:] or list(queries())
-    spark = build_session("local[8]", shuffle_partitions=8)
+    spark = build_session("local[8]", shuffle_partitions=8, extra={"spark.driver.memory": "8g"})
     con = duck(sf)
     bad = 0
     for k in keys:

@@ -18,6 +18,8 @@ from wardwatch.operators import enrich, marts, monitoring, quality, staging, ups
 from wardwatch.schemas import MESSAGE_COLUMNS
 from wardwatch.session import new_work_dir
 from wardwatch.sources import messages, sinks
+from wardwatch.streaming import jobs
+from wardwatch.streaming.landing import land, read_landing
 from wardwatch.schemas import STAGING_COLUMNS
 from wardwatch.session import configure
 from wardwatch.sources import fixtures
@@ -32,6 +34,14 @@ CUSTOM_THRESHOLDS = Thresholds(hr_high=110, hr_low=50, spo2_critical=88, spo2_lo
 SILENT_MINUTES = 60
 # upsert demo: readings up to this moment form the first batch, later ones the second
 UPSERT_SPLIT = "2024-01-15 00:00:00"
+# streams: records land in this many time-ordered appends of this many files;
+# a micro-batch takes one append
+STREAM_CHUNKS = 4
+FILES_PER_CHUNK = 2
+# redelivered records (``stream_dedup``): offsets with this remainder are sent twice
+REDELIVER_MODULUS = 7
+# late delivery (``stream_late``): the second and third appends swap places
+LATE_ORDER = [0, 2, 1, 3]
 # one load stamp for a whole batch (``ingest_stamp``)
 BATCH_STAMP = "2024-02-01 00:00:00"
 
@@ -220,6 +230,65 @@ def q_sink(spark, sf_dir):
     return sinks.read_keyed_json(spark, path)
 
 
+# ---------------------------------------------------------------- step 6: streaming
+def _landed(spark, sf_dir, name, order=None, redeliver_mod=None):
+    """Land the fixture records in a fresh shared folder; return it and a stream over it."""
+    work = new_work_dir(spark, name)
+    recs = fixtures.envelopes(raw(spark, sf_dir), faults=True)
+    again = recs.where(F.col("offset") % redeliver_mod == 0) if redeliver_mod else None
+    land(recs, f"{work}/landing", STREAM_CHUNKS, FILES_PER_CHUNK, order, redeliver=again)
+    return work, read_landing(spark, f"{work}/landing", FILES_PER_CHUNK)
+
+
+SOURCE_STAMP = "timestamp"     # streams stamp rows with the record time -> comparable with batch
+
+
+@register("stream_ingest")
+def q_stream_ingest(spark, sf_dir):
+    work, src = _landed(spark, sf_dir, "stream-ingest")
+    jobs.run_to_end(jobs.start_ingest(src, f"{work}/raw", f"{work}/quarantine", f"{work}/checkpoint",
+                                      stamp=F.col(SOURCE_STAMP)))
+    return jobs.read_raw(spark, f"{work}/raw")
+
+
+@register("stream_staging")
+def q_stream_staging(spark, sf_dir):
+    work, src = _landed(spark, sf_dir, "stream-staging")
+    jobs.run_to_end(jobs.start_staging(src, f"{work}/stg", f"{work}/checkpoint", stamp=F.col(SOURCE_STAMP)))
+    return spark.read.parquet(f"{work}/stg")
+
+
+@register("stream_ward_hourly")
+def q_stream_ward_hourly(spark, sf_dir):
+    work, src = _landed(spark, sf_dir, "stream-ward-hourly")
+    jobs.run_to_end(jobs.start_ward_hourly(src, f"{work}/ward_hourly", f"{work}/checkpoint",
+                                           stamp=F.col(SOURCE_STAMP)))
+    return spark.read.parquet(f"{work}/ward_hourly")
+
+
+@register("stream_latest")
+def q_stream_latest(spark, sf_dir):
+    work, src = _landed(spark, sf_dir, "stream-latest")
+    table = upsert.VersionedTable(spark, f"{work}/mart")
+    jobs.run_to_end(jobs.start_latest(src, table, f"{work}/checkpoint", stamp=F.col(SOURCE_STAMP)))
+    return jobs.summary_from_latest(table.read())
+
+
+@register("stream_dedup")
+def q_stream_dedup(spark, sf_dir):
+    work, src = _landed(spark, sf_dir, "stream-dedup", redeliver_mod=REDELIVER_MODULUS)
+    jobs.run_to_end(jobs.start_dedup(src, f"{work}/dedup", f"{work}/checkpoint", stamp=F.col(SOURCE_STAMP)))
+    return spark.read.parquet(f"{work}/dedup")
+
+
+@register("stream_late")
+def q_stream_late(spark, sf_dir):
+    work, src = _landed(spark, sf_dir, "stream-late", order=LATE_ORDER)
+    jobs.run_to_end(jobs.start_late(spark, src, f"{work}/late", f"{work}/progress", f"{work}/checkpoint",
+                                    stamp=F.col(SOURCE_STAMP)))
+    return spark.read.parquet(f"{work}/late")
+
+
 # ---------------------------------------------------------------- step 4: quality, monitoring
 def mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     stg = staged(spark, sf_dir)

@@ -59,11 +59,13 @@ def max_reading_time(staged: DataFrame) -> _dt.datetime | None:
     return staged.agg(F.max("reading_timestamp").alias("m")).first()["m"]
 
 
-def latest_per_patient(staged: DataFrame, tie_break: str | None = "kafka_offset") -> DataFrame:
+def latest_per_patient(staged: DataFrame, tie_break: str | None = "kafka_offset",
+                       keep: tuple[str, ...] = ()) -> DataFrame:
     """The newest reading of each patient (``ROW_NUMBER() = 1``).
 
     Ties on the reading time are broken by ``tie_break`` descending (the
     source offset: the later delivery wins) so the result is deterministic.
+    ``keep`` adds columns to the 18 output columns.
     """
     order = [F.col("reading_timestamp").desc()]
     if tie_break and tie_break in staged.columns:
@@ -71,7 +73,7 @@ def latest_per_patient(staged: DataFrame, tie_break: str | None = "kafka_offset"
     w = Window.partitionBy("patient_id").orderBy(*order)
     return (staged.withColumn("_rn", F.row_number().over(w))
             .where(F.col("_rn") == 1)
-            .select(*LATEST_COLUMNS))
+            .select(*LATEST_COLUMNS, *keep))
 
 
 def patient_summary(latest: DataFrame, as_of=None, th: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:

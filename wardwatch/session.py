@@ -22,6 +22,11 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # staging is one wide projection of many aliased CASE expressions over
+    # decoded JSON; deriving constraints through it costs seconds per plan
+    # (every micro-batch re-plans). Joins here filter their keys explicitly,
+    # so the inferred IS NOT NULL filters are not needed.
+    "spark.sql.constraintPropagation.enabled": "false",
 }
 
 
