@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from wardwatch.config import DEFAULT_BOUNDS, DEFAULT_THRESHOLDS, Bounds, Thresholds
 from wardwatch.functions import clinical as C
+from wardwatch.functions.cache import per_context
 from wardwatch.functions.time import boundaries_between, trunc_ntz
 
 
@@ -84,7 +85,12 @@ def metadata_columns() -> list[Column]:
 
 def staged_columns(th: Thresholds = DEFAULT_THRESHOLDS, bounds: Bounds = DEFAULT_BOUNDS) -> list[Column]:
     """The 25 staging columns, in order, as expressions over the raw relation."""
-    return [*cleaned_columns(bounds), *flag_columns(th), *time_columns(), *metadata_columns()]
+    return list(_staged_columns(th, bounds))
+
+
+@per_context
+def _staged_columns(th: Thresholds, bounds: Bounds) -> tuple[Column, ...]:
+    return (*cleaned_columns(bounds), *flag_columns(th), *time_columns(), *metadata_columns())
 
 
 def stage(raw: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS, bounds: Bounds = DEFAULT_BOUNDS,
@@ -94,4 +100,9 @@ def stage(raw: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS, bounds: Bounds =
     ``carry`` passes raw columns through unchanged, e.g. ``kafka_offset`` as
     the tie-break of the latest-reading window.
     """
-    return raw.where(keep_reading()).select(*staged_columns(th, bounds), *[F.col(c) for c in carry])
+    return raw.where(_keep()).select(*staged_columns(th, bounds), *[F.col(c) for c in carry])
+
+
+@per_context
+def _keep() -> Column:
+    return keep_reading()

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardwatch.config import CONDITIONS, DATA_SOURCE, HOSPITAL_ID, WARDS
+from wardwatch.functions.cache import per_context
 
 # --- fixed values: sentinel moduli and vital formulas -------------------------
 # (modulus, replacement); a NULL replacement means the field is missing
@@ -103,12 +104,17 @@ def vital_base(name: str, user: Column | None = None, event: Column | None = Non
 
 def raw_readings(events: DataFrame) -> DataFrame:
     """The raw readings table (19 columns) for every event."""
+    return events.select(*_raw_columns())
+
+
+@per_context
+def _raw_columns() -> tuple[Column, ...]:
     def vital(name, sentinels):
         return _sentinel(vital_base(name), sentinels).cast("int")
 
     E, U = _e(), _u()
     tenths = _sentinel(vital_base("temperature_tenths"), TEMP_TENTHS_SENTINELS)
-    return events.select(
+    return (
         _sentinel(F.concat(F.lit(" "), patient_code(), F.lit(" ")), PATIENT_ID_SENTINELS)
         .cast("string").alias("patient_id"),
         F.concat(F.lit("Patient "), U.cast("string")).alias("patient_name"),
