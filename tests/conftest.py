@@ -1,0 +1,22 @@
+import os
+import sys
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from wardwatch.session import build_session
+    s = build_session("local[4]", "wardwatch-tests", shuffle_partitions=4,
+                      extra={"spark.driver.memory": "6g"})
+    yield s
+    s.stop()
+
+
+@pytest.fixture()
+def workdir(spark):
+    from wardwatch.session import new_work_dir
+    return new_work_dir(spark, "test")

@@ -157,7 +157,7 @@ def _staging_names() -> list[str]:
     return list(STAGING_COLUMNS)
 
 
-def report(raw: DataFrame, mart: DataFrame, checks: Iterable[Check] | None = None,
+def report(raw: DataFrame, mart: DataFrame | None, checks: Iterable[Check] | None = None,
            th: Thresholds = DEFAULT_THRESHOLDS, bounds: Bounds = DEFAULT_BOUNDS) -> DataFrame:
     """The full quality report: one fused pass over raw, one over the mart."""
     checks = list(default_checks(bounds) if checks is None else checks)
@@ -165,7 +165,7 @@ def report(raw: DataFrame, mart: DataFrame, checks: Iterable[Check] | None = Non
     if any(c.relation in (SOURCE, STAGING) for c in checks):
         parts.append(source_and_staging(raw, checks, th, bounds))
     mart_checks = [c for c in checks if c.relation == MART]
-    if mart_checks:
+    if mart_checks and mart is not None:
         parts.append(evaluate(mart, mart_checks))
     out = parts[0]
     for p in parts[1:]:

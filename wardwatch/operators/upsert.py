@@ -16,6 +16,7 @@ overwritten while it is read.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -84,20 +85,36 @@ class VersionedTable:
             raise FileNotFoundError(f"no committed version below {self.base}")
         return self.spark.read.parquet(self._data(v))
 
-    def commit(self, df: DataFrame, version: int) -> None:
-        """Write ``df`` as ``version`` (overwriting a partial earlier attempt), then record it."""
+    def write_version(self, df: DataFrame, version: int) -> DataFrame:
+        """Write ``df`` as uncommitted ``version`` (replacing a partial earlier attempt)."""
         df.write.mode("overwrite").parquet(self._data(version))
+        return self.spark.read.parquet(self._data(version))
+
+    def commit(self, df: DataFrame, version: int) -> None:
+        """Write ``df`` as ``version``, then record it."""
+        self.write_version(df, version)
+        self.mark_committed(version)
+
+    def mark_committed(self, version: int) -> None:
         marker = self.spark.createDataFrame(
             [(version, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))],
             "version long, committed_at timestamp_ntz")
         marker.write.mode("overwrite").parquet(f"{self.base}/commits/v={version:012d}")
 
     def upsert(self, updates: DataFrame, version: int, key="patient_id",
-               order: tuple[str, ...] = ("last_reading_at",), sync_schema: bool = False) -> None:
-        """Merge ``updates`` into the newest version below ``version`` and commit ``version``."""
+               order: tuple[str, ...] = ("last_reading_at",), sync_schema: bool = False,
+               audit: Callable[[DataFrame], object] | None = None) -> None:
+        """Merge ``updates`` into the newest version below ``version`` and commit ``version``.
+
+        ``audit`` runs on the written (not yet committed) version and may raise
+        to stop the publish: readers keep seeing the previous version.
+        """
         prev = self.latest(before=version)
         if prev is None:
             merged = updates
         else:
             merged = upsert_by_key(self.read(prev), updates, key, order, sync_schema)
-        self.commit(merged, version)
+        written = self.write_version(merged, version)
+        if audit is not None:
+            audit(written)
+        self.mark_committed(version)

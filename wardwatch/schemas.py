@@ -32,8 +32,10 @@ AUDIT_FIELDS: tuple[tuple[str, T.DataType], ...] = (
     ("kafka_offset", T.LongType()),
 )
 
+# all nullable: a NULL patient id is kept out of the raw table by the loader
+# (quarantine), not by the schema, so that staging can be fed any raw rows
 RAW_SCHEMA = T.StructType(
-    [T.StructField(n, t, n != "patient_id") for n, t in MESSAGE_FIELDS]
+    [T.StructField(n, t, True) for n, t in MESSAGE_FIELDS]
     + [T.StructField(n, t, True) for n, t in AUDIT_FIELDS]
 )
 RAW_COLUMNS = tuple(RAW_SCHEMA.fieldNames())

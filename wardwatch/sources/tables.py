@@ -8,3 +8,29 @@ from pyspark.sql import DataFrame, SparkSession
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """``{sf_dir}/{name}.parquet`` as a DataFrame (schema from the file footer)."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def _ddl(schema) -> str:
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
+
+
+# database per layer, as the original keeps raw, staging and marts apart
+LAYERS = ("healthcare_raw", "staging", "marts")
+
+
+def create_layers(spark: SparkSession, location: str) -> None:
+    """Idempotent setup: one database per layer and the raw table (parquet).
+
+    ``location`` is a shared folder; running this twice changes nothing.
+    The raw table's NOT NULL patient id is enforced by the loader
+    (quarantine), as a parquet table does not enforce it.
+    """
+    from wardwatch.schemas import QUARANTINE_SCHEMA, RAW_SCHEMA
+    base = location.rstrip("/")
+    for db in LAYERS:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{base}/{db}.db'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS healthcare_raw.raw_patient_vitals ({_ddl(RAW_SCHEMA)}) "
+              f"USING parquet LOCATION '{base}/healthcare_raw.db/raw_patient_vitals'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS healthcare_raw.raw_patient_vitals_quarantine "
+              f"({_ddl(QUARANTINE_SCHEMA)}) USING parquet "
+              f"LOCATION '{base}/healthcare_raw.db/raw_patient_vitals_quarantine'")

@@ -49,18 +49,22 @@ def staged_stream(records: DataFrame, stamp: Column | None = None,
 
 
 # ---------------------------------------------------------------- ingest with quarantine
-def ingest_batch_writer(raw_path: str, quarantine_path: str,
-                        stamp: Column | None = None) -> Callable[[DataFrame, int], None]:
+def ingest_batch_writer(raw_path: str, quarantine_path: str, stamp: Column | None = None,
+                        log_path: str | None = None) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` body: decode once, append good rows and bad records.
 
     Output goes to ``batch_id=<n>`` folders written in overwrite mode, so a
     replayed batch replaces its own earlier attempt (exactly-once result).
+    With ``log_path`` the batch's load counts (received / loaded / set
+    aside) are kept as a one-row table per batch.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         dec = messages.decode(batch, stamp=stamp).persist()
         try:
             messages.loaded(dec).write.mode("overwrite").parquet(f"{raw_path}/batch_id={batch_id}")
             messages.quarantined(dec).write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={batch_id}")
+            if log_path:
+                messages.counts(dec).write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
         finally:
             dec.unpersist()
     return write
@@ -68,8 +72,14 @@ def ingest_batch_writer(raw_path: str, quarantine_path: str,
 
 def start_ingest(records: DataFrame, raw_path: str, quarantine_path: str, checkpoint: str,
                  stamp: Column | None = None, available_now: bool = True,
-                 processing_time: str = "30 seconds") -> StreamingQuery:
-    w = records.writeStream.foreachBatch(ingest_batch_writer(raw_path, quarantine_path, stamp))
+                 processing_time: str = "30 seconds", log_path: str | None = None) -> StreamingQuery:
+    """Load records into the raw table; drain and stop (``availableNow``) or run on a timer.
+
+    A timer trigger with the source's ``maxOffsetsPerTrigger`` /
+    ``maxFilesPerTrigger`` replaces the size-or-timeout batching of a
+    hand-written consumer loop.
+    """
+    w = records.writeStream.foreachBatch(ingest_batch_writer(raw_path, quarantine_path, stamp, log_path))
     w = w.option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
     return w.start()
