@@ -49,3 +49,15 @@ def test_create_layers_twice(spark, workdir):
     assert cols[0] == "patient_id" and cols[-1] == "kafka_offset"
     raw_rows(spark, [{}]).write.insertInto("healthcare_raw.raw_patient_vitals")
     assert spark.table("healthcare_raw.raw_patient_vitals").where(F.col("patient_id") == "PAT-0001").count() == 1
+
+
+def test_time_ranges_prune_reading_days(spark, workdir):
+    from wardwatch.operators import marts, staging
+    from wardwatch.sources.tables import read_raw, write_raw
+    days = [T0 - dt.timedelta(days=d) for d in range(5)]
+    write_raw(raw_rows(spark, [{"reading_timestamp": t} for t in days]), f"{workdir}/raw")
+    stg = staging.stage(read_raw(spark, f"{workdir}/raw"), carry=("kafka_offset",))
+    recent = marts.lookback(stg, T0, hours=24)
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(reading_day" in plan and ">= 2024-01-29" in plan
+    assert recent.count() == 2

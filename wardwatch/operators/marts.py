@@ -19,6 +19,7 @@ from wardwatch.functions import clinical as C
 from wardwatch.functions.rounding import half_up_div, rounded_mean
 from wardwatch.functions.time import boundaries_between, ntz_literal, trunc_ntz
 from wardwatch.plans.joins import checked_broadcast
+from wardwatch.sources.tables import PARTITION_COLUMN
 
 LATEST_COLUMNS = (
     "patient_id", "patient_name", "age", "ward", "patient_condition", "doctor_id",
@@ -54,6 +55,28 @@ def as_of_column(as_of: str | _dt.datetime | Column | None) -> Column:
     return ntz_literal(as_of)
 
 
+def in_time_range(df: DataFrame, start: Column | None, end: Column | None,
+                  end_inclusive: bool = False) -> DataFrame:
+    """Rows with ``start <= reading_timestamp < end`` (``<= end`` if inclusive).
+
+    On a raw table laid out by reading day the same bounds are also applied
+    to ``reading_day``, which Spark turns into partition filters.
+    """
+    ts = F.col("reading_timestamp")
+    cond = F.lit(True)
+    if start is not None:
+        cond = cond & (ts >= start)
+    if end is not None:
+        cond = cond & ((ts <= end) if end_inclusive else (ts < end))
+    if PARTITION_COLUMN in df.columns:
+        day = F.col(PARTITION_COLUMN)
+        if start is not None:
+            cond = cond & (day >= F.to_date(start))
+        if end is not None:
+            cond = cond & (day <= F.to_date(end))
+    return df.where(cond)
+
+
 def max_reading_time(staged: DataFrame) -> _dt.datetime | None:
     """The newest reading time (one scalar; partial max per partition)."""
     return staged.agg(F.max("reading_timestamp").alias("m")).first()["m"]
@@ -157,8 +180,7 @@ def ward_context(staged: DataFrame, hour_start: Column) -> DataFrame:
     table's scan can skip row groups; only four figures survive pruning.
     """
     hour_end = hour_start + F.expr("INTERVAL 1 HOUR")
-    one_hour = staged.where((F.col("reading_timestamp") >= hour_start)
-                            & (F.col("reading_timestamp") < hour_end))
+    one_hour = in_time_range(staged, hour_start, hour_end)
     return ward_hourly(one_hour).select(
         "ward",
         F.col("total_readings").alias("ward_readings_this_hour"),
@@ -178,7 +200,7 @@ def health_summary(staged: DataFrame, as_of=None, th: Thresholds = DEFAULT_THRES
     """
     now = as_of_column(as_of)
     if cut_at_as_of:
-        staged = staged.where(F.col("reading_timestamp") <= now)
+        staged = in_time_range(staged, None, now, end_inclusive=True)
     summary = patient_summary(latest_per_patient(staged), now, th)
     context = checked_broadcast(ward_context(staged, trunc_ntz("hour", now)), MAX_BROADCAST_WARDS)
     return summary.join(context, on="ward", how="left").select(*SUMMARY_COLUMNS, *WARD_CONTEXT_COLUMNS)
@@ -199,7 +221,7 @@ def lookback(staged: DataFrame, as_of, hours: int = LOOKBACK_HOURS) -> DataFrame
     """Readings from the ``hours`` before ``as_of`` (the incremental window)."""
     now = as_of_column(as_of)
     start = now - F.make_dt_interval(hours=F.lit(hours))
-    return staged.where((F.col("reading_timestamp") >= start) & (F.col("reading_timestamp") <= now))
+    return in_time_range(staged, start, now, end_inclusive=True)
 
 
 def silent_monitors(summary: DataFrame, max_minutes: int = 60) -> DataFrame:

@@ -16,6 +16,7 @@ from wardwatch.config import DEFAULT_BOUNDS, DEFAULT_THRESHOLDS, Bounds, Thresho
 from wardwatch.functions import clinical as C
 from wardwatch.functions.cache import per_context
 from wardwatch.functions.time import boundaries_between, trunc_ntz
+from wardwatch.sources.tables import PARTITION_COLUMN
 
 
 def keep_reading() -> Column:
@@ -98,8 +99,11 @@ def stage(raw: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS, bounds: Bounds =
     """Raw readings -> ``stg_patient_vitals`` (25 columns, + ``carry`` columns).
 
     ``carry`` passes raw columns through unchanged, e.g. ``kafka_offset`` as
-    the tie-break of the latest-reading window.
+    the tie-break of the latest-reading window. The ``reading_day`` partition
+    column of a stored raw table is always carried, so that later time-range
+    filters prune folders.
     """
+    carry = tuple(carry) + tuple(c for c in (PARTITION_COLUMN,) if c in raw.columns and c not in carry)
     return raw.where(_keep()).select(*staged_columns(th, bounds), *[F.col(c) for c in carry])
 
 

@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# the raw table is laid out by reading day, so time-range reads prune folders
+PARTITION_COLUMN = "reading_day"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -10,6 +14,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def with_reading_day(df: DataFrame) -> DataFrame:
+    """Add the partition column (the calendar day of the reading; NULL if no time)."""
+    return df.withColumn(PARTITION_COLUMN, F.to_date("reading_timestamp"))
+
+
+def write_raw(raw: DataFrame, path: str, mode: str = "append") -> None:
+    """Append raw readings to a table laid out by reading day."""
+    with_reading_day(raw).write.mode(mode).partitionBy(PARTITION_COLUMN).parquet(path)
+
+
+def read_raw(spark: SparkSession, path: str) -> DataFrame:
+    """A raw table written by :func:`write_raw` (keeps ``reading_day`` for pruning)."""
+    return spark.read.parquet(path)
+
+
 def _ddl(schema) -> str:
     return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
 

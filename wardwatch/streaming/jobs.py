@@ -24,6 +24,7 @@ from wardwatch.operators import marts, staging
 from wardwatch.operators.upsert import VersionedTable
 from wardwatch.schemas import RAW_COLUMNS
 from wardwatch.sources import messages
+from wardwatch.sources.tables import PARTITION_COLUMN, with_reading_day
 
 WATERMARK_DELAY = "2 hours"
 
@@ -54,14 +55,16 @@ def ingest_batch_writer(raw_path: str, quarantine_path: str, stamp: Column | Non
     """``foreachBatch`` body: decode once, append good rows and bad records.
 
     Output goes to ``batch_id=<n>`` folders written in overwrite mode, so a
-    replayed batch replaces its own earlier attempt (exactly-once result).
+    replayed batch replaces its own earlier attempt (exactly-once result);
+    inside, rows are laid out by ``reading_day`` for pruning.
     With ``log_path`` the batch's load counts (received / loaded / set
     aside) are kept as a one-row table per batch.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         dec = messages.decode(batch, stamp=stamp).persist()
         try:
-            messages.loaded(dec).write.mode("overwrite").parquet(f"{raw_path}/batch_id={batch_id}")
+            (with_reading_day(messages.loaded(dec)).write.mode("overwrite")
+             .partitionBy(PARTITION_COLUMN).parquet(f"{raw_path}/batch_id={batch_id}"))
             messages.quarantined(dec).write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={batch_id}")
             if log_path:
                 messages.counts(dec).write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
