@@ -50,3 +50,19 @@ def test_stream_latest_keeps_newer_row(spark, workdir):
     jobs.run_to_end(jobs.start_latest(src, table, f"{workdir}/chk", stamp=F.col("timestamp")))
     assert table.latest() == 2
     assert [r["heart_rate_bpm"] for r in table.read().collect()] == [90]
+
+
+def test_silent_monitor_timer(spark, workdir):
+    from wardwatch.streaming.silent import start_silent
+    _land(spark, raw_rows(spark, [{"patient_id": "A", "reading_timestamp": T0},
+                                  {"patient_id": "B", "reading_timestamp": T0}]), f"{workdir}/landing")
+    _land(spark, raw_rows(spark, [{"patient_id": "B", "reading_timestamp": T0 + dt.timedelta(hours=2)},
+                                  {"patient_id": "C", "reading_timestamp": T0 + dt.timedelta(hours=4)}]),
+          f"{workdir}/landing")
+    src = read_landing(spark, f"{workdir}/landing", max_files_per_trigger=1)
+    jobs.run_to_end(start_silent(src, f"{workdir}/out", f"{workdir}/chk", limit_minutes=60,
+                                 delay="10 minutes", stamp=F.col("timestamp")))
+    got = sorted((r["patient_id"], r["last_reading_at"], r["silent_after"])
+                 for r in spark.read.parquet(f"{workdir}/out").collect())
+    assert got == [("A", T0, T0 + dt.timedelta(hours=1)),
+                   ("B", T0 + dt.timedelta(hours=2), T0 + dt.timedelta(hours=3))]

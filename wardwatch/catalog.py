@@ -281,6 +281,15 @@ def q_stream_dedup(spark, sf_dir):
     return spark.read.parquet(f"{work}/dedup")
 
 
+@register("stream_silent_monitors")
+def q_stream_silent(spark, sf_dir):
+    from wardwatch.streaming.silent import start_silent
+    work, src = _landed(spark, sf_dir, "stream-silent")
+    jobs.run_to_end(start_silent(src, f"{work}/alerts", f"{work}/checkpoint", SILENT_MINUTES,
+                                 stamp=F.col(SOURCE_STAMP)))
+    return spark.read.parquet(f"{work}/alerts")
+
+
 @register("stream_late")
 def q_stream_late(spark, sf_dir):
     work, src = _landed(spark, sf_dir, "stream-late", order=LATE_ORDER)

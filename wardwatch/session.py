@@ -31,6 +31,10 @@ SESSION_SETTINGS = {
     # will JIT-compile (8000 bytes); past that limit Spark runs the operators
     # with their own (compiled) projections instead: 3-4x faster here
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # stream state off the JVM heap (large state at scale); also required by
+    # transformWithState (silent-monitor timers)
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
