@@ -60,6 +60,9 @@ class VersionedTable:
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
         self.base = base.rstrip("/")
+        # newest version committed by this writer (single writer per table);
+        # after a restart it is read back from the commits table
+        self._committed: int | None = None
 
     def _data(self, version: int) -> str:
         return f"{self.base}/data/v={version:012d}"
@@ -72,6 +75,8 @@ class VersionedTable:
 
     def latest(self, before: int | None = None) -> int | None:
         """The newest committed version (below ``before`` if given); one scalar."""
+        if self._committed is not None and (before is None or self._committed < before):
+            return self._committed
         commits = self._commits()
         if commits is None:
             return None
@@ -100,6 +105,8 @@ class VersionedTable:
             [(version, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))],
             "version long, committed_at timestamp_ntz")
         marker.write.mode("overwrite").parquet(f"{self.base}/commits/v={version:012d}")
+        if self._committed is None or version > self._committed:
+            self._committed = version
 
     def upsert(self, updates: DataFrame, version: int, key="patient_id",
                order: tuple[str, ...] = ("last_reading_at",), sync_schema: bool = False,
