@@ -130,3 +130,13 @@ def test_latest20_null_time_first(spark):
                            {"reading_timestamp": T0 + dt.timedelta(hours=1)}])
     rows = monitoring.latest_readings(raw, 2).collect()
     assert rows[0]["reading_timestamp"] is None and rows[1]["reading_timestamp"] == T0 + dt.timedelta(hours=1)
+
+
+def test_keyed_sink_splits_hot_key(spark, workdir):
+    from wardwatch.sources.sinks import read_keyed_json, write_keyed_json
+    raw = raw_rows(spark, [{"kafka_offset": i} for i in range(10)])   # one patient only
+    write_keyed_json(raw, f"{workdir}/out", partitions=4, block_rows=3)
+    back = read_keyed_json(spark, f"{workdir}/out")
+    assert back.count() == 10 and back.select("key").distinct().count() == 1
+    files = back.select(F.input_file_name().alias("f")).distinct().count()
+    assert files >= 2          # four blocks of at most 3 offsets, not one task

@@ -3,20 +3,36 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wardwatch.schemas import ENVELOPE_SCHEMA
 from wardwatch.sources.messages import encode
 
 
-def write_keyed_json(rows: DataFrame, path: str, partitions: int | None = None,
-                     keep: tuple[str, ...] = ()) -> None:
-    """Write readings as ``{"key", "value"}`` JSON lines, hash-partitioned by key.
+# records of one key per output task at most (the hot-key split)
+BLOCK_ROWS = 1_000_000
+
 
-    Like a keyed topic, all records of one patient land in the same file
-    partition. ``partitions`` defaults to the session's shuffle partitions.
+def write_keyed_json(rows: DataFrame, path: str, partitions: int | None = None,
+                     keep: tuple[str, ...] = (), order_col: str | None = "kafka_offset",
+                     block_rows: int = BLOCK_ROWS) -> None:
+    """Write readings as ``{"key", "value"}`` JSON lines, partitioned by key.
+
+    Like a keyed topic, the records of one patient go to the same output
+    task, in blocks of ``block_rows`` consecutive ``order_col`` values: a
+    patient that holds a third of all readings is spread over many tasks
+    instead of one, while each block keeps its records together and in
+    order. ``partitions`` defaults to the session's shuffle partitions.
     """
-    rec = encode(rows, keep=keep)
-    rec = rec.repartition(partitions, "key") if partitions else rec.repartition("key")
+    rec = encode(rows, keep=tuple(keep) + ((order_col,) if order_col and order_col not in keep else ()))
+    keys = [F.col("key")]
+    if order_col:
+        keys.append(F.floor(F.col(order_col) / block_rows))
+    rec = rec.repartition(partitions, *keys) if partitions else rec.repartition(*keys)
+    if order_col:
+        rec = rec.sortWithinPartitions("key", order_col)
+        if order_col not in keep:
+            rec = rec.drop(order_col)
     rec.write.mode("overwrite").json(path)
 
 
