@@ -12,7 +12,7 @@ A NULL passes ``accepted_values``, ``range`` and ``unique``.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -31,6 +31,14 @@ MART = "mart_patient_health_summary"
 TESTS = ("not_null", "accepted_values", "unique", "range", "missing")
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _lit(v) -> str:
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'" if isinstance(v, str) else repr(v)
+
+
 @dataclass(frozen=True)
 class Check:
     relation: str
@@ -40,16 +48,20 @@ class Check:
     bounds: tuple | None = None
     severity: str = "error"
 
-    def failing(self, c: Column) -> Column:
-        """Per-row failure predicate (not defined for ``unique``)."""
+    def failing_sql(self, ref: str | None = None) -> str:
+        """Per-row failure predicate as SQL over column ``ref`` (not for ``unique``)."""
+        c = _q(ref or self.column)
         if self.test in ("not_null", "missing"):
-            return c.isNull()
+            return f"{c} IS NULL"
         if self.test == "accepted_values":
-            return c.isNotNull() & ~c.isin(*self.values)
+            return f"{c} IS NOT NULL AND {c} NOT IN ({', '.join(_lit(v) for v in self.values)})"
         if self.test == "range":
-            return c.isNotNull() & ~c.between(*self.bounds)
+            return f"{c} IS NOT NULL AND NOT ({c} BETWEEN {self.bounds[0]!r} AND {self.bounds[1]!r})"
         raise ValueError(f"no row predicate for {self.test}")
 
+    def failing(self, ref: str | None = None) -> Column:
+        return F.expr(self.failing_sql(ref))
+
 
 def _nn(rel, *cols, severity="error"):
     return [Check(rel, c, "not_null", severity=severity) for c in cols]
@@ -87,42 +99,38 @@ def default_checks(bounds: Bounds = DEFAULT_BOUNDS) -> tuple[Check, ...]:
 
 
 def _report_rows(agg: DataFrame, checks: list[Check]) -> DataFrame:
-    """One-row aggregate with ``_f{i}`` columns -> one report row per check."""
-    rows = F.array(*[
-        F.struct(F.lit(c.relation).alias("relation"), F.lit(c.column).alias("column_name"),
-                 F.lit(c.test).alias("test"), F.lit(c.severity).alias("severity"),
-                 F.coalesce(F.col(f"_f{i}"), F.lit(0)).cast("long").alias("failing_rows"))
-        for i, c in enumerate(checks)])
-    return (agg.select(F.inline(rows))
-            .withColumn("passed", F.col("failing_rows") == 0))
-
-
-def evaluate(df: DataFrame, checks: Iterable[Check],
-             resolve: Callable[[str], Column] = F.col, where: Column | None = None) -> DataFrame:
-    """Run ``checks`` on ``df`` in one pass; ``where`` restricts the rows checked."""
+    """One-row aggregate with ``_f{i}`` columns -> one report row per check (``stack``)."""
+    parts = [f"{_lit(c.relation)}, {_lit(c.column)}, {_lit(c.test)}, {_lit(c.severity)}, "
+             f"CAST(coalesce(_f{i}, 0) AS BIGINT)" for i, c in enumerate(checks)]
+    rows = agg.selectExpr(f"stack({len(checks)}, {', '.join(parts)}) "
+                          f"AS (relation, column_name, test, severity, failing_rows)")
+    return rows.withColumn("passed", F.col("failing_rows") == 0)
+
+
+def evaluate(df: DataFrame, checks: Iterable[Check], where: str | None = None) -> DataFrame:
+    """Run ``checks`` on ``df`` in one pass; ``where`` (SQL) restricts the rows checked."""
     checks = list(checks)
     unique = [c for c in checks if c.test == "unique"]
     rows = [c for c in checks if c.test != "unique"]
     if len(unique) > 1:
         raise ValueError("one unique check per pass; evaluate the others separately")
 
-    def pred(c: Check) -> Column:
-        p = c.failing(resolve(c.column))
-        return p if where is None else (where & p)
+    def pred(c: Check) -> str:
+        p = c.failing_sql()
+        return p if where is None else f"({where}) AND ({p})"
 
     if not unique:
-        agg = df.agg(*[F.count_if(pred(c)).alias(f"_f{i}") for i, c in enumerate(rows)])
+        agg = df.agg(*[F.expr(f"count_if({pred(c)})").alias(f"_f{i}") for i, c in enumerate(rows)])
         return _report_rows(agg, rows)
 
     u = unique[0]
-    key = resolve(u.column)
     scope = df if where is None else df.where(where)
-    per_key = scope.groupBy(key.alias("_key")).agg(
+    per_key = scope.groupBy(F.col(u.column).alias("_key")).agg(
         F.count(F.lit(1)).alias("_n"),
-        *[F.count_if(pred(c)).alias(f"_g{i}") for i, c in enumerate(rows)])
+        *[F.expr(f"count_if({pred(c)})").alias(f"_g{i}") for i, c in enumerate(rows)])
     agg = per_key.agg(
         *[F.sum(f"_g{i}").alias(f"_f{i}") for i in range(len(rows))],
-        F.count_if(F.col("_key").isNotNull() & (F.col("_n") > 1)).alias(f"_f{len(rows)}"))
+        F.expr("count_if(_key IS NOT NULL AND _n > 1)").alias(f"_f{len(rows)}"))
     return _report_rows(agg, rows + [u])
 
 
@@ -130,25 +138,20 @@ def source_and_staging(raw: DataFrame, checks: Iterable[Check], th: Thresholds =
                        bounds: Bounds = DEFAULT_BOUNDS) -> DataFrame:
     """Raw-source and staging checks in one scan of the raw relation."""
     checks = [c for c in checks if c.relation in (SOURCE, STAGING)]
-    stg_exprs = staging.staged_columns(th, bounds)
-    names = _staging_names()
+    src_cols = sorted({c.column for c in checks if c.relation == SOURCE})
+    stg_cols = {c.column for c in checks if c.relation == STAGING}
     proj = raw.select(
-        *[F.col(c).alias(f"src__{c}") for c in sorted({c.column for c in checks if c.relation == SOURCE})],
+        *[F.col(c).alias(f"src__{c}") for c in src_cols],
         staging.keep_reading().alias("_keep"),
-        *[e.alias(f"stg__{n}") for e, n in zip(stg_exprs, names)
-          if n in {c.column for c in checks if c.relation == STAGING}],
+        *[e.alias(f"stg__{n}") for e, n in zip(staging.staged_columns(th, bounds), _staging_names())
+          if n in stg_cols],
     )
-    keep = F.col("_keep")
-
-    def resolve_any(c: Check) -> Column:
-        return F.col(("src__" if c.relation == SOURCE else "stg__") + c.column)
-
     aggs = []
     for i, c in enumerate(checks):
-        p = c.failing(resolve_any(c))
+        p = c.failing_sql(("src__" if c.relation == SOURCE else "stg__") + c.column)
         if c.relation == STAGING:
-            p = keep & p
-        aggs.append(F.count_if(p).alias(f"_f{i}"))
+            p = f"_keep AND ({p})"
+        aggs.append(F.expr(f"count_if({p})").alias(f"_f{i}"))
     return _report_rows(proj.agg(*aggs), checks)
 
 
