@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from wardwatch.config import DEFAULT_THRESHOLDS, LOOKBACK_HOURS, Thresholds
 from wardwatch.functions import clinical as C
+from wardwatch.functions.cache import per_context
 from wardwatch.functions.rounding import half_up_div, rounded_mean
 from wardwatch.functions.time import boundaries_between, ntz_literal, trunc_ntz
 from wardwatch.plans.joins import checked_broadcast
@@ -120,10 +121,15 @@ def patient_summary(latest: DataFrame, as_of=None, th: Thresholds = DEFAULT_THRE
     )
 
 
-def ward_hour_partials(staged: DataFrame, keys: list[Column | str]) -> list[Column]:
+def ward_hour_partials() -> list[Column]:
     """Algebraic per-group sums that the ward-hour figures are derived from."""
+    return list(_ward_hour_partials())
+
+
+@per_context
+def _ward_hour_partials() -> tuple[Column, ...]:
     temp_tenths = F.round(F.col("temperature_celsius") * 10).cast("long")
-    return [
+    return (
         F.count(F.lit(1)).alias("total_readings"),
         F.count_if("has_alert").alias("total_alerts"),
         F.count_if(F.col("heart_rate_status") == "TACHYCARDIA").alias("tachycardia_count"),
@@ -140,15 +146,23 @@ def ward_hour_partials(staged: DataFrame, keys: list[Column | str]) -> list[Colu
         F.count(temp_tenths).alias("_temp_n"),
         F.max("reading_timestamp").alias("latest_reading_at"),
         F.min("reading_timestamp").alias("earliest_reading_at"),
-    ]
+    )
+
 
+def ward_hour_figures(unique_patients: str) -> list[Column]:
+    """Final ward-hour columns from the partial sums (exact half-up rounding).
 
-def ward_hour_figures(unique_patients: Column) -> list[Column]:
-    """Final ward-hour columns from the partial sums (exact half-up rounding)."""
+    ``unique_patients`` names the column holding the distinct patient count.
+    """
+    return list(_ward_hour_figures(unique_patients))
+
+
+@per_context
+def _ward_hour_figures(unique_patients: str) -> tuple[Column, ...]:
     n = F.col("total_readings")
-    return [
+    return (
         n.cast("long").alias("total_readings"),
-        unique_patients.cast("long").alias("unique_patients"),
+        F.col(unique_patients).cast("long").alias("unique_patients"),
         F.col("total_alerts").cast("long").alias("total_alerts"),
         (half_up_div(F.col("total_alerts") * 1000, n).cast("double") / 10).alias("alert_rate_pct"),
         F.col("tachycardia_count").cast("long").alias("tachycardia_count"),
@@ -161,16 +175,16 @@ def ward_hour_figures(unique_patients: Column) -> list[Column]:
         rounded_mean(F.col("_temp_sum"), F.col("_temp_n"), 1, 2).alias("avg_temperature"),
         F.col("latest_reading_at"),
         F.col("earliest_reading_at"),
-    ]
+    )
 
 
 def ward_hourly(staged: DataFrame) -> DataFrame:
     """Readings, alerts and mean vitals per ward and hour (16 columns)."""
     agg = staged.groupBy("ward", "reading_hour").agg(
-        *ward_hour_partials(staged, []),
+        *ward_hour_partials(),
         F.count_distinct("patient_id").alias("_patients"),
     )
-    return agg.select("ward", "reading_hour", *ward_hour_figures(F.col("_patients")))
+    return agg.select("ward", "reading_hour", *ward_hour_figures("_patients"))
 
 
 def ward_context(staged: DataFrame, hour_start: Column) -> DataFrame:

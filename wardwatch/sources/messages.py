@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardwatch.config import MAX_LENGTHS
+from wardwatch.functions.cache import per_context
 from wardwatch.schemas import MESSAGE_COLUMNS, MESSAGE_FIELDS, MESSAGE_TEXT_ARRAY, RAW_COLUMNS
 
 # reading times travel as ISO text with microseconds, no zone
@@ -63,6 +64,13 @@ def decode(envelopes: DataFrame, stamp: Column | None = None, value: str = "valu
         F.posexplode_outer("_msgs").alias("_pos", "_m"),
     ).where(F.col("_malformed") | F.col("_m").isNotNull())   # an empty array loads nothing
 
+    typed, reason, first = _decoded_columns()
+    return exploded.select(*typed, "ingested_at", "kafka_partition", "kafka_offset", "_raw", reason, first)
+
+
+@per_context
+def _decoded_columns() -> tuple[tuple[Column, ...], Column, Column]:
+    """Typed fields, the load-failure reason and the first-element flag over ``_m``."""
     typed = []
     for name, dtype in MESSAGE_FIELDS:
         txt = F.col("_m").getField(name)
@@ -76,11 +84,8 @@ def decode(envelopes: DataFrame, stamp: Column | None = None, value: str = "valu
     reason = reason.when(F.col("_m").getField("patient_id").isNull(), "null_patient_id")
     for name, limit in MAX_LENGTHS.items():
         reason = reason.when(F.length(F.col("_m").getField(name)) > limit, f"too_long:{name}")
-    return exploded.select(
-        *typed, "ingested_at", "kafka_partition", "kafka_offset", "_raw",
-        reason.alias("_reason"),
-        (F.col("_malformed") | (F.col("_pos") == 0)).alias("_first"),
-    )
+    first = (F.col("_malformed") | (F.col("_pos") == 0)).alias("_first")
+    return tuple(typed), reason.alias("_reason"), first
 
 
 def loaded(decoded: DataFrame) -> DataFrame:

@@ -110,7 +110,7 @@ def ward_hourly_stream(staged: DataFrame, delay: str = WATERMARK_DELAY) -> DataF
     """
     ev = staged.withColumn("event_time", to_event_time("reading_timestamp")).withWatermark("event_time", delay)
     first = ev.groupBy(F.window("event_time", "1 hour").alias("w"), "ward", "patient_id").agg(
-        *marts.ward_hour_partials(ev, []))
+        *marts.ward_hour_partials())
     sums = [F.sum(c).alias(c) for c in (
         "total_readings", "total_alerts", "tachycardia_count", "bradycardia_count",
         "critical_spo2_count", "hypertensive_crisis_count",
@@ -121,7 +121,7 @@ def ward_hourly_stream(staged: DataFrame, delay: str = WATERMARK_DELAY) -> DataF
         F.min("earliest_reading_at").alias("earliest_reading_at"))
     return second.select(
         "ward", F.col("w2.start").cast("timestamp_ntz").alias("reading_hour"),
-        *marts.ward_hour_figures(F.col("_patients")))
+        *marts.ward_hour_figures("_patients"))
 
 
 def start_ward_hourly(records: DataFrame, path: str, checkpoint: str, delay: str = WATERMARK_DELAY,
