@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import os
 import sys
 import time
 
@@ -88,7 +89,8 @@ if __name__ == "__main__":
     from __spark_entry__ import queries
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     keys = sys.argv[2:] or list(queries())
-    spark = build_session("local[8]", shuffle_partitions=8, extra={"spark.driver.memory": "8g"})
+    mem = os.environ.get("COMPARE_DRIVER_MEMORY", "8g")
+    spark = build_session("local[8]", shuffle_partitions=8, extra={"spark.driver.memory": mem} if mem else None)
     con = duck(sf)
     bad = 0
     for k in keys:
