@@ -66,3 +66,14 @@ def test_silent_monitor_timer(spark, workdir):
                  for r in spark.read.parquet(f"{workdir}/out").collect())
     assert got == [("A", T0, T0 + dt.timedelta(hours=1)),
                    ("B", T0 + dt.timedelta(hours=2), T0 + dt.timedelta(hours=3))]
+
+
+def test_staging_stream_observes_quality(spark, workdir):
+    _land(spark, raw_rows(spark, [{"ward": "Morgue"}, {"patient_id": "PAT-0002"}]), f"{workdir}/landing")
+    q = jobs.start_staging(read_landing(spark, f"{workdir}/landing"), f"{workdir}/out", f"{workdir}/chk",
+                           stamp=F.col("timestamp"))
+    jobs.run_to_end(q)
+    seen = [p["observedMetrics"][jobs.QUALITY_METRICS] for p in q.recentProgress
+            if jobs.QUALITY_METRICS in p.get("observedMetrics", {})]
+    assert seen and seen[0]["rows"] == 2 and seen[0]["ward.accepted_values"] == 1
+    assert seen[0]["ward.not_null"] == 0

@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wardwatch.config import DEFAULT_THRESHOLDS, Thresholds
 from wardwatch.functions.time import to_event_time
-from wardwatch.operators import marts, staging
+from wardwatch.operators import marts, quality, staging
 from wardwatch.operators.upsert import VersionedTable
 from wardwatch.schemas import RAW_COLUMNS
 from wardwatch.sources import messages
@@ -93,9 +93,25 @@ def read_raw(spark: SparkSession, raw_path: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- staging
+QUALITY_METRICS = "staging_quality"
+
+
+def observe_quality(staged: DataFrame, name: str = QUALITY_METRICS) -> DataFrame:
+    """Attach the staging checks as observed metrics (one count per check).
+
+    Each micro-batch then reports ``<relation>.<column>.<test>`` failing
+    counts in ``StreamingQueryProgress.observedMetrics[name]``, computed in
+    the same pass that writes the rows.
+    """
+    checks = [c for c in quality.default_checks() if c.relation == quality.STAGING]
+    metrics = [F.expr(f"count_if({c.failing_sql()})").alias(f"{c.column}.{c.test}") for c in checks]
+    return staged.observe(name, F.count(F.lit(1)).alias("rows"), *metrics)
+
+
 def start_staging(records: DataFrame, path: str, checkpoint: str, stamp: Column | None = None) -> StreamingQuery:
-    """Continuous cleaning into a parquet file sink (exactly-once via its log)."""
-    return (staged_stream(records, stamp).writeStream.format("parquet")
+    """Continuous cleaning into a parquet file sink (exactly-once via its log),
+    with the staging quality checks observed per micro-batch."""
+    return (observe_quality(staged_stream(records, stamp)).writeStream.format("parquet")
             .option("checkpointLocation", checkpoint).outputMode("append")
             .trigger(availableNow=True).start(path))
 
@@ -132,18 +148,11 @@ def start_ward_hourly(records: DataFrame, path: str, checkpoint: str, delay: str
 
 
 # ---------------------------------------------------------------- current row per patient
-LATEST_ROW = (*marts.LATEST_COLUMNS, "kafka_offset")
-
-
-def latest_stream(staged: DataFrame) -> DataFrame:
-    """Newest reading per patient as a running aggregate (update mode).
-
-    ``max_by`` over (reading time, offset): a redelivered older reading
-    never replaces a newer one. State is one row per patient.
-    """
-    row = F.struct(*[F.col(c) for c in LATEST_ROW])
-    newest = F.max_by(row, F.struct("reading_timestamp", "kafka_offset"))
-    return staged.groupBy("patient_id").agg(newest.alias("r")).select("r.*")
+# ---- current row per patient: the versioned mart is the state. Each
+# micro-batch reduces to its newest reading per patient (a batch window) and
+# merges that into the mart, newer reading winning; the same rows as a
+# running max_by aggregate in update mode, with no state store that grows
+# with the number of patients.
 
 
 def latest_batch_writer(table: VersionedTable, stamp: Column | None = None,
