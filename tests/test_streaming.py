@@ -77,3 +77,14 @@ def test_staging_stream_observes_quality(spark, workdir):
             if jobs.QUALITY_METRICS in p.get("observedMetrics", {})]
     assert seen and seen[0]["rows"] == 2 and seen[0]["ward.accepted_values"] == 1
     assert seen[0]["ward.not_null"] == 0
+
+
+def test_ingest_stream_load_log(spark, workdir):
+    _land(spark, raw_rows(spark, [{"patient_id": "PAT-0001"}, {"patient_id": None}]), f"{workdir}/landing")
+    q = jobs.start_ingest(read_landing(spark, f"{workdir}/landing"), f"{workdir}/raw", f"{workdir}/quarantine",
+                          f"{workdir}/chk", stamp=F.col("timestamp"), log_path=f"{workdir}/log")
+    jobs.run_to_end(q)
+    log = spark.read.parquet(f"{workdir}/log").first()
+    assert (log["messages_received"], log["rows_loaded"], log["rows_quarantined"]) == (2, 1, 1)
+    assert jobs.read_raw(spark, f"{workdir}/raw").count() == 1
+    assert spark.read.parquet(f"{workdir}/quarantine").first()["reason"] == "null_patient_id"

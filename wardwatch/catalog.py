@@ -247,7 +247,7 @@ SOURCE_STAMP = "timestamp"     # streams stamp rows with the record time -> comp
 def q_stream_ingest(spark, sf_dir):
     work, src = _landed(spark, sf_dir, "stream-ingest")
     jobs.run_to_end(jobs.start_ingest(src, f"{work}/raw", f"{work}/quarantine", f"{work}/checkpoint",
-                                      stamp=F.col(SOURCE_STAMP)))
+                                      stamp=F.col(SOURCE_STAMP), log_path=f"{work}/load_log"))
     return jobs.read_raw(spark, f"{work}/raw")
 
 
