@@ -2,6 +2,9 @@
 
 import datetime as dt
 
+import pytest
+from pyspark.errors import StreamingQueryException
+
 from pyspark.sql import functions as F
 
 from tests.helpers import raw_rows
@@ -88,3 +91,42 @@ def test_ingest_stream_load_log(spark, workdir):
     assert (log["messages_received"], log["rows_loaded"], log["rows_quarantined"]) == (2, 1, 1)
     assert jobs.read_raw(spark, f"{workdir}/raw").count() == 1
     assert spark.read.parquet(f"{workdir}/quarantine").first()["reason"] == "null_patient_id"
+
+
+def test_ingest_resumes_from_checkpoint_and_replays_idempotently(spark, workdir):
+    """A batch that fails after writing is replayed on restart without duplicates;
+    a restarted query reads only files it has not committed."""
+    land, chk = f"{workdir}/landing", f"{workdir}/chk"
+    raw_path, quar = f"{workdir}/raw", f"{workdir}/quarantine"
+    _land(spark, raw_rows(spark, [{"patient_id": "PAT-0001", "kafka_offset": 1}]), land)
+    _land(spark, raw_rows(spark, [{"patient_id": "PAT-0002", "kafka_offset": 2}]), land)
+    good = jobs.ingest_batch_writer(raw_path, quar, F.col("timestamp"))
+
+    def crash_in_second_batch(batch, batch_id):
+        good(batch, batch_id)
+        if batch_id == 1:
+            raise RuntimeError("executor lost after the write")
+
+    q = (read_landing(spark, land, max_files_per_trigger=1).writeStream
+         .foreachBatch(crash_in_second_batch).option("checkpointLocation", chk)
+         .trigger(availableNow=True).start())
+    with pytest.raises(StreamingQueryException):
+        q.awaitTermination(120)
+    # restart on the same checkpoint: batch 1 is replayed, then a new file arrives
+    _land(spark, raw_rows(spark, [{"patient_id": "PAT-0003", "kafka_offset": 3}]), land)
+    jobs.run_to_end(jobs.start_ingest(read_landing(spark, land, max_files_per_trigger=1), raw_path, quar, chk,
+                                      stamp=F.col("timestamp")))
+    got = sorted(r["kafka_offset"] for r in jobs.read_raw(spark, raw_path).collect())
+    assert got == [1, 2, 3]
+
+
+def test_ingest_on_a_timer(spark, workdir):
+    _land(spark, raw_rows(spark, [{"patient_id": "PAT-0001"}]), f"{workdir}/landing")
+    q = jobs.start_ingest(read_landing(spark, f"{workdir}/landing"), f"{workdir}/raw", f"{workdir}/q",
+                          f"{workdir}/chk", stamp=F.col("timestamp"), available_now=False,
+                          processing_time="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert jobs.read_raw(spark, f"{workdir}/raw").count() == 1
