@@ -33,11 +33,11 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return (1, "nan")
-        return (1, repr(round(v, 9)))
+        return (1, repr(v) if os.environ.get("COMPARE_EXACT") else repr(round(v, 9)))
     if isinstance(v, bool):
         return (2, str(v))
     if isinstance(v, int):
-        return (1, repr(round(float(v), 9)))
+        return (1, repr(float(v)) if os.environ.get("COMPARE_EXACT") else repr(round(float(v), 9)))
     if isinstance(v, dt.datetime):
         return (3, v.replace(tzinfo=None).isoformat())
     if hasattr(v, "item"):
