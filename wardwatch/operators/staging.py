@@ -29,13 +29,6 @@ def filter_valid(raw: DataFrame) -> DataFrame:
     return raw.where(keep_reading())
 
 
-def identity_columns() -> list[Column]:
-    return [
-        F.trim("patient_id").alias("patient_id"),
-        F.trim("patient_name").alias("patient_name"),
-    ]
-
-
 def cleaned_columns(bounds: Bounds = DEFAULT_BOUNDS) -> list[Column]:
     """Range-validated values (NULL outside the inclusive bounds)."""
     b = bounds

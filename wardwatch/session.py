@@ -8,7 +8,6 @@ when that setting is absent (tests on one machine) is a local folder made.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -93,12 +92,3 @@ _LOCAL_ROOTS: dict[str, str] = {}
 def new_work_dir(spark: SparkSession, name: str) -> str:
     """A fresh, uniquely named folder below the shared root for one run."""
     return f"{shared_root(spark)}/wardwatch/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str | None:
-    """The local file-system path of ``path`` if it is local, else None."""
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    if "://" in path:
-        return None
-    return path if os.path.isabs(path) else None
