@@ -130,3 +130,16 @@ def test_ingest_on_a_timer(spark, workdir):
     finally:
         q.stop()
     assert jobs.read_raw(spark, f"{workdir}/raw").count() == 1
+
+
+def test_gated_staging_stops_on_bad_batch(spark, workdir):
+    from wardwatch.operators.quality import QualityGateError  # noqa: F401
+    land = f"{workdir}/landing"
+    _land(spark, raw_rows(spark, [{"patient_id": "PAT-0001"}]), land)
+    _land(spark, raw_rows(spark, [{"patient_id": "PAT-0002", "ward": "Morgue"}]), land)
+    q = jobs.start_staging(read_landing(spark, land, max_files_per_trigger=1), f"{workdir}/out",
+                           f"{workdir}/chk", stamp=F.col("timestamp"), gate=True)
+    with pytest.raises(StreamingQueryException, match="data-quality gate failed"):
+        q.awaitTermination(120)
+    published = spark.read.parquet(f"{workdir}/out").collect()
+    assert [r["patient_id"] for r in published] == ["PAT-0001"]

@@ -108,14 +108,44 @@ def observe_quality(staged: DataFrame, name: str = QUALITY_METRICS) -> DataFrame
     return staged.observe(name, F.count(F.lit(1)).alias("rows"), *metrics)
 
 
-def start_staging(records: DataFrame, path: str, checkpoint: str, stamp: Column | None = None) -> StreamingQuery:
-    """Continuous cleaning into a parquet file sink (exactly-once via its log),
-    with the staging quality checks observed per micro-batch."""
+def start_staging(records: DataFrame, path: str, checkpoint: str, stamp: Column | None = None,
+                  gate: bool = False) -> StreamingQuery:
+    """Continuous cleaning with the staging quality checks.
+
+    Default: a parquet file sink (exactly-once via its log) and the checks
+    observed per micro-batch. With ``gate``: every micro-batch is checked
+    before it is written (:func:`gated_staging_writer`).
+    """
+    if gate:
+        return (records.writeStream.foreachBatch(gated_staging_writer(path, stamp))
+                .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     return (observe_quality(staged_stream(records, stamp)).writeStream.format("parquet")
             .option("checkpointLocation", checkpoint).outputMode("append")
             .trigger(availableNow=True).start(path))
 
 
+def gated_staging_writer(path: str, stamp: Column | None = None,
+                         th: Thresholds = DEFAULT_THRESHOLDS) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` body: stage a micro-batch, check it, write it only if it passes.
+
+    An error-level failure raises :class:`quality.QualityGateError`: the
+    batch is not committed and the query stops, so no bad rows are
+    published; once the cause is fixed a restart replays the batch. The
+    checks and the write share one staged, persisted batch.
+    """
+    checks = [c for c in quality.default_checks() if c.relation == quality.STAGING]
+
+    def write(records: DataFrame, batch_id: int) -> None:
+        staged = staging.stage(messages.loaded(messages.decode(records, stamp=stamp)), th,
+                               carry=("kafka_offset",)).persist()
+        try:
+            quality.enforce(quality.evaluate(staged, checks))
+            staged.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        finally:
+            staged.unpersist()
+    return write
+
+
 # ---------------------------------------------------------------- ward x hour rollup
 def ward_hourly_stream(staged: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:
     """Tumbling 1-hour ward rollup, emitted once the hour is closed by the watermark.
