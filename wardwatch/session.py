@@ -92,3 +92,4 @@ _LOCAL_ROOTS: dict[str, str] = {}
 def new_work_dir(spark: SparkSession, name: str) -> str:
     """A fresh, uniquely named folder below the shared root for one run."""
     return f"{shared_root(spark)}/wardwatch/{name}-{uuid.uuid4().hex[:12]}"
+

@@ -12,9 +12,11 @@ readings arrive, as any real-time alert does.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import (
@@ -23,6 +25,11 @@ from pyspark.sql.streaming.stateful_processor import (
 
 from wardwatch.functions.time import to_event_time
 
+# The processor runs in Python processes that Spark starts (on the driver to
+# set up state, on executors per partition); pickling this module by value
+# ships its code with the query, so those processes need not import the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 ALERT_SCHEMA = "patient_id string, ward string, last_reading_at timestamp_ntz, silent_after timestamp_ntz"
 _STATE_SCHEMA = "last_ms long, ward string"
 
