@@ -133,7 +133,6 @@ def test_ingest_on_a_timer(spark, workdir):
 
 
 def test_gated_staging_stops_on_bad_batch(spark, workdir):
-    from wardwatch.operators.quality import QualityGateError  # noqa: F401
     land = f"{workdir}/landing"
     _land(spark, raw_rows(spark, [{"patient_id": "PAT-0001"}]), land)
     _land(spark, raw_rows(spark, [{"patient_id": "PAT-0002", "ward": "Morgue"}]), land)
