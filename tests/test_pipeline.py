@@ -61,3 +61,22 @@ def test_time_ranges_prune_reading_days(spark, workdir):
     plan = recent._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [(reading_day" in plan and ">= 2024-01-29" in plan
     assert recent.count() == 2
+
+
+def test_incremental_run_reads_only_the_window(spark, workdir):
+    from wardwatch.operators import marts, staging
+    from wardwatch.plans.pipeline import build_mart
+    from wardwatch.sources.tables import read_raw, write_raw
+    old = [{"patient_id": "PAT-0001", "reading_timestamp": T0 - dt.timedelta(days=3), "heart_rate_bpm": 70},
+           {"patient_id": "PAT-0002", "reading_timestamp": T0 - dt.timedelta(days=3), "heart_rate_bpm": 71}]
+    new = [{"patient_id": "PAT-0002", "reading_timestamp": T0 - dt.timedelta(hours=1), "heart_rate_bpm": 90}]
+    write_raw(raw_rows(spark, old), f"{workdir}/raw")
+    table = VersionedTable(spark, f"{workdir}/mart")
+    run_batch(spark, read_raw(spark, f"{workdir}/raw"), table, version=1, as_of=T0 - dt.timedelta(days=2))
+    write_raw(raw_rows(spark, new), f"{workdir}/raw")
+    raw = read_raw(spark, f"{workdir}/raw")
+    p = build_mart(raw, T0, lookback_hours=24)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(reading_day" in p or "PartitionFilters: [(reading_day" in p
+    run_batch(spark, raw, table, version=2, as_of=T0, lookback_hours=24)
+    got = {r["patient_id"]: r["current_heart_rate_bpm"] for r in table.read().collect()}
+    assert got == {"PAT-0001": 70, "PAT-0002": 90}
