@@ -45,10 +45,10 @@ def test_source_checks_can_be_left_out_of_gate(spark, workdir):
 def test_create_layers_twice(spark, workdir):
     create_layers(spark, workdir)
     create_layers(spark, workdir)
-    cols = spark.table("healthcare_raw.raw_patient_vitals").columns
+    cols = spark.table("vitals_raw.raw_patient_vitals").columns
     assert cols[0] == "patient_id" and cols[-1] == "kafka_offset"
-    raw_rows(spark, [{}]).write.insertInto("healthcare_raw.raw_patient_vitals")
-    assert spark.table("healthcare_raw.raw_patient_vitals").where(F.col("patient_id") == "PAT-0001").count() == 1
+    raw_rows(spark, [{}]).write.insertInto("vitals_raw.raw_patient_vitals")
+    assert spark.table("vitals_raw.raw_patient_vitals").where(F.col("patient_id") == "PAT-0001").count() == 1
 
 
 def test_time_ranges_prune_reading_days(spark, workdir):

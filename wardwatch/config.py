@@ -11,6 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 
+# --- fixed values: default thresholds and bounds (equal to the original rules) ---
 @dataclass(frozen=True)
 class Thresholds:
     """Limits for the per-reading status flags and the patient risk level.
@@ -47,6 +48,7 @@ class Bounds:
     spo2_pct: tuple[int, int] = (50, 100)
     temperature_celsius: tuple[float, float] = (30.0, 45.0)
     respiratory_rate: tuple[int, int] = (0, 60)
+# --- end of fixed values ---
 
 
 DEFAULT_THRESHOLDS = Thresholds()

@@ -33,12 +33,12 @@ def _ddl(schema) -> str:
     return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
 
 
-# database per layer, as the original keeps raw, staging and marts apart
-LAYERS = ("healthcare_raw", "staging", "marts")
+# one database per layer: raw input, staging, marts
+LAYERS = ("vitals_raw", "vitals_staging", "vitals_marts")
 
 
-def create_layers(spark: SparkSession, location: str) -> None:
-    """Idempotent setup: one database per layer and the raw table (parquet).
+def create_layers(spark: SparkSession, location: str, layers: tuple[str, str, str] = LAYERS) -> None:
+    """Idempotent setup: one database per layer and the raw tables (parquet).
 
     ``location`` is a shared folder; running this twice changes nothing.
     The raw table's NOT NULL patient id is enforced by the loader
@@ -46,10 +46,11 @@ def create_layers(spark: SparkSession, location: str) -> None:
     """
     from wardwatch.schemas import QUARANTINE_SCHEMA, RAW_SCHEMA
     base = location.rstrip("/")
-    for db in LAYERS:
+    for db in layers:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{base}/{db}.db'")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS healthcare_raw.raw_patient_vitals ({_ddl(RAW_SCHEMA)}) "
-              f"USING parquet LOCATION '{base}/healthcare_raw.db/raw_patient_vitals'")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS healthcare_raw.raw_patient_vitals_quarantine "
+    raw_db = layers[0]
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {raw_db}.raw_patient_vitals ({_ddl(RAW_SCHEMA)}) "
+              f"USING parquet LOCATION '{base}/{raw_db}.db/raw_patient_vitals'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {raw_db}.raw_patient_vitals_quarantine "
               f"({_ddl(QUARANTINE_SCHEMA)}) USING parquet "
-              f"LOCATION '{base}/healthcare_raw.db/raw_patient_vitals_quarantine'")
+              f"LOCATION '{base}/{raw_db}.db/raw_patient_vitals_quarantine'")
