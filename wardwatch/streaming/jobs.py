@@ -239,7 +239,14 @@ def late_batch_writer(spark: SparkSession, late_path: str, progress_path: str,
     it (one scalar), then records its own maximum.
     """
     def write(records: DataFrame, batch_id: int) -> None:
-        batch = staging.stage(messages.loaded(messages.decode(records, stamp=stamp)), carry=("kafka_offset",))
+        batch = staging.stage(messages.loaded(messages.decode(records, stamp=stamp)),
+                              carry=("kafka_offset",)).persist()
+        try:
+            _side_list_late(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def _side_list_late(batch: DataFrame, batch_id: int) -> None:
         try:
             prog = spark.read.parquet(progress_path).where(F.col("batch_id") < batch_id)
             prev = prog.agg(F.max("max_reading").alias("m")).first()["m"]
@@ -251,11 +258,9 @@ def late_batch_writer(spark: SparkSession, late_path: str, progress_path: str,
             late = rows.where(F.col("reading_timestamp") < cutoff)
         else:
             late = rows.where(F.lit(False))
-        late.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
-            f"{late_path}/batch={batch_id}")
+        late.write.mode("overwrite").parquet(f"{late_path}/batch_id={batch_id}")
         (batch.agg(F.max("reading_timestamp").alias("max_reading"))
-         .withColumn("batch_id", F.lit(batch_id))
-         .write.mode("overwrite").parquet(f"{progress_path}/batch={batch_id}"))
+         .write.mode("overwrite").parquet(f"{progress_path}/batch_id={batch_id}"))
     return write
 
 
