@@ -30,54 +30,58 @@ from wardwatch.functions.time import to_event_time
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ALERT_SCHEMA = "patient_id string, ward string, last_reading_at timestamp_ntz, silent_after timestamp_ntz"
-_STATE_SCHEMA = "last_ms long, ward string"
+_STATE_SCHEMA = "last_us long, ward string"
 
 
-def _ms(ts: pd.Series) -> pd.Series:
-    return ts.astype("datetime64[ns]").astype("int64") // 1_000_000
+def _us(ts: pd.Series) -> pd.Series:
+    return ts.astype("datetime64[ns]").astype("int64") // 1_000
 
 
 class SilentMonitorProcessor(StatefulProcessor):
     """Per-patient dead-man switch on event time."""
 
     def __init__(self, limit_minutes: int):
-        self.limit_ms = int(limit_minutes) * 60_000
+        self.limit_us = int(limit_minutes) * 60_000_000
+
+    def _timer_ms(self, last_us: int) -> int:
+        # timers are set in milliseconds, the state keeps microseconds
+        return (last_us + self.limit_us) // 1_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.last = handle.getValueState("last", _STATE_SCHEMA)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        newest_ms, ward = None, None
+        newest_us, ward = None, None
         for pdf in rows:
             if pdf.empty:
                 continue
-            ms = _ms(pdf["reading_timestamp"])
-            i = int(ms.values.argmax())
-            if newest_ms is None or int(ms.iloc[i]) > newest_ms:
-                newest_ms, ward = int(ms.iloc[i]), pdf["ward"].iloc[i]
-        if newest_ms is None:
+            us = _us(pdf["reading_timestamp"])
+            i = int(us.values.argmax())
+            if newest_us is None or int(us.iloc[i]) > newest_us:
+                newest_us, ward = int(us.iloc[i]), pdf["ward"].iloc[i]
+        if newest_us is None:
             return iter([])
         if self.last.exists():
-            prev_ms, prev_ward = self.last.get()
-            if prev_ms >= newest_ms:
+            prev_us, _ = self.last.get()
+            if prev_us >= newest_us:
                 return iter([])          # an older or repeated reading does not move the timer
-            self.handle.deleteTimer(prev_ms + self.limit_ms)
-        self.last.update((newest_ms, ward))
-        self.handle.registerTimer(newest_ms + self.limit_ms)
+            self.handle.deleteTimer(self._timer_ms(prev_us))
+        self.last.update((newest_us, ward))
+        self.handle.registerTimer(self._timer_ms(newest_us))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues: TimerValues,
                            expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
         if not self.last.exists():
             return iter([])
-        last_ms, ward = self.last.get()
+        last_us, ward = self.last.get()
         self.last.clear()
         yield pd.DataFrame({
             "patient_id": [key[0]],
             "ward": [ward],
-            "last_reading_at": [pd.Timestamp(last_ms, unit="ms")],
-            "silent_after": [pd.Timestamp(expiredTimerInfo.getExpiryTimeInMs(), unit="ms")],
+            "last_reading_at": [pd.Timestamp(last_us, unit="us")],
+            "silent_after": [pd.Timestamp(last_us + self.limit_us, unit="us")],
         })
 
     def close(self) -> None:
