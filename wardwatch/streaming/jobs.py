@@ -29,6 +29,11 @@ from wardwatch.sources.tables import PARTITION_COLUMN, with_reading_day
 WATERMARK_DELAY = "2 hours"
 
 
+def with_trigger(writer, available_now: bool = True, processing_time: str = "30 seconds"):
+    """``availableNow`` (drain what is there, then stop) or a processing-time timer."""
+    return writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
+
+
 def run_to_end(query: StreamingQuery) -> StreamingQuery:
     """Wait for an ``availableNow`` query to drain and stop; re-raise its failure."""
     query.awaitTermination()
@@ -83,9 +88,7 @@ def start_ingest(records: DataFrame, raw_path: str, quarantine_path: str, checkp
     hand-written consumer loop.
     """
     w = records.writeStream.foreachBatch(ingest_batch_writer(raw_path, quarantine_path, stamp, log_path))
-    w = w.option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
-    return w.start()
+    return with_trigger(w.option("checkpointLocation", checkpoint), available_now, processing_time).start()
 
 
 def read_raw(spark: SparkSession, raw_path: str) -> DataFrame:
@@ -109,7 +112,8 @@ def observe_quality(staged: DataFrame, name: str = QUALITY_METRICS) -> DataFrame
 
 
 def start_staging(records: DataFrame, path: str, checkpoint: str, stamp: Column | None = None,
-                  gate: bool = False) -> StreamingQuery:
+                  gate: bool = False, available_now: bool = True,
+                  processing_time: str = "30 seconds") -> StreamingQuery:
     """Continuous cleaning with the staging quality checks.
 
     Default: a parquet file sink (exactly-once via its log) and the checks
@@ -117,11 +121,12 @@ def start_staging(records: DataFrame, path: str, checkpoint: str, stamp: Column
     before it is written (:func:`gated_staging_writer`).
     """
     if gate:
-        return (records.writeStream.foreachBatch(gated_staging_writer(path, stamp))
-                .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    return (observe_quality(staged_stream(records, stamp)).writeStream.format("parquet")
-            .option("checkpointLocation", checkpoint).outputMode("append")
-            .trigger(availableNow=True).start(path))
+        w = (records.writeStream.foreachBatch(gated_staging_writer(path, stamp))
+             .option("checkpointLocation", checkpoint))
+        return with_trigger(w, available_now, processing_time).start()
+    w = (observe_quality(staged_stream(records, stamp)).writeStream.format("parquet")
+         .option("checkpointLocation", checkpoint).outputMode("append"))
+    return with_trigger(w, available_now, processing_time).start(path)
 
 
 def gated_staging_writer(path: str, stamp: Column | None = None,
@@ -171,20 +176,18 @@ def ward_hourly_stream(staged: DataFrame, delay: str = WATERMARK_DELAY) -> DataF
 
 
 def start_ward_hourly(records: DataFrame, path: str, checkpoint: str, delay: str = WATERMARK_DELAY,
-                      stamp: Column | None = None) -> StreamingQuery:
-    return (ward_hourly_stream(staged_stream(records, stamp), delay).writeStream.format("parquet")
-            .option("checkpointLocation", checkpoint).outputMode("append")
-            .trigger(availableNow=True).start(path))
+                      stamp: Column | None = None, available_now: bool = True,
+                      processing_time: str = "30 seconds") -> StreamingQuery:
+    w = (ward_hourly_stream(staged_stream(records, stamp), delay).writeStream.format("parquet")
+         .option("checkpointLocation", checkpoint).outputMode("append"))
+    return with_trigger(w, available_now, processing_time).start(path)
 
 
 # ---------------------------------------------------------------- current row per patient
-# ---- current row per patient: the versioned mart is the state. Each
-# micro-batch reduces to its newest reading per patient (a batch window) and
-# merges that into the mart, newer reading winning; the same rows as a
-# running max_by aggregate in update mode, with no state store that grows
-# with the number of patients.
-
-
+# The versioned mart is the state. Each micro-batch reduces to its newest
+# reading per patient (a batch window) and merges that into the mart, newer
+# reading winning: the same rows as a running max_by aggregate in update mode,
+# without a state store that grows with the number of patients.
 def latest_batch_writer(table: VersionedTable, stamp: Column | None = None,
                         th: Thresholds = DEFAULT_THRESHOLDS) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` body over raw records: newest reading per patient of the
@@ -203,9 +206,11 @@ def latest_batch_writer(table: VersionedTable, stamp: Column | None = None,
 
 
 def start_latest(records: DataFrame, table: VersionedTable, checkpoint: str,
-                 stamp: Column | None = None) -> StreamingQuery:
-    return (records.writeStream.foreachBatch(latest_batch_writer(table, stamp))
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+                 stamp: Column | None = None, available_now: bool = True,
+                 processing_time: str = "30 seconds") -> StreamingQuery:
+    w = (records.writeStream.foreachBatch(latest_batch_writer(table, stamp))
+         .option("checkpointLocation", checkpoint))
+    return with_trigger(w, available_now, processing_time).start()
 
 
 def summary_from_latest(latest: DataFrame, as_of=None, th: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
@@ -223,10 +228,11 @@ def dedup_stream(staged: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:
 
 
 def start_dedup(records: DataFrame, path: str, checkpoint: str, delay: str = WATERMARK_DELAY,
-                stamp: Column | None = None) -> StreamingQuery:
-    return (dedup_stream(staged_stream(records, stamp), delay).writeStream.format("parquet")
-            .option("checkpointLocation", checkpoint).outputMode("append")
-            .trigger(availableNow=True).start(path))
+                stamp: Column | None = None, available_now: bool = True,
+                processing_time: str = "30 seconds") -> StreamingQuery:
+    w = (dedup_stream(staged_stream(records, stamp), delay).writeStream.format("parquet")
+         .option("checkpointLocation", checkpoint).outputMode("append"))
+    return with_trigger(w, available_now, processing_time).start(path)
 
 
 # ---------------------------------------------------------------- late readings
@@ -265,7 +271,9 @@ def late_batch_writer(spark: SparkSession, late_path: str, progress_path: str,
 
 
 def start_late(spark: SparkSession, records: DataFrame, late_path: str, progress_path: str,
-               checkpoint: str, delay_seconds: int = 3600, stamp: Column | None = None) -> StreamingQuery:
-    return (records.writeStream
-            .foreachBatch(late_batch_writer(spark, late_path, progress_path, delay_seconds, stamp))
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+               checkpoint: str, delay_seconds: int = 3600, stamp: Column | None = None,
+               available_now: bool = True, processing_time: str = "30 seconds") -> StreamingQuery:
+    w = (records.writeStream
+         .foreachBatch(late_batch_writer(spark, late_path, progress_path, delay_seconds, stamp))
+         .option("checkpointLocation", checkpoint))
+    return with_trigger(w, available_now, processing_time).start()

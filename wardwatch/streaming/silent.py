@@ -99,8 +99,9 @@ def silent_monitor_stream(staged: DataFrame, limit_minutes: int = 60, delay: str
 
 
 def start_silent(records: DataFrame, path: str, checkpoint: str, limit_minutes: int = 60,
-                 delay: str = "2 hours", stamp=None):
-    from wardwatch.streaming.jobs import staged_stream
-    return (silent_monitor_stream(staged_stream(records, stamp), limit_minutes, delay)
-            .writeStream.format("parquet").option("checkpointLocation", checkpoint)
-            .outputMode("append").trigger(availableNow=True).start(path))
+                 delay: str = "2 hours", stamp=None, available_now: bool = True,
+                 processing_time: str = "30 seconds"):
+    from wardwatch.streaming.jobs import staged_stream, with_trigger
+    w = (silent_monitor_stream(staged_stream(records, stamp), limit_minutes, delay)
+         .writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append"))
+    return with_trigger(w, available_now, processing_time).start(path)
