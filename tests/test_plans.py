@@ -66,3 +66,39 @@ def test_no_python_udfs_in_batch_plans(spark):
     for key in ("stg_patient_vitals", "ward_hourly", "dq_report", "ingest_decode"):
         p = plan(C.QUERIES[key](spark, SF))
         assert "PythonUDF" not in p and "ArrowEvalPython" not in p and "BatchEvalPython" not in p, key
+
+
+def test_over_the_bound_no_broadcast_same_rows(spark):
+    """Beyond the row bound the join is a shuffle join, with the same result."""
+    from wardwatch.operators import enrich
+    from wardwatch.sources import fixtures
+    from wardwatch.sources.tables import read_table
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # no size-based broadcast either
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        events = read_table(spark, SF, "events")
+        small = enrich.enrich(fixtures.monitor_readings(events), fixtures.registry(events), max_broadcast_rows=10**6)
+        big = enrich.enrich(fixtures.monitor_readings(events), fixtures.registry(events), max_broadcast_rows=1)
+        assert "BroadcastHashJoin" in plan(small)
+        p = plan(big)
+        assert "BroadcastHashJoin" not in p and "SortMergeJoin" in p
+        assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_ward_context_over_the_bound(spark, monkeypatch):
+    stg = C.staged(spark, SF)
+    as_of = marts.max_reading_time(stg)
+    want = sorted(map(tuple, marts.health_summary(stg, as_of).collect()))
+    monkeypatch.setattr(marts, "MAX_BROADCAST_WARDS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = marts.health_summary(stg, as_of)
+        assert "SortMergeJoin" in plan(df)
+        assert sorted(map(tuple, df.collect())) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
