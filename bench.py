@@ -21,7 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from wardwatch import catalog as C  # noqa: E402
-from wardwatch.operators.upsert import VersionedTable  # noqa: E402
+from wardwatch.operators.upsert import BucketedTable  # noqa: E402
 from wardwatch.session import build_session  # noqa: E402
 from wardwatch.streaming import jobs  # noqa: E402
 
@@ -43,7 +43,8 @@ def run_stream(spark, key: str, sf_dir: str) -> tuple[float, int]:
     if key == "stream_ward_hourly":
         q = jobs.start_ward_hourly(src, f"{work}/out", f"{work}/checkpoint", stamp=stamp)
     elif key == "stream_latest":
-        q = jobs.start_latest(src, VersionedTable(spark, f"{work}/mart"), f"{work}/checkpoint", stamp=stamp)
+        q = jobs.start_latest(src, BucketedTable(spark, f"{work}/mart", buckets=C.MART_BUCKETS),
+                              f"{work}/checkpoint", stamp=stamp)
     else:
         raise KeyError(key)
     jobs.run_to_end(q)

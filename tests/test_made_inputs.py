@@ -140,3 +140,23 @@ def test_keyed_sink_splits_hot_key(spark, workdir):
     assert back.count() == 10 and back.select("key").distinct().count() == 1
     files = back.select(F.input_file_name().alias("f")).distinct().count()
     assert files >= 2          # four blocks of at most 3 offsets, not one task
+
+
+def test_bucketed_table_rewrites_only_touched_buckets(spark, workdir):
+    import os
+    table = upsert.BucketedTable(spark, workdir, key="patient_id", buckets=8)
+    table.upsert(_summary(spark, [(f"P{i}", T0, i) for i in range(40)]))
+
+    def files():
+        cur = f"{workdir}/current"
+        return {d: sorted(os.listdir(f"{cur}/{d}")) for d in os.listdir(cur) if d.startswith("bucket=")}
+
+    before = files()
+    assert len(before) == 8
+    table.upsert(_summary(spark, [("P1", T0 + dt.timedelta(hours=1), 100)]))
+    after = files()
+    assert sum(before[d] != after[d] for d in before) == 1          # one bucket rewritten
+    got = {r["patient_id"]: r["v"] for r in table.read().collect()}
+    assert len(got) == 40 and got["P1"] == 100 and got["P2"] == 2
+    table.upsert(_summary(spark, [("P1", T0 - dt.timedelta(hours=1), 5)]))   # older: no change
+    assert {r["patient_id"]: r["v"] for r in table.read().collect()}["P1"] == 100

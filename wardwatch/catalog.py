@@ -39,6 +39,8 @@ FILES_PER_CHUNK = 2
 REDELIVER_MODULUS = 7
 # late delivery (``stream_late``): the second and third appends swap places
 LATE_ORDER = [0, 2, 1, 3]
+# hash buckets of the streamed current-row mart
+MART_BUCKETS = 16
 # one load stamp for a whole batch (``ingest_stamp``)
 BATCH_STAMP = "2024-02-01 00:00:00"
 
@@ -266,7 +268,7 @@ def q_stream_ward_hourly(spark, sf_dir):
 @register("stream_latest")
 def q_stream_latest(spark, sf_dir):
     work, src = _landed(spark, sf_dir, "stream-latest")
-    table = upsert.VersionedTable(spark, f"{work}/mart")
+    table = upsert.BucketedTable(spark, f"{work}/mart", key="patient_id", buckets=MART_BUCKETS)
     jobs.run_to_end(jobs.start_latest(src, table, f"{work}/checkpoint", stamp=F.col(SOURCE_STAMP)))
     return jobs.summary_from_latest(table.read())
 

@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from wardwatch.config import DEFAULT_THRESHOLDS, Thresholds
 from wardwatch.functions.time import to_event_time
 from wardwatch.operators import marts, quality, staging
-from wardwatch.operators.upsert import VersionedTable
+from wardwatch.operators.upsert import BucketedTable, VersionedTable
 from wardwatch.schemas import RAW_COLUMNS
 from wardwatch.sources import messages
 from wardwatch.sources.tables import PARTITION_COLUMN, with_reading_day
@@ -188,24 +188,30 @@ def start_ward_hourly(records: DataFrame, path: str, checkpoint: str, delay: str
 # reading per patient (a batch window) and merges that into the mart, newer
 # reading winning: the same rows as a running max_by aggregate in update mode,
 # without a state store that grows with the number of patients.
-def latest_batch_writer(table: VersionedTable, stamp: Column | None = None,
+def latest_batch_writer(table: BucketedTable | VersionedTable, stamp: Column | None = None,
                         th: Thresholds = DEFAULT_THRESHOLDS) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` body over raw records: newest reading per patient of the
-    batch, merged into the mart (version = batch id + 1; newer reading wins).
+    batch, merged into the mart (newer reading wins).
 
-    The mart itself is the state, so no state store grows with the stream;
-    a replayed batch rewrites its own version from the one before.
+    The mart itself is the state, so no state store grows with the stream.
+    A :class:`BucketedTable` rewrites only the buckets the batch touches; a
+    :class:`VersionedTable` writes version ``batch id + 1`` from the one
+    before. Either way a replayed batch gives the same table.
     """
+    order = ("reading_timestamp", "kafka_offset")
+
     def write(batch: DataFrame, batch_id: int) -> None:
         staged = staging.stage(messages.loaded(messages.decode(batch, stamp=stamp)), th,
                                carry=("kafka_offset",))
         newest = marts.latest_per_patient(staged, keep=("kafka_offset",))
-        table.upsert(newest, version=batch_id + 1, key="patient_id",
-                     order=("reading_timestamp", "kafka_offset"))
+        if isinstance(table, BucketedTable):
+            table.upsert(newest, order=order)
+        else:
+            table.upsert(newest, version=batch_id + 1, key="patient_id", order=order)
     return write
 
 
-def start_latest(records: DataFrame, table: VersionedTable, checkpoint: str,
+def start_latest(records: DataFrame, table: BucketedTable | VersionedTable, checkpoint: str,
                  stamp: Column | None = None, available_now: bool = True,
                  processing_time: str = "30 seconds") -> StreamingQuery:
     w = (records.writeStream.foreachBatch(latest_batch_writer(table, stamp))
