@@ -160,3 +160,15 @@ def test_bucketed_table_rewrites_only_touched_buckets(spark, workdir):
     assert len(got) == 40 and got["P1"] == 100 and got["P2"] == 2
     table.upsert(_summary(spark, [("P1", T0 - dt.timedelta(hours=1), 5)]))   # older: no change
     assert {r["patient_id"]: r["v"] for r in table.read().collect()}["P1"] == 100
+
+
+def test_versioned_table_keeps_bounded_slots(spark, workdir):
+    import os
+    table = upsert.VersionedTable(spark, workdir, keep=3)
+    for v in range(1, 7):
+        table.upsert(_summary(spark, [("A", T0 + dt.timedelta(hours=v), v)]), version=v)
+    assert sorted(os.listdir(f"{workdir}/data")) == ["slot=0", "slot=1", "slot=2"]
+    assert table.latest() == 6 and [r["v"] for r in table.read().collect()] == [6]
+    assert [r["v"] for r in table.read(5).collect()] == [5]
+    with pytest.raises(FileNotFoundError):
+        table.read(2)

@@ -55,17 +55,30 @@ def upsert_by_key(target: DataFrame, updates: DataFrame, key: str | list[str] =
 
 
 class VersionedTable:
-    """A table stored as committed versions below ``base`` (a shared folder)."""
+    """A table stored as committed versions below ``base`` (a shared folder).
 
-    def __init__(self, spark: SparkSession, base: str):
+    With ``keep`` the versions rotate through ``keep`` slots (version mod
+    keep): storage stays bounded without deleting anything, the newest
+    committed version and the one before it are never in the slot being
+    written, and a replayed batch rewrites its own slot. ``keep=None``
+    keeps every version.
+    """
+
+    def __init__(self, spark: SparkSession, base: str, keep: int | None = 3):
+        if keep is not None and keep < 3:
+            raise ValueError("keep must be at least 3 (the version written, the current one, the one before)")
         self.spark = spark
         self.base = base.rstrip("/")
+        self.keep = keep
         # newest version committed by this writer (single writer per table);
         # after a restart it is read back from the commits table
         self._committed: int | None = None
 
+    def _slot(self, version: int) -> str:
+        return f"v={version:012d}" if self.keep is None else f"slot={version % self.keep}"
+
     def _data(self, version: int) -> str:
-        return f"{self.base}/data/v={version:012d}"
+        return f"{self.base}/data/{self._slot(version)}"
 
     def _commits(self) -> DataFrame | None:
         try:
@@ -88,6 +101,11 @@ class VersionedTable:
         v = self.latest() if version is None else version
         if v is None:
             raise FileNotFoundError(f"no committed version below {self.base}")
+        if version is not None and self.keep is not None:
+            commits = self._commits()
+            held = None if commits is None else commits.where(F.col("version") == v).limit(1).count()
+            if not held:
+                raise FileNotFoundError(f"version {v} is no longer kept below {self.base}")
         return self.spark.read.parquet(self._data(v))
 
     def write_version(self, df: DataFrame, version: int) -> DataFrame:
@@ -104,7 +122,7 @@ class VersionedTable:
         marker = self.spark.createDataFrame(
             [(version, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))],
             "version long, committed_at timestamp_ntz")
-        marker.write.mode("overwrite").parquet(f"{self.base}/commits/v={version:012d}")
+        marker.write.mode("overwrite").parquet(f"{self.base}/commits/{self._slot(version)}")
         if self._committed is None or version > self._committed:
             self._committed = version
 
