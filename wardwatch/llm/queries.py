@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .secret_scan import secret_report
 from .simhash import near_duplicates
 from .url_filter import judge_urls
 
@@ -15,6 +16,10 @@ URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.
              ("org", "/fr/", "allow")]
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_report(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
@@ -25,11 +30,46 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_secret_scan": op2_secret_scan,
     "op7_simhash_dedup": op7_simhash_dedup,
     "op10_url_filter": op10_url_filter,
 }
 
+def _spans_sql(kind: str, order: int, pattern: str, group: int, least: int) -> str:
+    """The spans of one kind: lengths of the text between matches and of the matches add up to positions."""
+    p = pattern.replace("'", "''")
+    return f"""
+        SELECT uid, {order} AS ord, '{kind}' AS kind, stop - len(m) AS start, stop
+        FROM (SELECT uid, m, part, sum(len(b) + len(m)) OVER (PARTITION BY uid ORDER BY i) AS stop
+              FROM (SELECT uid, unnest(range(len(ms))) AS i, unnest(ms) AS m, unnest(ps) AS part, unnest(bs[:len(ms)]) AS b
+                    FROM (SELECT uid, regexp_extract_all(t, '{p}', 0) AS ms, regexp_extract_all(t, '{p}', {group}) AS ps,
+                                 string_split_regex(t, '{p}') AS bs
+                          FROM d WHERE regexp_matches(t, '{p}')))
+        ) WHERE len(part) >= {least}"""
+
+
+# fixed values of the secret rules, restated: kind, pattern, group, least length
+_WORDS = "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w)
+                  for w in ("password", "passwd", "secret", "token", "api_?key"))
+_SECRETS = [("assign", "(" + _WORDS + r""")["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+            ("access", "AKIA[A-Z0-9]+", 0, 20), ("hex", "[0-9a-f]+", 0, 24),
+            ("github", "gh[pousr]_[A-Za-z0-9]+", 0, 40), ("private_key", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1)]
+_ALL_SPANS = "\n        UNION ALL".join(_spans_sql(k, i, p, g, n) for i, (k, p, g, n) in enumerate(_SECRETS))
+
 ORACLES: dict[str, str] = {
+    "op2_secret_scan": f"""
+        WITH d AS (SELECT row_number() OVER () AS uid, doc_id, coalesce(text, '') AS t FROM documents),
+        spans AS ({_ALL_SPANS}),
+        per AS (
+          SELECT uid, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+                 count(*) FILTER (kind = 'hex') AS n_hex,
+                 string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, ord) FILTER (ord < 3) AS base,
+                 string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, ord) AS spans
+          FROM spans GROUP BY uid)
+        SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+               sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+        FROM d LEFT JOIN per USING (uid)
+    """,
     "op10_url_filter": r"""
         WITH rules(rule_host, rule_path, rule, rule_verdict) AS (
           VALUES ('net', '/', 'net/', 'block'), ('example.net', '/en/', 'example.net/en/', 'allow'),
