@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
 from .secret_scan import secret_report
 from .simhash import near_duplicates
+from .substring_dedup import dedup_substrings
 from .url_filter import judge_urls
 
 # fixed values of the url rules: host, path, verdict
@@ -24,6 +26,11 @@ def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = dedup_substrings(table(spark, sf_dir, "documents"), window=13)
+    return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return judge_urls(table(spark, sf_dir, "pages"), rules)
@@ -32,6 +39,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": op2_secret_scan,
     "op7_simhash_dedup": op7_simhash_dedup,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_url_filter": op10_url_filter,
 }
 
