@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import new_work_dir
 from .common import table
 from .secret_scan import secret_report
 from .simhash import near_duplicates
 from .substring_dedup import dedup_substrings
+from .token_shards import document_index, read_shards, write_shards
 from .url_filter import judge_urls
 
 # fixed values of the url rules: host, path, verdict
@@ -22,6 +24,18 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(table(spark, sf_dir, "documents"))
 
 
+def tokenizer_file(name: str) -> str:
+    """The place of a public tokenizer's vocabulary on this machine."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op6_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_work_dir(spark, "token-shards")
+    write_shards(table(spark, sf_dir, "documents"), path, tokenizer_file("byte_bpe_50k.json"))
+    return document_index(read_shards(spark, path))
+
+
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
@@ -38,6 +52,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": op2_secret_scan,
+    "op6_token_shards": op6_token_shards,
     "op7_simhash_dedup": op7_simhash_dedup,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_url_filter": op10_url_filter,
