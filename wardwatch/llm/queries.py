@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..session import new_work_dir
 from .common import table
 from .secret_scan import secret_report
+from .sentencepiece_codec import encode_and_decode
 from .simhash import near_duplicates
 from .substring_dedup import dedup_substrings
 from .token_shards import document_index, read_shards, write_shards
@@ -20,16 +21,22 @@ URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.
              ("org", "/fr/", "allow")]
 
 
-def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secret_report(table(spark, sf_dir, "documents"))
-
-
 def tokenizer_file(name: str) -> str:
     """The place of a public tokenizer's vocabulary on this machine."""
     import public_tokenizers
     return public_tokenizers.path(name)
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = encode_and_decode(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+    return found.select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"),
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_report(table(spark, sf_dir, "documents"))
+
+
 def op6_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_work_dir(spark, "token-shards")
     write_shards(table(spark, sf_dir, "documents"), path, tokenizer_file("byte_bpe_50k.json"))
@@ -51,6 +58,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_secret_scan": op2_secret_scan,
     "op6_token_shards": op6_token_shards,
     "op7_simhash_dedup": op7_simhash_dedup,
