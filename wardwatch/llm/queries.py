@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import new_work_dir
 from .common import table
+from . import embedding_dedup
 from .secret_scan import secret_report
 from .sentencepiece_codec import encode_and_decode
 from .simhash import near_duplicates
@@ -47,6 +48,10 @@ def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = dedup_substrings(table(spark, sf_dir, "documents"), window=13)
     return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
@@ -62,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": op2_secret_scan,
     "op6_token_shards": op6_token_shards,
     "op7_simhash_dedup": op7_simhash_dedup,
+    "op8_embedding_dedup": op8_embedding_dedup,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_url_filter": op10_url_filter,
 }
