@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..session import new_work_dir
 from .common import table
 from . import embedding_dedup
+from .decontaminate import contaminations
 from .secret_scan import secret_report
 from .sentencepiece_codec import encode_and_decode
 from .simhash import near_duplicates
@@ -38,6 +39,10 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(table(spark, sf_dir, "documents"))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_work_dir(spark, "token-shards")
     write_shards(table(spark, sf_dir, "documents"), path, tokenizer_file("byte_bpe_50k.json"))
@@ -65,6 +70,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_secret_scan": op2_secret_scan,
+    "op3_decontaminate": op3_decontaminate,
     "op6_token_shards": op6_token_shards,
     "op7_simhash_dedup": op7_simhash_dedup,
     "op8_embedding_dedup": op8_embedding_dedup,
