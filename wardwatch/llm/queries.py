@@ -11,6 +11,7 @@ from ..session import new_work_dir
 from .common import table
 from . import embedding_dedup
 from .decontaminate import contaminations
+from .quality import score_documents
 from .secret_scan import secret_report
 from .sentencepiece_codec import encode_and_decode
 from .simhash import near_duplicates
@@ -43,6 +44,10 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_work_dir(spark, "token-shards")
     write_shards(table(spark, sf_dir, "documents"), path, tokenizer_file("byte_bpe_50k.json"))
@@ -71,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_secret_scan": op2_secret_scan,
     "op3_decontaminate": op3_decontaminate,
+    "op5_quality": op5_quality,
     "op6_token_shards": op6_token_shards,
     "op7_simhash_dedup": op7_simhash_dedup,
     "op8_embedding_dedup": op8_embedding_dedup,
