@@ -11,6 +11,7 @@ from ..session import new_work_dir
 from .common import table
 from . import embedding_dedup
 from .decontaminate import contaminations
+from .license_scan import scan_licenses
 from .quality import score_documents
 from .secret_scan import secret_report
 from .sentencepiece_codec import encode_and_decode
@@ -44,6 +45,14 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` have no paths and no licence files: the digits of the id are taken as
+    directories below the source, and every document that states a licence declares it."""
+    digits = F.array_join(F.split(F.col("doc_id").cast("string"), ""), "/")
+    files = table(spark, sf_dir, "documents").withColumn("path", F.concat_ws("/", "source", digits))
+    return scan_licenses(files, all_declare=True)
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -76,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_secret_scan": op2_secret_scan,
     "op3_decontaminate": op3_decontaminate,
+    "op4_license_scan": op4_license_scan,
     "op5_quality": op5_quality,
     "op6_token_shards": op6_token_shards,
     "op7_simhash_dedup": op7_simhash_dedup,
