@@ -87,3 +87,13 @@ def test_rows_nulls_copies_and_extra_columns(spark):
     f, z = f"{brute_fingerprint('a b c d e'):016x}", f"{brute_fingerprint('zz yy xx ww vv'):016x}"
     assert got == sorted([(5, f, 2), (2, f, 2), (5, f, 2), (-1, f, 2), (7, "0" * 16, 7), (9, "0" * 16, 7), (-1, z, -1)])
     assert simhash.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_one_row_of_each_component_stays(spark):
+    rows = [(5, "a b c d e", 1), (2, "a b c d e", 2), (2, "a b c d e", 2), (None, "A B C D E", 3), (7, None, 4), (9, "", 5),
+            (None, "zz yy xx ww vv", 6), (None, "zz yy xx ww vv", 6), (2, "other words stand here now", 7)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, fp int").withColumn("key", F.lit("x"))
+    out = simhash.keep_one(df)
+    assert out.columns == df.columns
+    assert sorted((r.doc_id or -1, r.fp) for r in out.collect()) == [(-1, 6), (2, 2), (2, 7), (7, 4)]
+    assert simhash.keep_one(df.limit(0)).count() == 0

@@ -88,16 +88,47 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col
     component has no other). Repeated rows stay. Other columns are not read.
     """
     fps = cut(fingerprints(docs, shingle, id_col, text_col))
-    nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    linked = connected_components(hamming_links(nodes.select("fp"), max_bits, task_fingerprints))
-    placed = nodes.join(linked, nodes.fp == linked.node, "left").select(
-        "fp", "first_id", F.coalesce("component", "fp").alias("root"))
+    placed = _rooted(fps, max_bits, task_fingerprints, F.min("doc_id").alias("first_id"))
     roots = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = placed.join(roots, "root").select("fp", "component_id")
     return fps.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text",
+             task_fingerprints: int = TASK_FINGERPRINTS) -> DataFrame:
+    """One row of each component of :func:`near_duplicates`, with all columns: the one of the smallest doc_id.
+
+    A row without an id stays only if its component has no row with one. Of
+    rows that share the smallest id, the one whose id and text have the
+    smallest MD5 digest stays, once.
+    """
+    key = F.md5(F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("")),
+                            F.coalesce(F.col(text_col).cast("string"), F.lit(""))).cast("binary"))
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("key"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [fingerprint(t.as_py(), shingle) for t in batch.column(2)]
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(np.array(found, np.uint64).view(np.int64))],
+                                  names=["key", "doc_id", "fp"])
+
+    fps = cut(keyed.select("key", F.col("row")[id_col].cast("long").alias("doc_id"), F.col("row")[text_col].cast("string").alias("text"))
+              .mapInArrow(run, "key string, doc_id long, fp long"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")).alias("first")
+    placed = _rooted(fps, max_bits, task_fingerprints, first)
+    kept = placed.groupBy("root").agg(F.min("first").alias("first")).select("first.key").distinct()
+    return keyed.join(kept, "key", "left_semi").dropDuplicates(["key"]).select("row.*")
+
+
+def _rooted(fps: DataFrame, max_bits: int, task_fingerprints: int, first: Column) -> DataFrame:
+    """The distinct fingerprints with the root of their component, and ``first`` aggregated for each."""
+    nodes = fps.groupBy("fp").agg(first)
+    linked = connected_components(hamming_links(nodes.select("fp"), max_bits, task_fingerprints))
+    return nodes.join(linked, nodes.fp == linked.node, "left").select(
+        "fp", nodes.columns[-1], F.coalesce("component", "fp").alias("root"))
+
+
 # --- the trie -----------------------------------------------------------------------------
 
 def _thirds() -> list[tuple[int, int]]:
