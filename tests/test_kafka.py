@@ -20,3 +20,17 @@ def test_read_topic_declares_record_layout(spark):
         pytest.skip("Kafka connector jar not on the classpath")
     df = kafka.read_topic(spark, "localhost:9092", max_offsets_per_trigger=10)
     assert df.isStreaming and df.columns == ["key", "value", "partition", "offset", "timestamp"]
+
+
+def test_sink_is_keyed_and_acknowledged(spark, workdir):
+    """The options of both sinks, and the record layout of the streaming one; nothing is started."""
+    assert kafka.sink_options("b:9092", "t") == {
+        "kafka.bootstrap.servers": "b:9092", "topic": "t", "kafka.acks": "all", "kafka.retries": "3", "kafka.linger.ms": "10"}
+    from tests.helpers import raw_rows
+    from wardwatch.schemas import RAW_SCHEMA
+    raw_rows(spark, [{}]).write.parquet(f"{workdir}/raw")
+    stream = spark.readStream.schema(RAW_SCHEMA).parquet(f"{workdir}/raw")
+    from wardwatch.sources.messages import encode
+    assert encode(stream).isStreaming and encode(stream).columns == ["key", "value"]
+    writer = kafka.stream_writer(stream, "b:9092", f"{workdir}/chk", "t")
+    assert hasattr(writer, "start")

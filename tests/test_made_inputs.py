@@ -86,13 +86,13 @@ def _summary(spark, rows):
 
 def test_upsert_newer_wins(spark, workdir):
     table = upsert.VersionedTable(spark, workdir)
-    table.upsert(_summary(spark, [("A", T0, 1), ("B", T0, 2)]), version=1)
-    table.upsert(_summary(spark, [("A", T0 + dt.timedelta(hours=1), 3), ("C", T0, 4)]), version=2)
-    table.upsert(_summary(spark, [("A", T0 - dt.timedelta(hours=1), 5)]), version=3)
+    table.upsert(_summary(spark, [("A", T0, 1), ("B", T0, 2)]), batch=1)
+    table.upsert(_summary(spark, [("A", T0 + dt.timedelta(hours=1), 3), ("C", T0, 4)]), batch=2)
+    table.upsert(_summary(spark, [("A", T0 - dt.timedelta(hours=1), 5)]), batch=3)
     got = {r["patient_id"]: r["v"] for r in table.read().collect()}
     assert got == {"A": 3, "B": 2, "C": 4}
-    # replaying batch 2 after a failure rewrites the same version from version 1
-    table.upsert(_summary(spark, [("A", T0 + dt.timedelta(hours=1), 3), ("C", T0, 4)]), version=2)
+    # a batch that is already in is a replay: no new version, nothing changed
+    assert table.upsert(_summary(spark, [("A", T0 + dt.timedelta(hours=9), 9)]), batch=2) == 3 == table.latest()
     assert {r["patient_id"]: r["v"] for r in table.read(2).collect()} == {"A": 3, "B": 2, "C": 4}
 
 
@@ -142,33 +142,59 @@ def test_keyed_sink_splits_hot_key(spark, workdir):
     assert files >= 2          # four blocks of at most 3 offsets, not one task
 
 
-def test_bucketed_table_rewrites_only_touched_buckets(spark, workdir):
-    import os
-    table = upsert.BucketedTable(spark, workdir, key="patient_id", buckets=8)
-    table.upsert(_summary(spark, [(f"P{i}", T0, i) for i in range(40)]))
+def test_versions_are_immutable(spark, workdir):
+    """No attempt, failed or not, and no restart touches what an older version holds."""
+    table = upsert.VersionedTable(spark, workdir)
+    for v in range(1, 5):
+        table.upsert(_summary(spark, [(f"K{v}", T0, v)]), batch=v, source="first stream")
+
+    def refuse(written):
+        raise ValueError("audit")
+
+    with pytest.raises(ValueError):
+        table.upsert(_summary(spark, [("K1", T0 + dt.timedelta(hours=1), 999)]), batch=5, source="first stream", audit=refuse)
+    assert table.latest() == 4 and {r["v"] for r in table.read(1).collect()} == {1}
+    assert {r["v"] for r in table.read().collect()} == {1, 2, 3, 4}
+    # a stream on a fresh checkpoint counts its batches from 0 again
+    again = upsert.VersionedTable(spark, workdir)
+    assert again.upsert(_summary(spark, [("K9", T0, 9)]), batch=0, source="second stream") == 5
+    for reader in (table, again, upsert.VersionedTable(spark, workdir)):
+        assert {r["v"] for r in reader.read().collect()} == {1, 2, 3, 4, 9}
+        assert {r["v"] for r in reader.read(2).collect()} == {1, 2}
+    with pytest.raises(FileNotFoundError):
+        table.read(99)
 
-    def files():
-        cur = f"{workdir}/current"
-        return {d: sorted(os.listdir(f"{cur}/{d}")) for d in os.listdir(cur) if d.startswith("bucket=")}
 
-    before = files()
-    assert len(before) == 8
-    table.upsert(_summary(spark, [("P1", T0 + dt.timedelta(hours=1), 100)]))
-    after = files()
-    assert sum(before[d] != after[d] for d in before) == 1          # one bucket rewritten
-    got = {r["patient_id"]: r["v"] for r in table.read().collect()}
-    assert len(got) == 40 and got["P1"] == 100 and got["P2"] == 2
-    table.upsert(_summary(spark, [("P1", T0 - dt.timedelta(hours=1), 5)]))   # older: no change
-    assert {r["patient_id"]: r["v"] for r in table.read().collect()}["P1"] == 100
-
-
-def test_versioned_table_keeps_bounded_slots(spark, workdir):
-    import os
-    table = upsert.VersionedTable(spark, workdir, keep=3)
-    for v in range(1, 7):
-        table.upsert(_summary(spark, [("A", T0 + dt.timedelta(hours=v), v)]), version=v)
-    assert sorted(os.listdir(f"{workdir}/data")) == ["slot=0", "slot=1", "slot=2"]
-    assert table.latest() == 6 and [r["v"] for r in table.read().collect()] == [6]
-    assert [r["v"] for r in table.read(5).collect()] == [5]
-    with pytest.raises(FileNotFoundError):
-        table.read(2)
+def test_first_version_has_one_row_per_key(spark, workdir):
+    table = upsert.VersionedTable(spark, workdir)
+    table.upsert(_summary(spark, [("A", T0, 1), ("A", T0 + dt.timedelta(hours=1), 2)]), batch=0)
+    assert [r["v"] for r in table.read().collect()] == [2]
+
+
+def test_only_a_missing_path_reads_as_empty(spark, workdir):
+    assert upsert.read_if_there(spark, f"{workdir}/none") is None
+    spark.createDataFrame([("x",)], "a string").write.text(f"{workdir}/text")
+    with pytest.raises(Exception):
+        upsert.read_if_there(spark, f"{workdir}/text").count()
+
+
+def test_everything_received_is_loaded_or_set_aside(spark):
+    recs = _records(spark, [
+        '{"patient_id":"A"}', '[{"patient_id":"B"},null,5,"{q",{"patient_id":"C"}]', "[]", '{"patient_id":"D"}{"patient_id":"E"}',
+        '{"patient_id":"F"} tail', '[{"patient_id":"G"}] tail', "null", "5", "", None, '{"patient_id":"H"},{"patient_id":"I"}', "[[]]",
+        '{"patient_id":"J","reading_timestamp":"2024-01-30T10:00:00+05:30"}', '{"patient_id":"K","reading_timestamp":"2024-01-30T10:00:00Z"}',
+        '{"patient_id":"L","reading_timestamp":"2024-01-30"}', '{"patient_id":"M","reading_timestamp":"10 o\'clock"}'])
+    dec = messages.decode(recs, stamp=F.lit(T0))
+    rows = dec.collect()
+    assert {r["kafka_offset"] for r in rows} == set(range(16))
+    why = {}
+    for r in rows:
+        why.setdefault(r["kafka_offset"], []).append(r["_reason"])
+    assert why == {0: [None], 1: [None, "null_element", "not_an_object", "malformed_json", None], 2: ["empty_array"], 3: ["malformed_json"],
+                   4: ["malformed_json"], 5: ["malformed_json"], 6: ["not_an_object"], 7: ["malformed_json"], 8: ["malformed_json"],
+                   9: ["malformed_json"], 10: ["malformed_json"], 11: ["not_an_object"], 12: [None], 13: [None], 14: [None],
+                   15: ["bad_value:reading_timestamp"]}
+    at = {r["patient_id"]: r["reading_timestamp"] for r in rows}
+    assert (at["J"], at["K"], at["L"]) == (dt.datetime(2024, 1, 30, 4, 30), dt.datetime(2024, 1, 30, 10), dt.datetime(2024, 1, 30))
+    n = messages.counts(dec).first()
+    assert n["messages_received"] == 16 and n["rows_loaded"] + n["rows_quarantined"] == n["records_decoded"] == 20

@@ -68,18 +68,18 @@ def test_no_python_udfs_in_batch_plans(spark):
         assert "PythonUDF" not in p and "ArrowEvalPython" not in p and "BatchEvalPython" not in p, key
 
 
-def test_over_the_bound_no_broadcast_same_rows(spark):
-    """Beyond the row bound the join is a shuffle join, with the same result."""
+def test_enrichment_beyond_the_broadcast_size_same_rows(spark):
+    """Beyond Spark's byte limit the join is a shuffle join, with the same result."""
     from wardwatch.operators import enrich
     from wardwatch.sources import fixtures
     from wardwatch.sources.tables import read_table
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # no size-based broadcast either
+    events = read_table(spark, SF, "events")
+    small = enrich.enrich(fixtures.monitor_readings(events), fixtures.registry(events))
+    assert "BroadcastHashJoin" in plan(small)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
-        events = read_table(spark, SF, "events")
-        small = enrich.enrich(fixtures.monitor_readings(events), fixtures.registry(events), max_broadcast_rows=10**6)
-        big = enrich.enrich(fixtures.monitor_readings(events), fixtures.registry(events), max_broadcast_rows=1)
-        assert "BroadcastHashJoin" in plan(small)
+        big = enrich.enrich(fixtures.monitor_readings(events), fixtures.registry(events))
         p = plan(big)
         assert "BroadcastHashJoin" not in p and "SortMergeJoin" in p
         assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect()))
@@ -88,11 +88,10 @@ def test_over_the_bound_no_broadcast_same_rows(spark):
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
-def test_ward_context_over_the_bound(spark, monkeypatch):
+def test_ward_context_beyond_the_broadcast_size(spark):
     stg = C.staged(spark, SF)
     as_of = marts.max_reading_time(stg)
     want = sorted(map(tuple, marts.health_summary(stg, as_of).collect()))
-    monkeypatch.setattr(marts, "MAX_BROADCAST_WARDS", 0)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
@@ -102,3 +101,23 @@ def test_ward_context_over_the_bound(spark, monkeypatch):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_batch_queries_run_at_most_one_job_before_their_own(spark):
+    """Building a query may read one scalar (the newest reading time), nothing more."""
+    sc = spark.sparkContext
+    for key in ("stg_patient_vitals", "latest_per_patient", "ward_hourly", "patient_health_summary", "patient_health_asof",
+                "triage_ranked", "enrich_registry", "dq_range", "dq_report", "ingest_decode", "mon_abnormal"):
+        sc.setJobGroup(f"build-{key}", key)
+        C.QUERIES[key](spark, SF)
+        scalar = 1 if key in ("patient_health_summary", "triage_ranked", "dq_report") else 0
+        # one job reads the parquet footer for the schema; a scalar is one job, or two where
+        # adaptive execution runs its shuffle as a job of its own
+        assert len(sc.statusTracker().getJobIdsForGroup(f"build-{key}")) <= 1 + 2 * scalar, key
+    sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_queries_change_no_setting(spark):
+    before = dict(spark.conf.getAll)
+    C.QUERIES["patient_health_summary"](spark, SF).collect()
+    assert dict(spark.conf.getAll) == before

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from wardwatch.config import Thresholds
 from wardwatch.functions.time import ntz_literal
 from wardwatch.operators import enrich, marts, monitoring, quality, staging, upsert
-from wardwatch.schemas import MESSAGE_COLUMNS
-from wardwatch.session import configure, new_work_dir
+from wardwatch.schemas import MESSAGE_COLUMNS, RAW_COLUMNS
+from wardwatch.session import new_work_dir
 from wardwatch.sources import fixtures, messages, sinks
 from wardwatch.sources.tables import read_table
 from wardwatch.streaming import jobs
@@ -31,14 +31,14 @@ CUSTOM_THRESHOLDS = Thresholds(hr_high=110, hr_low=50, spo2_critical=88, spo2_lo
 SILENT_MINUTES = 60
 # upsert demo: readings up to this moment form the first batch, later ones the second
 UPSERT_SPLIT = "2024-01-15 00:00:00"
-# streams: records land in this many time-ordered appends of this many files;
-# a micro-batch takes one append
+# streams: records land in this many time-ordered appends; a micro-batch takes one append
 STREAM_CHUNKS = 4
-FILES_PER_CHUNK = 2
 # redelivered records (``stream_dedup``): offsets with this remainder are sent twice
 REDELIVER_MODULUS = 7
-# late delivery (``stream_late``): the second and third appends swap places
-LATE_ORDER = [0, 2, 1, 3]
+# late delivery (``stream_ward_hourly_late``): the second append comes last
+LATE_ORDER = [0, 2, 3, 1]
+# late readings (``stream_late``): loaded more than this many seconds after they were taken
+LATE_SECONDS = 30
 # one load stamp for a whole batch (``ingest_stamp``)
 BATCH_STAMP = "2024-02-01 00:00:00"
 
@@ -51,7 +51,6 @@ def register(key: str):
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure(spark)
     return fixtures.raw_readings(read_table(spark, sf_dir, "events"))
 
 
@@ -144,9 +143,9 @@ def q_mart_upsert(spark, sf_dir):
     """Batch 1 (early readings), batch 2 (later ones), then batch 1 again out of order."""
     early, late = _summary_batches(spark, sf_dir)
     table = upsert.VersionedTable(spark, new_work_dir(spark, "mart-upsert"))
-    table.upsert(early, version=1)
-    table.upsert(late, version=2)
-    table.upsert(early, version=3)      # an older redelivery must not replace newer rows
+    first = table.upsert(early, batch=1)
+    table.upsert(late, batch=2)
+    table.upsert(table.read(first), batch=3)        # an older redelivery must not replace newer rows
     return table.read()
 
 
@@ -155,8 +154,8 @@ def q_mart_schema_sync(spark, sf_dir):
     """The second batch adds ``hospital_id`` and no longer has ``data_source``."""
     early, late = _summary_batches(spark, sf_dir)
     table = upsert.VersionedTable(spark, new_work_dir(spark, "mart-sync"))
-    table.upsert(early.withColumn("data_source", F.lit("batch-1")), version=1)
-    table.upsert(late.withColumn("hospital_id", F.lit("HOSP-001")), version=2, sync_schema=True)
+    table.upsert(early.withColumn("data_source", F.lit("batch-1")), batch=1)
+    table.upsert(late.withColumn("hospital_id", F.lit("HOSP-001")), batch=2)
     return table.read()
 
 
@@ -188,6 +187,13 @@ def q_ingest_explode(spark, sf_dir):
     return messages.loaded(messages.decode(envs, stamp=F.col("timestamp"))).select(*MESSAGE_COLUMNS, "kafka_offset")
 
 
+@register("ingest_array_quarantine")
+def q_ingest_array_quarantine(spark, sf_dir):
+    envs = fixtures.array_envelopes(raw(spark, sf_dir))
+    return (messages.quarantined(messages.decode(envs, stamp=F.col("timestamp")))
+            .select("reason", "kafka_offset"))
+
+
 @register("ingest_utf8")
 def q_ingest_utf8(spark, sf_dir):
     envs = fixtures.binary_envelopes(raw(spark, sf_dir))
@@ -215,7 +221,6 @@ def q_ingest_counts(spark, sf_dir):
 
 @register("enrich_registry")
 def q_enrich(spark, sf_dir):
-    configure(spark)
     events = read_table(spark, sf_dir, "events")
     return enrich.enrich(fixtures.monitor_readings(events), fixtures.registry(events))
 
@@ -233,8 +238,8 @@ def _landed(spark, sf_dir, name, order=None, redeliver_mod=None):
     work = new_work_dir(spark, name)
     recs = fixtures.envelopes(raw(spark, sf_dir), faults=True)
     again = recs.where(F.col("offset") % redeliver_mod == 0) if redeliver_mod else None
-    land(recs, f"{work}/landing", STREAM_CHUNKS, FILES_PER_CHUNK, order, redeliver=again)
-    return work, read_landing(spark, f"{work}/landing", FILES_PER_CHUNK)
+    _, files = land(recs, f"{work}/landing", STREAM_CHUNKS, order=order, redeliver=again)
+    return work, read_landing(spark, f"{work}/landing", files)
 
 
 SOURCE_STAMP = "timestamp"     # streams stamp rows with the record time -> comparable with batch
@@ -245,37 +250,56 @@ def q_stream_ingest(spark, sf_dir):
     work, src = _landed(spark, sf_dir, "stream-ingest")
     jobs.run_to_end(jobs.start_ingest(src, f"{work}/raw", f"{work}/quarantine", f"{work}/checkpoint",
                                       stamp=F.col(SOURCE_STAMP), log_path=f"{work}/load_log"))
-    return jobs.read_raw(spark, f"{work}/raw")
+    return jobs.read_raw(spark, f"{work}/raw").select(*RAW_COLUMNS)
 
 
 @register("stream_staging")
 def q_stream_staging(spark, sf_dir):
     work, src = _landed(spark, sf_dir, "stream-staging")
     jobs.run_to_end(jobs.start_staging(src, f"{work}/stg", f"{work}/checkpoint", stamp=F.col(SOURCE_STAMP)))
-    return spark.read.parquet(f"{work}/stg")
+    return jobs.read_batches(spark, f"{work}/stg")
+
+
+@register("stream_staging_quarantine")
+def q_stream_staging_quarantine(spark, sf_dir):
+    """The other side of ``stream_staging``: what the same stream could not load."""
+    work, src = _landed(spark, sf_dir, "stream-staging")
+    jobs.run_to_end(jobs.start_staging(src, f"{work}/stg", f"{work}/checkpoint", stamp=F.col(SOURCE_STAMP)))
+    return (jobs.read_batches(spark, f"{work}/stg_quarantine")
+            .select("reason", "ingested_at", "kafka_partition", "kafka_offset"))
+
+
+def _stream_ward_hourly(spark, sf_dir, order=None):
+    work, src = _landed(spark, sf_dir, "stream-ward-hourly", order=order)
+    jobs.run_to_end(jobs.start_ward_hourly(src, f"{work}/ward_hourly", f"{work}/checkpoint", stamp=F.col(SOURCE_STAMP),
+                                           compact_every=2))
+    return jobs.read_ward_hourly(spark, f"{work}/ward_hourly")
 
 
 @register("stream_ward_hourly")
 def q_stream_ward_hourly(spark, sf_dir):
-    work, src = _landed(spark, sf_dir, "stream-ward-hourly")
-    jobs.run_to_end(jobs.start_ward_hourly(src, f"{work}/ward_hourly", f"{work}/checkpoint",
-                                           stamp=F.col(SOURCE_STAMP)))
-    return spark.read.parquet(f"{work}/ward_hourly")
+    return _stream_ward_hourly(spark, sf_dir)
+
+
+@register("stream_ward_hourly_late")
+def q_stream_ward_hourly_late(spark, sf_dir):
+    """A quarter of the records comes last, days late."""
+    return _stream_ward_hourly(spark, sf_dir, LATE_ORDER)
 
 
 @register("stream_latest")
 def q_stream_latest(spark, sf_dir):
     work, src = _landed(spark, sf_dir, "stream-latest")
-    table = upsert.VersionedTable(spark, f"{work}/mart")
-    jobs.run_to_end(jobs.start_latest(src, table, f"{work}/checkpoint", stamp=F.col(SOURCE_STAMP)))
-    return jobs.summary_from_latest(table.read())
+    jobs.run_to_end(jobs.start_latest(src, f"{work}/mart", f"{work}/checkpoint", stamp=F.col(SOURCE_STAMP), compact_every=3))
+    latest = jobs.latest_table(spark, f"{work}/mart").read()
+    return jobs.summary_from_latest(latest, marts.max_reading_time(latest))
 
 
 @register("stream_dedup")
 def q_stream_dedup(spark, sf_dir):
     work, src = _landed(spark, sf_dir, "stream-dedup", redeliver_mod=REDELIVER_MODULUS)
     jobs.run_to_end(jobs.start_dedup(src, f"{work}/dedup", f"{work}/checkpoint", stamp=F.col(SOURCE_STAMP)))
-    return spark.read.parquet(f"{work}/dedup")
+    return jobs.read_batches(spark, f"{work}/dedup").drop("kafka_partition", "reading_day")
 
 
 @register("stream_silent_monitors")
@@ -289,21 +313,22 @@ def q_stream_silent(spark, sf_dir):
 
 @register("stream_late")
 def q_stream_late(spark, sf_dir):
-    work, src = _landed(spark, sf_dir, "stream-late", order=LATE_ORDER)
-    jobs.run_to_end(jobs.start_late(spark, src, f"{work}/late", f"{work}/progress", f"{work}/checkpoint",
-                                    stamp=F.col(SOURCE_STAMP)))
-    return spark.read.parquet(f"{work}/late")
+    work, src = _landed(spark, sf_dir, "stream-late")
+    jobs.run_to_end(jobs.start_late(src, f"{work}/late", f"{work}/checkpoint", LATE_SECONDS, stamp=F.col(SOURCE_STAMP)))
+    return jobs.read_batches(spark, f"{work}/late")
 
 
 # ---------------------------------------------------------------- step 4: quality, monitoring
-def mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stg = staged(spark, sf_dir)
+def mart_of(readings: DataFrame) -> DataFrame:
+    stg = staging.stage(readings, carry=("kafka_offset",))
     return marts.health_summary(stg, marts.max_reading_time(stg))
 
 
 def _dq(spark, sf_dir, tests: tuple[str, ...]):
     checks = [c for c in quality.default_checks() if c.test in tests]
-    return quality.report(raw(spark, sf_dir), mart(spark, sf_dir), checks)
+    of_mart = any(c.relation == quality.MART for c in checks)
+    readings = raw(spark, sf_dir)
+    return quality.report(readings, mart_of(readings) if of_mart else None, checks)
 
 
 @register("dq_not_null")

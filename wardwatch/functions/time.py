@@ -1,8 +1,7 @@
 """Time helpers on TIMESTAMP_NTZ readings.
 
-Readings are wall-clock UTC without zone. Sessions run with
-``spark.sql.session.timeZone=UTC`` (see :func:`wardwatch.session.configure`),
-which makes the NTZ <-> TIMESTAMP casts below identities.
+Readings are wall-clock UTC without zone; nothing here depends on the
+session's time zone but the session clock.
 """
 
 from __future__ import annotations
@@ -24,7 +23,7 @@ def ntz_literal(value: str | _dt.datetime) -> Column:
 
 def trunc_ntz(unit: str, ts: Column | str) -> Column:
     """``DATE_TRUNC(unit, ts)`` that stays TIMESTAMP_NTZ (Spark's returns TIMESTAMP)."""
-    return F.date_trunc(unit, ts).cast("timestamp_ntz")
+    return F.date_trunc(unit, ts).cast("timestamp_ntz")     # through the session zone and back
 
 
 def boundaries_between(unit: str, start: Column | str, end: Column | str) -> Column:
@@ -41,6 +40,10 @@ def boundaries_between(unit: str, start: Column | str, end: Column | str) -> Col
 
 
 def to_event_time(ts: Column | str) -> Column:
-    """NTZ reading time as TIMESTAMP, the type a watermark requires."""
-    col = F.col(ts) if isinstance(ts, str) else ts
-    return col.cast("timestamp")
+    """NTZ reading time (UTC wall clock) as TIMESTAMP, the type a watermark requires, in any session zone."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts))
+
+
+def from_event_time(ts: Column) -> Column:
+    """The UTC wall clock of a TIMESTAMP, as NTZ, in any session zone."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), ts.cast("timestamp_ntz"))

@@ -6,22 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardwatch.config import DATA_SOURCE, HOSPITAL_ID
-from wardwatch.plans.joins import checked_broadcast
 from wardwatch.schemas import MESSAGE_COLUMNS
 
-# registry rows broadcast at most; beyond, a shuffle join on patient_id
-MAX_BROADCAST_PATIENTS = 1_000_000
 
-
-def enrich(readings: DataFrame, registry: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_PATIENTS,
-           keep: tuple[str, ...] = ("kafka_offset",)) -> DataFrame:
+def enrich(readings: DataFrame, registry: DataFrame, keep: tuple[str, ...] = ("kafka_offset",),
+           unmatched: bool = False) -> DataFrame:
     """Readings x registry on ``patient_id`` -> the 16 message fields (+ ``keep``).
 
-    Inner join: a reading of an unregistered patient has no message. The
-    registry is broadcast only behind a row-count check.
+    A reading of an unregistered patient has no message; ``unmatched`` returns
+    those readings instead. Spark picks the join by the registry's size in bytes.
     """
-    reg = checked_broadcast(registry, max_broadcast_rows)
-    joined = readings.join(reg, on="patient_id", how="inner")
+    if unmatched:
+        return readings.join(registry, on="patient_id", how="left_anti")
+    joined = readings.join(registry, on="patient_id", how="inner")
     return joined.select(
         *[F.col(c) for c in MESSAGE_COLUMNS if c not in ("device_id", "hospital_id", "data_source")],
         F.concat(F.lit("MONITOR-"), F.col("patient_id")).alias("device_id"),

@@ -3,8 +3,8 @@
 Shuffles: one by patient (latest reading; ``WindowGroupLimit`` keeps one row
 per patient per map partition before the exchange, so a hot patient costs
 nothing extra), one by ward-hour for the rollup (partial aggregation map
-side), and the ward context join is a broadcast of at most one row per ward,
-behind a row-count check.
+side). The ward context has at most one row per ward; Spark picks the join by
+its size in bytes.
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ from wardwatch.functions import clinical as C
 from wardwatch.functions.cache import per_context
 from wardwatch.functions.rounding import half_up_div, rounded_mean
 from wardwatch.functions.time import boundaries_between, ntz_literal, trunc_ntz
-from wardwatch.plans.joins import checked_broadcast
 from wardwatch.sources.tables import PARTITION_COLUMN
 
 LATEST_COLUMNS = (
@@ -43,9 +42,6 @@ WARD_CONTEXT_COLUMNS = (
     "ward_readings_this_hour", "ward_alert_rate_pct", "ward_avg_heart_rate", "ward_avg_spo2",
 )
 
-# at most this many ward rows are broadcast to the patient side
-MAX_BROADCAST_WARDS = 100_000
-
 
 def as_of_column(as_of: str | _dt.datetime | Column | None) -> Column:
     """The clock of a run: a literal for replays/tests, else the session's now."""
@@ -187,6 +183,34 @@ def ward_hourly(staged: DataFrame) -> DataFrame:
     return agg.select("ward", "reading_hour", *ward_hour_figures("_patients"))
 
 
+# a micro-batch's share of the rollup: sums per (ward, hour, patient)
+_PARTIAL_KEYS = ("ward", "reading_hour", "patient_id")
+
+
+def ward_partials(staged: DataFrame) -> DataFrame:
+    """The rollup's sums per ward, hour and patient."""
+    return staged.groupBy(*_PARTIAL_KEYS).agg(*ward_hour_partials())
+
+
+def _added_up() -> list[Column]:
+    sums = [F.sum(c).cast("long").alias(c) for c in (
+        "total_readings", "total_alerts", "tachycardia_count", "bradycardia_count", "critical_spo2_count",
+        "hypertensive_crisis_count", "_hr_sum", "_hr_n", "_sys_sum", "_sys_n", "_spo2_sum", "_spo2_n",
+        "_temp_sum", "_temp_n")]
+    return [*sums, F.max("latest_reading_at").alias("latest_reading_at"), F.min("earliest_reading_at").alias("earliest_reading_at")]
+
+
+def merge_ward_partials(partials: DataFrame) -> DataFrame:
+    """Sums of several batches added up, one row per ward, hour and patient."""
+    return partials.groupBy(*_PARTIAL_KEYS).agg(*_added_up())
+
+
+def ward_hourly_of(partials: DataFrame) -> DataFrame:
+    """The ward-hour figures (as :func:`ward_hourly`) of merged sums."""
+    agg = partials.groupBy("ward", "reading_hour").agg(*_added_up(), F.count(F.lit(1)).alias("_patients"))
+    return agg.select("ward", "reading_hour", *ward_hour_figures("_patients"))
+
+
 def ward_context(staged: DataFrame, hour_start: Column) -> DataFrame:
     """The ward rollup of one hour, renamed for the patient join.
 
@@ -205,18 +229,19 @@ def ward_context(staged: DataFrame, hour_start: Column) -> DataFrame:
 
 
 def health_summary(staged: DataFrame, as_of=None, th: Thresholds = DEFAULT_THRESHOLDS,
-                   cut_at_as_of: bool = False) -> DataFrame:
+                   cut_at_as_of: bool = False, ward_readings: DataFrame | None = None) -> DataFrame:
     """The patient health summary mart (24 columns).
 
     Each patient's current row, joined (left) to its ward's figures for the
     hour of ``as_of``. With ``cut_at_as_of`` readings after ``as_of`` are
-    ignored, so that a past moment replays exactly.
+    ignored, so that a past moment replays exactly. The ward figures come from
+    ``ward_readings`` (default: the same readings).
     """
     now = as_of_column(as_of)
     if cut_at_as_of:
         staged = in_time_range(staged, None, now, end_inclusive=True)
     summary = patient_summary(latest_per_patient(staged), now, th)
-    context = checked_broadcast(ward_context(staged, trunc_ntz("hour", now)), MAX_BROADCAST_WARDS)
+    context = ward_context(staged if ward_readings is None else ward_readings, trunc_ntz("hour", now))
     return summary.join(context, on="ward", how="left").select(*SUMMARY_COLUMNS, *WARD_CONTEXT_COLUMNS)
 
 
@@ -238,6 +263,13 @@ def lookback(staged: DataFrame, as_of, hours: int = LOOKBACK_HOURS) -> DataFrame
     return in_time_range(staged, start, now, end_inclusive=True)
 
 
+def loaded_since(readings: DataFrame, as_of, hours: int = LOOKBACK_HOURS) -> DataFrame:
+    """Readings loaded in the ``hours`` before ``as_of``: everything that arrived, however late."""
+    now = as_of_column(as_of)
+    start = now - F.make_dt_interval(hours=F.lit(hours))
+    return readings.where((F.col("ingested_at") >= start) & (F.col("ingested_at") <= now))
+
+
 def silent_monitors(summary: DataFrame, max_minutes: int = 60) -> DataFrame:
     """Patients whose newest reading is more than ``max_minutes`` old."""
     return (summary.where(F.col("minutes_since_last_reading") > max_minutes)

@@ -6,23 +6,36 @@ row wins). One shuffle by key; ``WindowGroupLimit`` keeps one row per key
 per map partition before the exchange, so a key that dominates the batch
 costs no more than any other.
 
-``VersionedTable`` stores each merge result as a new version directory and
-then records the commit in a small commits table. A micro-batch that is
-replayed after a failure rewrites only its own version from the version
-before it, so the sink is idempotent by batch id, and a version is never
-overwritten while it is read.
+``VersionedTable`` publishes immutable snapshots: a version is a new folder
+that nothing ever writes to again, visible once its commit is recorded.
+``MergedTable`` is a snapshot plus the small batches written since; a
+micro-batch adds only its own rows, and a reader merges.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+COMMIT_SCHEMA = "version long, folder string, through map<string,long>, committed_at timestamp_ntz"
+
+
+def read_if_there(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
+    """The parquet files under ``path``; None if the path does not exist (any other error is raised)."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    try:
+        return reader.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
 
 def sync_columns(target: DataFrame, schema: T.StructType) -> DataFrame:
     """Target rows in ``schema``: vanished columns dropped, new ones NULL, types cast."""
@@ -32,166 +45,165 @@ def sync_columns(target: DataFrame, schema: T.StructType) -> DataFrame:
         for f in schema.fields])
 
 
-def upsert_by_key(target: DataFrame, updates: DataFrame, key: str | list[str] = "patient_id",
-                  order: tuple[str, ...] = ("last_reading_at",), sync_schema: bool = False) -> DataFrame:
+def newest_by_key(df: DataFrame, key: str | list[str], order: tuple[str, ...]) -> DataFrame:
+    """The row of each key with the greatest ``order``."""
+    keys = [key] if isinstance(key, str) else list(key)
+    w = Window.partitionBy(*keys).orderBy(*[F.col(o).desc() for o in order])
+    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+
+
+def upsert_by_key(target: DataFrame | None, updates: DataFrame, key: str | list[str] = "patient_id",
+                  order: tuple[str, ...] = ("last_reading_at",), sync_schema: bool = True) -> DataFrame:
     """Merge ``updates`` into ``target`` by ``key``; the newer row (by ``order``) wins.
 
     Keys absent from ``updates`` keep their old row. With ``sync_schema`` the
     result takes the columns of ``updates`` (added columns are NULL for old
-    rows, dropped columns disappear); otherwise the target's columns.
+    rows, dropped columns disappear); otherwise the target's columns. Without
+    a target, several updates of one key still become one row.
     """
-    keys = [key] if isinstance(key, str) else list(key)
+    if target is None:
+        return newest_by_key(updates, key, order)
     if sync_schema:
-        schema = updates.schema
-        target = sync_columns(target, schema)
+        target = sync_columns(target, updates.schema)
     else:
-        schema = target.schema
-        updates = sync_columns(updates, schema)
-    cols = schema.fieldNames()
+        updates = sync_columns(updates, target.schema)
     both = (target.withColumn("_src", F.lit(0))
             .unionByName(updates.withColumn("_src", F.lit(1))))
-    w = Window.partitionBy(*keys).orderBy(*[F.col(o).desc() for o in order], F.col("_src").desc())
-    return both.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).select(*cols)
+    return newest_by_key(both, key, (*order, "_src")).drop("_src")
 
 
 class VersionedTable:
-    """A table stored as committed versions below ``base`` (a shared folder).
+    """A table published as immutable versions below ``base`` (a shared folder); one writer at a time.
 
-    With ``keep`` the versions rotate through ``keep`` slots (version mod
-    keep): storage stays bounded without deleting anything, the newest
-    committed version and the one before it are never in the slot being
-    written, and a replayed batch rewrites its own slot. ``keep=None``
-    keeps every version.
+    A version's data go to a folder with a name of its own, so neither a
+    failed attempt nor a restart can touch data that a reader may hold. The
+    commit names the folder; a version that exists is never written again.
     """
 
-    def __init__(self, spark: SparkSession, base: str, keep: int | None = 3):
-        if keep is not None and keep < 3:
-            raise ValueError("keep must be at least 3 (the version written, the current one, the one before)")
+    def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
         self.base = base.rstrip("/")
-        self.keep = keep
-        # newest version committed by this writer (single writer per table);
-        # after a restart it is read back from the commits table
-        self._committed: int | None = None
-
-    def _slot(self, version: int) -> str:
-        return f"v={version:012d}" if self.keep is None else f"slot={version % self.keep}"
-
-    def _data(self, version: int) -> str:
-        return f"{self.base}/data/{self._slot(version)}"
 
     def _commits(self) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(f"{self.base}/commits")
-        except AnalysisException:
-            return None
+        return read_if_there(self.spark, f"{self.base}/commits", COMMIT_SCHEMA)
 
-    def latest(self, before: int | None = None) -> int | None:
-        """The newest committed version (below ``before`` if given); one scalar."""
-        if self._committed is not None and (before is None or self._committed < before):
-            return self._committed
+    def _commit(self, version: int | None = None):
+        """The commit of ``version``, or the newest; one bounded row."""
         commits = self._commits()
         if commits is None:
             return None
-        if before is not None:
-            commits = commits.where(F.col("version") < before)
-        return commits.agg(F.max("version").alias("v")).first()["v"]
+        if version is not None:
+            return commits.where(F.col("version") == version).first()
+        return commits.orderBy(F.col("version").desc()).first()
 
-    def read(self, version: int | None = None) -> DataFrame:
-        v = self.latest() if version is None else version
-        if v is None:
-            raise FileNotFoundError(f"no committed version below {self.base}")
-        if version is not None and self.keep is not None:
-            commits = self._commits()
-            held = None if commits is None else commits.where(F.col("version") == v).limit(1).count()
-            if not held:
-                raise FileNotFoundError(f"version {v} is no longer kept below {self.base}")
-        return self.spark.read.parquet(self._data(v))
-
-    def write_version(self, df: DataFrame, version: int) -> DataFrame:
-        """Write ``df`` as uncommitted ``version`` (replacing a partial earlier attempt)."""
-        df.write.mode("overwrite").parquet(self._data(version))
-        return self.spark.read.parquet(self._data(version))
-
-    def commit(self, df: DataFrame, version: int) -> None:
-        """Write ``df`` as ``version``, then record it."""
-        self.write_version(df, version)
-        self.mark_committed(version)
-
-    def mark_committed(self, version: int) -> None:
-        marker = self.spark.createDataFrame(
-            [(version, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))],
-            "version long, committed_at timestamp_ntz")
-        marker.write.mode("overwrite").parquet(f"{self.base}/commits/{self._slot(version)}")
-        if self._committed is None or version > self._committed:
-            self._committed = version
-
-    def upsert(self, updates: DataFrame, version: int, key="patient_id",
-               order: tuple[str, ...] = ("last_reading_at",), sync_schema: bool = False,
-               audit: Callable[[DataFrame], object] | None = None) -> None:
-        """Merge ``updates`` into the newest version below ``version`` and commit ``version``.
-
-        ``audit`` runs on the written (not yet committed) version and may raise
-        to stop the publish: readers keep seeing the previous version.
-        """
-        prev = self.latest(before=version)
-        if prev is None:
-            merged = updates
-        else:
-            merged = upsert_by_key(self.read(prev), updates, key, order, sync_schema)
-        written = self.write_version(merged, version)
-        if audit is not None:
-            audit(written)
-        self.mark_committed(version)
+    def latest(self) -> int | None:
+        """The newest committed version."""
+        commit = self._commit()
+        return None if commit is None else commit["version"]
 
+    def through(self) -> dict[str, int]:
+        """The newest batch of each source that the newest version contains."""
+        commit = self._commit()
+        return {} if commit is None else dict(commit["through"] or {})
 
-class BucketedTable:
-    """Current row per key, stored in hash buckets of the key.
+    def read(self, version: int | None = None) -> DataFrame:
+        commit = self._commit(version)
+        if commit is None:
+            raise FileNotFoundError(f"no committed version {version or ''} below {self.base}")
+        return self.spark.read.parquet(f"{self.base}/data/{commit['folder']}")
+
+    def publish(self, df: DataFrame, through: dict[str, int] | None = None,
+                audit: Callable[[DataFrame], object] | None = None) -> int:
+        """Write ``df`` as the next version and commit it.
 
-    An upsert rewrites only the buckets its rows fall in: those buckets are
-    read (partition pruning), merged with the new rows (newer wins), written
-    to a staging folder (so no job overwrites a path it reads), then put in
-    place with dynamic partition overwrite. At a low update rate a
-    micro-batch touches a few buckets, not the whole table. Replaying a batch
-    re-merges the same rows into the same buckets (idempotent). Readers may
-    see a bucket replaced while another is not yet; use
-    :class:`VersionedTable` where a snapshot is needed.
+        ``audit`` runs on the written, not yet committed rows and may raise to
+        stop the publish: readers keep seeing the versions that they saw.
+        """
+        version = (self.latest() or 0) + 1
+        folder = f"v={version:012d}-{uuid.uuid4().hex[:12]}"
+        df.write.parquet(f"{self.base}/data/{folder}")
+        if audit is not None:
+            audit(self.spark.read.parquet(f"{self.base}/data/{folder}"))
+        now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        # fails if another writer has committed this version meanwhile
+        (self.spark.createDataFrame([(version, folder, through or {}, now)], COMMIT_SCHEMA).coalesce(1)
+         .write.mode("error").parquet(f"{self.base}/commits/v={version:012d}"))
+        return version
+
+    def upsert(self, updates: DataFrame, batch: int | None = None, source: str = "", key="patient_id",
+               order: tuple[str, ...] = ("last_reading_at",), sync_schema: bool = True,
+               audit: Callable[[DataFrame], object] | None = None) -> int:
+        """Merge ``updates`` into the newest version and publish the next one.
+
+        ``batch`` numbers the updates of one ``source``, ascending: one that the
+        table already contains is a replay and changes nothing.
+        """
+        commit = self._commit()
+        through = {} if commit is None else dict(commit["through"] or {})
+        if batch is not None and batch <= through.get(source, -1):
+            return commit["version"]
+        if batch is not None:
+            through[source] = batch
+        target = None if commit is None else self.read(commit["version"])
+        return self.publish(upsert_by_key(target, updates, key, order, sync_schema), through, audit)
+
+
+class MergedTable:
+    """A snapshot and the batches written since, merged by ``merge`` when read.
+
+    ``merge`` maps rows to rows of the same columns and may be applied again to
+    its own output (newest row per key; sums per group). A batch is a folder
+    named by its stream and number, so a replay replaces its own rows, and a
+    stream on a new checkpoint (another source) adds to what is there.
     """
 
-    def __init__(self, spark: SparkSession, base: str, key: str = "patient_id", buckets: int = 64):
-        self.spark = spark
+    def __init__(self, spark: SparkSession, base: str, merge: Callable[[DataFrame], DataFrame],
+                 compact_every: int | None = 50):
+        self.spark, self.merge, self.compact_every = spark, merge, compact_every
         self.base = base.rstrip("/")
-        self.key = key
-        self.buckets = buckets
-
-    def _current(self) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(f"{self.base}/current")
-        except AnalysisException:
+        self.snapshot = VersionedTable(spark, f"{self.base}/snapshot")
+
+    def add(self, rows: DataFrame, source: str, batch: int) -> None:
+        """Write one batch (already merged within itself); fold batches in now and then."""
+        rows.write.mode("overwrite").parquet(f"{self.base}/batches/source={source}/batch_id={batch}")
+        if self.compact_every and batch % self.compact_every == self.compact_every - 1:
+            self.compact()
+
+    def _open(self) -> DataFrame | None:
+        """Rows of batches that the snapshot does not contain."""
+        rows = read_if_there(self.spark, f"{self.base}/batches")
+        if rows is None:
             return None
+        for source, batch in self.snapshot.through().items():
+            rows = rows.where((F.col("source") != source) | (F.col("batch_id") > batch))
+        return rows
 
     def read(self) -> DataFrame:
-        cur = self._current()
-        if cur is None:
+        rows, version = self._open(), self.snapshot.latest()
+        if rows is None and version is None:
             raise FileNotFoundError(f"nothing written below {self.base}")
-        return cur.drop("bucket")
-
-    def bucket_of(self) -> Column:
-        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
-
-    def upsert(self, updates: DataFrame, order: tuple[str, ...] = ("last_reading_at",)) -> None:
-        upd = updates.withColumn("bucket", self.bucket_of()).persist()
-        try:
-            touched = [r["bucket"] for r in upd.select("bucket").distinct().collect()]  # <= buckets values
-            if not touched:
-                return
-            cur = self._current()
-            merged = upd if cur is None else upsert_by_key(
-                cur.where(F.col("bucket").isin(touched)), upd, self.key, order)
-            staging_path = f"{self.base}/staging"
-            merged.write.mode("overwrite").parquet(staging_path)
-            (self.spark.read.parquet(staging_path).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").partitionBy("bucket")
-             .parquet(f"{self.base}/current"))
-        finally:
-            upd.unpersist()
+        rows = None if rows is None else rows.drop("source", "batch_id")
+        if version is None:
+            return self.merge(rows)
+        base = self.snapshot.read(version)
+        return base if rows is None else self.merge(base.unionByName(rows, allowMissingColumns=True))
+
+    def read_before(self, source: str, batch: int) -> DataFrame | None:
+        """The merged rows without this batch and later ones of its source (a replay has written some); None if there are none."""
+        rows, version = self._open(), self.snapshot.latest()
+        parts = [] if version is None else [self.snapshot.read(version)]
+        if rows is not None:
+            earlier = rows.where((F.col("source") != source) | (F.col("batch_id") < batch)).drop("source", "batch_id")
+            if not earlier.isEmpty():
+                parts.append(earlier)
+        return self.merge(parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])) if parts else None
+
+    def compact(self) -> int | None:
+        """Publish a snapshot of everything written so far."""
+        rows = self._open()
+        if rows is None:
+            return None
+        through = self.snapshot.through()
+        for r in rows.groupBy("source").agg(F.max("batch_id").alias("b")).collect():    # a row for each stream
+            through[r["source"]] = max(r["b"], through.get(r["source"], -1))
+        return self.snapshot.publish(self.read(), through)

@@ -1 +1 @@
-"""Plan-level helpers: checked broadcasts and end-to-end batch runs."""
+"""End-to-end batch runs."""

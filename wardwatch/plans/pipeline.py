@@ -10,7 +10,6 @@ and the mart is computed once.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from wardwatch.config import DEFAULT_THRESHOLDS, Thresholds
 from wardwatch.functions.clinical import risk_rank
@@ -22,27 +21,29 @@ def build_mart(raw: DataFrame, as_of=None, th: Thresholds = DEFAULT_THRESHOLDS,
                lookback_hours: int | None = None) -> DataFrame:
     """The patient health summary with its triage sort key (``risk_rank``).
 
-    With ``lookback_hours`` only readings of that window before ``as_of``
-    are read (on a raw table laid out by day, only those day folders): the
-    result holds the patients heard from in the window, to be merged into
-    the previous mart.
+    With ``lookback_hours`` the result holds the patients of whom a reading was
+    loaded in that window before ``as_of``, however old the reading, to be
+    merged into the previous mart; the ward figures still come from all
+    readings of the hour.
     """
     staged = staging.stage(raw, th, carry=("kafka_offset",))
-    if lookback_hours is not None:
-        staged = marts.lookback(staged, as_of, lookback_hours)
-    mart = marts.health_summary(staged, as_of, th)
+    recent = staged if lookback_hours is None else marts.loaded_since(staged, as_of, lookback_hours)
+    mart = marts.health_summary(recent, as_of, th, ward_readings=staged)
     return mart.withColumn("risk_rank", risk_rank("patient_risk_level"))
 
 
-def run_batch(spark: SparkSession, raw: DataFrame, table: VersionedTable, version: int, as_of=None,
+def run_batch(spark: SparkSession, raw: DataFrame, table: VersionedTable, batch: int | None = None, as_of=None,
               th: Thresholds = DEFAULT_THRESHOLDS, gate_relations=None,
               lookback_hours: int | None = None) -> list:
-    """Publish ``version`` of the mart in ``table`` if the quality gate passes.
+    """Publish the next version of the mart in ``table`` if the quality gate passes.
+
+    ``batch`` numbers the runs, so that one that is repeated changes nothing.
+    Columns that the mart gains or loses appear and vanish in the table.
 
     ``as_of`` defaults to the session clock (the reference behaviour);
     ``gate_relations`` limits which relations' error checks stop the run
     (default: all). With ``lookback_hours`` the run is incremental: only
-    the window's readings are read and checked, and patients not heard from
+    readings loaded in the window are merged and checked, and patients not heard from
     keep their previous row (their staleness figure is as of their last
     update). Returns the failing warning-level report rows; raises
     :class:`quality.QualityGateError` otherwise, leaving the table as it was.
@@ -51,13 +52,12 @@ def run_batch(spark: SparkSession, raw: DataFrame, table: VersionedTable, versio
 
     checked_raw = raw
     if lookback_hours is not None:
-        start = marts.as_of_column(as_of) - F.make_dt_interval(hours=F.lit(lookback_hours))
-        checked_raw = marts.in_time_range(raw, start, marts.as_of_column(as_of), end_inclusive=True)
+        checked_raw = marts.loaded_since(raw, as_of, lookback_hours)
 
     def audit(written: DataFrame) -> None:
         rep = quality.report(checked_raw, written, th=th)
         warnings.extend(quality.enforce(rep, gate_relations))
 
-    table.upsert(build_mart(raw, as_of, th, lookback_hours), version, key="patient_id",
+    table.upsert(build_mart(raw, as_of, th, lookback_hours), batch, key="patient_id",
                  order=("last_reading_at",), audit=audit)
     return warnings

@@ -1,50 +1,37 @@
-"""Session settings and the shared work folder.
+"""Settings of the library's own sessions, and the shared work folder.
 
-The library never picks a machine-local folder on a cluster: jobs that must
-write intermediate tables (stream checkpoints, landed files, mart versions)
-put them below the shared folder named by ``spark.checkpoint.dir``. Only
-when that setting is absent (tests on one machine) is a local folder made.
+Queries change no setting of a session that they are given. Jobs that write
+intermediate tables (stream checkpoints, landed files, mart versions) put them
+below the shared folder named by ``spark.checkpoint.dir``; without that setting
+a folder of this machine is made if the master is local, else an error raised.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-# settings every plan here relies on (runtime-settable)
+# settings of sessions made by build_session (no query depends on them for its rows)
 SESSION_SETTINGS = {
-    # readings are zone-less UTC wall clock; NTZ<->TIMESTAMP casts must be identities
+    # the session clock is taken as UTC
     "spark.sql.session.timeZone": "UTC",
     # runtime re-planning: coalesce small shuffles, split skewed partitions
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # staging is one wide projection of many aliased CASE expressions over
-    # decoded JSON; deriving constraints through it costs seconds per plan
-    # (every micro-batch re-plans). Joins here filter their keys explicitly,
-    # so the inferred IS NOT NULL filters are not needed.
-    "spark.sql.constraintPropagation.enabled": "false",
     # the fused staging stage generates one Java method larger than HotSpot
     # will JIT-compile (8000 bytes); past that limit Spark runs the operators
     # with their own (compiled) projections instead: 3-4x faster here
     "spark.sql.codegen.hugeMethodLimit": "8000",
-    # stream state off the JVM heap (large state at scale); also required by
-    # transformWithState (silent-monitor timers)
+    # stream state off the JVM heap (large state at scale)
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings the plans rely on; idempotent."""
-    for k, v in SESSION_SETTINGS.items():
-        if spark.conf.get(k, None) != v:
-            spark.conf.set(k, v)
-    return spark
-
-
 def build_session(master: str | None = None, app_name: str = "wardwatch",
                   shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """Create (or get) a session with the library settings.
@@ -64,18 +51,20 @@ def build_session(master: str | None = None, app_name: str = "wardwatch",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    return configure(spark)
+    return spark
 
 
 def shared_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables (``spark.checkpoint.dir``).
 
-    Falls back to a fresh local temporary folder only when the setting is
-    unset, and records it as the checkpoint folder of this session.
+    Where the setting is unset: on a local master a fresh temporary folder,
+    recorded as the checkpoint folder of this session; else an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not root and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not root:
         app = spark.sparkContext.applicationId
         root = _LOCAL_ROOTS.get(app)

@@ -175,6 +175,12 @@ QUOTED_HEART_RATE = (983, 3)    # "heart_rate_bpm":"<n>" (a quoted number loads)
 MISSING_RESP_RATE = (977, 4)    # respiratory_rate left out
 LONG_PATIENT_ID = (971, 5)      # a 21-character patient id
 BAD_UTF8_NAME = (967, 6)        # a 0xFF byte inside patient_name (binary values only)
+TRAILING_TEXT = (953, 7)        # text after the object
+SECOND_OBJECT = (947, 8)        # the object twice in one value
+EMPTY_ARRAY = (941, 9)          # "[]"
+ZONE_OFFSET = (937, 10)         # the reading time written at +05:30 (loads as UTC)
+NULL_ELEMENT = (929, 11)        # in arrays only: a null before the object
+SCALAR_ELEMENT = (919, 12)      # in arrays only: a number after the object
 TRUNCATE_AT = 40
 # --- end of fixed values ---
 
@@ -183,6 +189,9 @@ def _hit(rule, off: Column) -> Column:
     return off % rule[0] == rule[1]
 
 
+_READING_TIME = r'("reading_timestamp":")[^"]*"'
+
+
 def envelopes(raw: DataFrame, faults: bool = True) -> DataFrame:
     """Raw readings -> topic records ``(key, value, partition, offset, timestamp)``.
 
@@ -200,13 +209,19 @@ def envelopes(raw: DataFrame, faults: bool = True) -> DataFrame:
             .otherwise(F.col("patient_id")),
         ).withColumn(
             "respiratory_rate", F.when(~_hit(MISSING_RESP_RATE, off), F.col("respiratory_rate")))
-    rec = encode(rows, keep=("kafka_partition", "kafka_offset", "ingested_at"))
+    rec = encode(rows.withColumn("_time", F.col("reading_timestamp")), keep=("kafka_partition", "kafka_offset", "ingested_at", "_time"))
     value = F.col("value")
+    # the same moment on a clock that is 5:30 ahead
+    local = F.coalesce(F.date_format(F.col("_time") + F.expr("INTERVAL '05:30' HOUR TO MINUTE"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit(""))
     if faults:
         value = (F.when(_hit(TRUNCATED_JSON, off), F.substring(value, 1, TRUNCATE_AT))
                  .when(_hit(FRACTIONAL_AGE, off), F.regexp_replace(value, r'"age":-?[0-9]+', '"age":98.6'))
                  .when(_hit(QUOTED_HEART_RATE, off),
                        F.regexp_replace(value, r'"heart_rate_bpm":(-?[0-9]+)', '"heart_rate_bpm":"$1"'))
+                 .when(_hit(TRAILING_TEXT, off), F.concat(value, F.lit(" end")))
+                 .when(_hit(SECOND_OBJECT, off), F.concat(value, value))
+                 .when(_hit(EMPTY_ARRAY, off), "[]")
+                 .when(_hit(ZONE_OFFSET, off), F.regexp_replace(value, _READING_TIME, F.concat(F.lit("$1"), local, F.lit('+05:30"'))))
                  .otherwise(value))
     return rec.select(
         "key", value.alias("value"),
@@ -224,11 +239,14 @@ def array_envelopes(raw: DataFrame, group_size: int = 2, single_every: int = 3)
     smallest offset in it. Grouping is a shuffle of bounded groups.
     """
     rec = envelopes(raw, faults=False)
+    off = F.col("offset")
+    value = (F.when(_hit(NULL_ELEMENT, off), F.concat(F.lit("null,"), "value"))
+             .when(_hit(SCALAR_ELEMENT, off), F.concat("value", F.lit(",5"))).otherwise(F.col("value")))
     grp = F.floor(F.col("offset") / group_size)
     single = rec.where(grp % single_every == 0)
     arrays = (rec.where(grp % single_every != 0)
               .groupBy(grp.alias("_g"))
-              .agg(F.concat(F.lit("["), F.array_join(F.collect_list("value"), ","), F.lit("]")).alias("value"),
+              .agg(F.concat(F.lit("["), F.array_join(F.collect_list(value), ","), F.lit("]")).alias("value"),
                    F.min("offset").alias("offset"), F.min("partition").alias("partition"),
                    F.min("timestamp").alias("timestamp"), F.min("key").alias("key")))
     return single.unionByName(arrays.drop("_g"))

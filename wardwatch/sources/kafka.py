@@ -36,15 +36,18 @@ def read_topic(spark: SparkSession, bootstrap: str, topic: str = TOPIC, group: s
         "partition", "offset", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"))
 
 
+def sink_options(bootstrap: str, topic: str = TOPIC) -> dict[str, str]:
+    """All-replica acknowledgement, 3 retries, 10 ms linger, as the producer does."""
+    return {"kafka.bootstrap.servers": bootstrap, "topic": topic, "kafka.acks": "all", "kafka.retries": "3",
+            "kafka.linger.ms": "10"}
+
+
 def write_topic(rows: DataFrame, bootstrap: str, topic: str = TOPIC) -> None:
-    """Publish readings keyed by patient id (a patient stays in one partition).
+    """Publish readings keyed by patient id (a patient stays in one partition)."""
+    encode(rows).write.format("kafka").options(**sink_options(bootstrap, topic)).save()
 
-    All-replica acknowledgement, 3 retries, 10 ms linger, as the producer does.
-    """
-    (encode(rows).write.format("kafka")
-     .option("kafka.bootstrap.servers", bootstrap)
-     .option("topic", topic)
-     .option("kafka.acks", "all")
-     .option("kafka.retries", "3")
-     .option("kafka.linger.ms", "10")
-     .save())
+
+def stream_writer(rows: DataFrame, bootstrap: str, checkpoint: str, topic: str = TOPIC):
+    """The writer that publishes a stream of readings keyed by patient id; call ``start()`` on it."""
+    return (encode(rows).writeStream.format("kafka").options(**sink_options(bootstrap, topic))
+            .option("checkpointLocation", checkpoint).outputMode("append"))

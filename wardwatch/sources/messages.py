@@ -3,9 +3,11 @@
 Decoding reads every field as text first (``from_json`` with string fields
 keeps ``98.6`` and ``"12"`` verbatim), then applies the typed cast per field
 with ``try_cast``: a field that is present but does not cast marks the
-record bad, a missing field is NULL. A value may hold one object or an array
-of objects (the outer array is stripped: one row per element). Records that
-cannot be loaded keep their text and get a reason; the load goes on.
+record bad, a missing field is NULL. A value holds one object or an array
+of objects (the outer array is stripped: one row per element). Everything
+that is received either loads or is set aside with its text and a reason: text
+after the object or array, a NULL or non-object element, an empty array too.
+A reading time with a zone offset is converted to UTC.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from pyspark.sql import types as T
 
 from wardwatch.config import MAX_LENGTHS
 from wardwatch.functions.cache import per_context
-from wardwatch.schemas import MESSAGE_COLUMNS, MESSAGE_FIELDS, MESSAGE_TEXT_ARRAY, RAW_COLUMNS
+from wardwatch.schemas import MESSAGE_COLUMNS, MESSAGE_FIELDS, MESSAGE_TEXT_ARRAY, MESSAGE_TEXT_SCHEMA, RAW_COLUMNS
 
 # reading times travel as ISO text with microseconds, no zone
 JSON_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
@@ -46,6 +48,7 @@ def decode(envelopes: DataFrame, stamp: Column | None = None, value: str = "valu
     Output: the 16 message fields (typed), ``ingested_at``, ``kafka_partition``,
     ``kafka_offset``, ``_raw`` (text as received), ``_reason`` (NULL when the
     record loads), ``_first`` (first element of its record, for counting).
+    Every record received has at least one row.
     ``stamp`` is the load time; default: the session clock, one value per
     query / micro-batch.
     """
@@ -57,35 +60,71 @@ def decode(envelopes: DataFrame, stamp: Column | None = None, value: str = "valu
         F.col(partition).cast("int").alias("kafka_partition"),
         F.col(offset).cast("long").alias("kafka_offset"),
         stamp.cast("timestamp_ntz").alias("ingested_at"),
-    ).withColumn("_msgs", F.from_json("_raw", MESSAGE_TEXT_ARRAY))
+    )
     exploded = parsed.select(
         "_raw", "kafka_partition", "kafka_offset", "ingested_at",
-        F.col("_msgs").isNull().alias("_malformed"),
-        F.posexplode_outer("_msgs").alias("_pos", "_m"),
-    ).where(F.col("_malformed") | F.col("_m").isNotNull())   # an empty array loads nothing
+        F.posexplode(_elements()).alias("_pos", "_e"),
+    ).select("_raw", "kafka_partition", "kafka_offset", "ingested_at", "_pos",
+             F.col("_e.why").alias("_why"), F.col("_e.m").alias("_m"))
+    # each field is cast once, here; the reason compares text and value in the next projection
+    casts = exploded.withColumns({f"_t_{n}": _typed(F.col("_m").getField(n), t) for n, t in MESSAGE_FIELDS
+                                  if not isinstance(t, T.StringType)})
+    typed = [(F.col("_m").getField(n) if isinstance(t, T.StringType) else F.col(f"_t_{n}")).alias(n)
+             for n, t in MESSAGE_FIELDS]
+    return casts.select(*typed, "ingested_at", "kafka_partition", "kafka_offset", "_raw", _reason(),
+                        (F.col("_pos") == 0).alias("_first"))
+
+
+@per_context
+def _elements() -> Column:
+    """The elements of ``_raw`` as ``array<struct<why, m>>``, never empty; ``why``: no object to load, else NULL.
+
+    The text is parsed inside brackets: one object, or one array, must be all of it.
+    """
+    none = F.lit(None).cast(MESSAGE_TEXT_SCHEMA)
+    refuse = lambda why: F.struct(F.lit(why).alias("why"), none.alias("m"))
+    inside = F.concat(F.lit("["), "_raw", F.lit("]"))
+    one = F.from_json(inside, MESSAGE_TEXT_ARRAY)
+    many = F.from_json(inside, T.ArrayType(T.ArrayType(T.StringType())))
 
-    typed, reason, first = _decoded_columns()
-    return exploded.select(*typed, "ingested_at", "kafka_partition", "kafka_offset", "_raw", reason, first)
+    def element(text: Column) -> Column:
+        m = F.from_json(F.concat(F.lit("["), text, F.lit("]")), MESSAGE_TEXT_ARRAY)[0]
+        why = (F.when(text.isNull(), "null_element").when(~text.startswith("{"), "not_an_object")
+               .when(m.isNull(), "malformed_json"))
+        return F.struct(why.alias("why"), F.when(why.isNull(), m).alias("m"))
+
+    listed = (F.when(many.isNull() | (F.size(many) != 1), F.array(refuse("malformed_json")))
+              .when(many[0].isNull(), F.array(refuse("malformed_json")))
+              .when(F.size(many[0]) == 0, F.array(refuse("empty_array")))
+              .otherwise(F.transform(many[0], element)))
+    single = (F.when(one.isNull() | (F.size(one) != 1), F.array(refuse("malformed_json")))
+              .when(one[0].isNull(), F.array(refuse("not_an_object")))
+              .otherwise(F.array(F.struct(F.lit(None).cast("string").alias("why"), one[0].alias("m")))))
+    return F.when(F.coalesce(F.ltrim("_raw").startswith("["), F.lit(False)), listed).otherwise(single)
+
+
+ZONE = r"[0-9]:[0-9]{2}.*(Z|z|[+-][0-9]{1,2}(:?[0-9]{2})?)$"
+
+
+def _typed(text: Column, dtype: T.DataType) -> Column:
+    """The value of a field's text, NULL if it does not cast; times with an offset become UTC."""
+    if not isinstance(dtype, T.TimestampNTZType):
+        return text.try_cast(dtype)
+    utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), text.try_cast("timestamp").cast("timestamp_ntz"))
+    return F.when(F.rlike(text, F.lit(ZONE)), utc).otherwise(text.try_cast(dtype))
 
 
 @per_context
-def _decoded_columns() -> tuple[tuple[Column, ...], Column, Column]:
-    """Typed fields, the load-failure reason and the first-element flag over ``_m``."""
-    typed = []
-    for name, dtype in MESSAGE_FIELDS:
-        txt = F.col("_m").getField(name)
-        typed.append((txt if isinstance(dtype, T.StringType) else txt.try_cast(dtype)).alias(name))
-    reason = F.when(F.col("_malformed"), "malformed_json")
+def _reason() -> Column:
+    """Why a record does not load; NULL if it does."""
+    reason = F.when(F.col("_why").isNotNull(), F.col("_why"))
     for name, dtype in MESSAGE_FIELDS:
-        if isinstance(dtype, T.StringType):
-            continue
-        txt = F.col("_m").getField(name)
-        reason = reason.when(txt.isNotNull() & txt.try_cast(dtype).isNull(), f"bad_value:{name}")
+        if not isinstance(dtype, T.StringType):
+            reason = reason.when(F.col("_m").getField(name).isNotNull() & F.col(f"_t_{name}").isNull(), f"bad_value:{name}")
     reason = reason.when(F.col("_m").getField("patient_id").isNull(), "null_patient_id")
     for name, limit in MAX_LENGTHS.items():
         reason = reason.when(F.length(F.col("_m").getField(name)) > limit, f"too_long:{name}")
-    first = (F.col("_malformed") | (F.col("_pos") == 0)).alias("_first")
-    return tuple(typed), reason.alias("_reason"), first
+    return reason.alias("_reason")
 
 
 def loaded(decoded: DataFrame) -> DataFrame:

@@ -1,33 +1,26 @@
 """Streaming jobs: ingest, staging, ward-hour rollup, current row, dedup, late readings.
 
-All jobs are declared on a streaming DataFrame of topic records and write
-to idempotent sinks under a checkpoint, so a restarted query resumes from
-its last committed offsets and a replayed micro-batch rewrites only its
-own output.
-
-``foreachBatch`` bodies receive the *raw records* and decode, stage and
-write inside the batch, so every output of a batch comes from one decode.
+All jobs read topic records and write in ``foreachBatch``, by one shared
+writer: a micro-batch is decoded once, its good rows go to the job, its bad
+records to the job's quarantine. Every output of a batch is a folder named by
+the stream and the batch number, so a replayed batch replaces its own rows and
+nothing else. No job drops a row for being late.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wardwatch.config import DEFAULT_THRESHOLDS, Thresholds
-from wardwatch.functions.time import to_event_time
 from wardwatch.operators import marts, quality, staging
-from wardwatch.operators.upsert import BucketedTable, VersionedTable
-from wardwatch.schemas import RAW_COLUMNS
-from wardwatch.sources import messages
+from wardwatch.operators.upsert import MergedTable, newest_by_key, read_if_there
+from wardwatch.sources import messages, tables
 from wardwatch.sources.tables import PARTITION_COLUMN, with_reading_day
 
-WATERMARK_DELAY = "2 hours"
-
 
 def with_trigger(writer, available_now: bool = True, processing_time: str = "30 seconds"):
     """``availableNow`` (drain what is there, then stop) or a processing-time timer."""
@@ -44,40 +37,71 @@ def run_to_end(query: StreamingQuery) -> StreamingQuery:
 
 
 def loaded_stream(records: DataFrame, stamp: Column | None = None) -> DataFrame:
-    """Records -> rows that load (raw table layout); bad records are dropped here."""
+    """Records -> rows that load (raw table layout); the caller keeps the others, see :func:`batch_writer`."""
     return messages.loaded(messages.decode(records, stamp=stamp))
 
 
 def staged_stream(records: DataFrame, stamp: Column | None = None,
                   th: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
-    """Records -> staging rows (+ ``kafka_offset``), stateless."""
+    """Records -> staging rows (+ ``kafka_offset``), stateless; the caller keeps the bad records."""
     return staging.stage(loaded_stream(records, stamp), th, carry=("kafka_offset",))
 
 
-# ---------------------------------------------------------------- ingest with quarantine
-def ingest_batch_writer(raw_path: str, quarantine_path: str, stamp: Column | None = None,
-                        log_path: str | None = None) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` body: decode once, append good rows and bad records.
+def source_of(batch: DataFrame) -> str:
+    """The id of the query that runs this micro-batch; it lives as long as the checkpoint."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
 
-    Output goes to ``batch_id=<n>`` folders written in overwrite mode, so a
-    replayed batch replaces its own earlier attempt (exactly-once result);
-    inside, rows are laid out by ``reading_day`` for pruning.
-    With ``log_path`` the batch's load counts (received / loaded / set
-    aside) are kept as a one-row table per batch.
-    """
+
+def batch_folder(path: str, source: str, batch_id: int) -> str:
+    return f"{path}/source={source}/batch_id={batch_id}"
+
+
+def batch_writer(job: Callable[[DataFrame, str, int], None], quarantine_path: str, stamp: Column | None = None,
+                 log_path: str | None = None) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` body: decode once, hand the rows that load to ``job(rows, source, batch id)``,
+    keep the bad records under ``quarantine_path`` and, with ``log_path``, the batch's load counts."""
     def write(batch: DataFrame, batch_id: int) -> None:
+        source = source_of(batch)
         dec = messages.decode(batch, stamp=stamp).persist()
         try:
-            (with_reading_day(messages.loaded(dec)).write.mode("overwrite")
-             .partitionBy(PARTITION_COLUMN).parquet(f"{raw_path}/batch_id={batch_id}"))
-            messages.quarantined(dec).write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={batch_id}")
+            job(messages.loaded(dec), source, batch_id)
+            messages.quarantined(dec).write.mode("overwrite").parquet(batch_folder(quarantine_path, source, batch_id))
             if log_path:
-                messages.counts(dec).write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
+                messages.counts(dec).write.mode("overwrite").parquet(batch_folder(log_path, source, batch_id))
         finally:
             dec.unpersist()
     return write
 
 
+def start(records: DataFrame, job: Callable[[DataFrame, str, int], None], path: str, checkpoint: str,
+          stamp: Column | None = None, quarantine_path: str | None = None, log_path: str | None = None,
+          available_now: bool = True, processing_time: str = "30 seconds") -> StreamingQuery:
+    """Run ``job`` on every micro-batch; bad records go to ``quarantine_path`` (default: beside ``path``)."""
+    body = batch_writer(job, quarantine_path or f"{path}_quarantine", stamp, log_path)
+    w = records.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
+    return with_trigger(w, available_now, processing_time).start()
+
+
+def read_batches(spark: SparkSession, path: str) -> DataFrame:
+    """The rows that a job's batches hold."""
+    return spark.read.parquet(path).drop("source", "batch_id")
+
+
+# ---------------------------------------------------------------- ingest with quarantine
+def raw_job(raw_path: str) -> Callable[[DataFrame, str, int], None]:
+    """Append the rows that load, laid out by reading day."""
+    def job(rows: DataFrame, source: str, batch_id: int) -> None:
+        (with_reading_day(rows).write.mode("overwrite").partitionBy(PARTITION_COLUMN)
+         .parquet(batch_folder(raw_path, source, batch_id)))
+    return job
+
+
+def ingest_batch_writer(raw_path: str, quarantine_path: str, stamp: Column | None = None,
+                        log_path: str | None = None) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` body of :func:`start_ingest`."""
+    return batch_writer(raw_job(raw_path), quarantine_path, stamp, log_path)
+
+
 def start_ingest(records: DataFrame, raw_path: str, quarantine_path: str, checkpoint: str,
                  stamp: Column | None = None, available_now: bool = True,
                  processing_time: str = "30 seconds", log_path: str | None = None) -> StreamingQuery:
@@ -87,12 +111,24 @@ def start_ingest(records: DataFrame, raw_path: str, quarantine_path: str, checkp
     ``maxFilesPerTrigger`` replaces the size-or-timeout batching of a
     hand-written consumer loop.
     """
-    w = records.writeStream.foreachBatch(ingest_batch_writer(raw_path, quarantine_path, stamp, log_path))
-    return with_trigger(w.option("checkpointLocation", checkpoint), available_now, processing_time).start()
+    return start(records, raw_job(raw_path), raw_path, checkpoint, stamp, quarantine_path, log_path,
+                 available_now, processing_time)
 
 
 def read_raw(spark: SparkSession, raw_path: str) -> DataFrame:
-    return spark.read.parquet(raw_path).select(*RAW_COLUMNS)
+    """The streamed raw table, ``reading_day`` kept, so that time ranges prune folders."""
+    return tables.read_raw(spark, raw_path).drop("source", "batch_id")
+
+
+def compact_raw(spark: SparkSession, raw_path: str, to_path: str, files_per_day: int = 1) -> None:
+    """Rewrite a streamed raw table into a new one of few files for each reading day.
+
+    The old folder stays as it is; point readers and the stream at the new one between two runs.
+    """
+    rows = read_raw(spark, raw_path)
+    part = F.pmod(F.xxhash64("kafka_partition", "kafka_offset"), F.lit(files_per_day))
+    (rows.repartition(PARTITION_COLUMN, part).write.partitionBy(PARTITION_COLUMN)
+     .parquet(batch_folder(to_path, "compacted", 0)))
 
 
 # ---------------------------------------------------------------- staging
@@ -111,175 +147,145 @@ def observe_quality(staged: DataFrame, name: str = QUALITY_METRICS) -> DataFrame
     return staged.observe(name, F.count(F.lit(1)).alias("rows"), *metrics)
 
 
-def start_staging(records: DataFrame, path: str, checkpoint: str, stamp: Column | None = None,
-                  gate: bool = False, available_now: bool = True,
-                  processing_time: str = "30 seconds") -> StreamingQuery:
-    """Continuous cleaning with the staging quality checks.
+def staging_job(path: str, gate: bool = False, th: Thresholds = DEFAULT_THRESHOLDS) -> Callable[[DataFrame, str, int], None]:
+    """Stage a micro-batch and write it with its check counts under ``<path>_checks``.
 
-    Default: a parquet file sink (exactly-once via its log) and the checks
-    observed per micro-batch. With ``gate``: every micro-batch is checked
-    before it is written (:func:`gated_staging_writer`).
-    """
-    if gate:
-        w = (records.writeStream.foreachBatch(gated_staging_writer(path, stamp))
-             .option("checkpointLocation", checkpoint))
-        return with_trigger(w, available_now, processing_time).start()
-    w = (observe_quality(staged_stream(records, stamp)).writeStream.format("parquet")
-         .option("checkpointLocation", checkpoint).outputMode("append"))
-    return with_trigger(w, available_now, processing_time).start(path)
-
-
-def gated_staging_writer(path: str, stamp: Column | None = None,
-                         th: Thresholds = DEFAULT_THRESHOLDS) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` body: stage a micro-batch, check it, write it only if it passes.
-
-    An error-level failure raises :class:`quality.QualityGateError`: the
-    batch is not committed and the query stops, so no bad rows are
-    published; once the cause is fixed a restart replays the batch. The
+    With ``gate`` an error-level failure raises
+    :class:`quality.QualityGateError` before anything is written: the query
+    stops, and a restart replays the batch once the cause is fixed. The
     checks and the write share one staged, persisted batch.
     """
     checks = [c for c in quality.default_checks() if c.relation == quality.STAGING]
 
-    def write(records: DataFrame, batch_id: int) -> None:
-        staged = staging.stage(messages.loaded(messages.decode(records, stamp=stamp)), th,
-                               carry=("kafka_offset",)).persist()
+    def job(rows: DataFrame, source: str, batch_id: int) -> None:
+        staged = staging.stage(rows, th, carry=("kafka_offset",)).persist()
         try:
-            quality.enforce(quality.evaluate(staged, checks))
-            staged.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+            report = quality.evaluate(staged, checks)
+            if gate:
+                quality.enforce(report)
+            staged.write.mode("overwrite").parquet(batch_folder(path, source, batch_id))
+            report.write.mode("overwrite").parquet(batch_folder(f"{path}_checks", source, batch_id))
         finally:
             staged.unpersist()
-    return write
+    return job
+
+
+def start_staging(records: DataFrame, path: str, checkpoint: str, stamp: Column | None = None,
+                  gate: bool = False, available_now: bool = True, processing_time: str = "30 seconds",
+                  quarantine_path: str | None = None) -> StreamingQuery:
+    """Continuous cleaning with the staging quality checks, counted (or enforced) per micro-batch."""
+    return start(records, staging_job(path, gate), path, checkpoint, stamp, quarantine_path,
+                 available_now=available_now, processing_time=processing_time)
 
 
 # ---------------------------------------------------------------- ward x hour rollup
-def ward_hourly_stream(staged: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:
-    """Tumbling 1-hour ward rollup, emitted once the hour is closed by the watermark.
+# A micro-batch writes sums per (ward, hour, patient) of its own rows; the
+# ward-hour view adds them up when read. No state and no watermark: a reading
+# counts whenever it comes, and the current hour is there at once.
+def ward_hours(spark: SparkSession, path: str, compact_every: int | None = 50) -> MergedTable:
+    """The sums per (ward, hour, patient) that the stream has written."""
+    return MergedTable(spark, path, marts.merge_ward_partials, compact_every)
 
-    Exact distinct patients on a stream: a first aggregation per (hour, ward,
-    patient) and a second per (hour, ward) that counts its rows; every other
-    figure is a sum / min / max of the first level.
-    """
-    ev = staged.withColumn("event_time", to_event_time("reading_timestamp")).withWatermark("event_time", delay)
-    first = ev.groupBy(F.window("event_time", "1 hour").alias("w"), "ward", "patient_id").agg(
-        *marts.ward_hour_partials())
-    sums = [F.sum(c).alias(c) for c in (
-        "total_readings", "total_alerts", "tachycardia_count", "bradycardia_count",
-        "critical_spo2_count", "hypertensive_crisis_count",
-        "_hr_sum", "_hr_n", "_sys_sum", "_sys_n", "_spo2_sum", "_spo2_n", "_temp_sum", "_temp_n")]
-    second = first.groupBy(F.window(F.window_time("w"), "1 hour").alias("w2"), "ward").agg(
-        *sums, F.count(F.lit(1)).alias("_patients"),
-        F.max("latest_reading_at").alias("latest_reading_at"),
-        F.min("earliest_reading_at").alias("earliest_reading_at"))
-    return second.select(
-        "ward", F.col("w2.start").cast("timestamp_ntz").alias("reading_hour"),
-        *marts.ward_hour_figures("_patients"))
-
-
-def start_ward_hourly(records: DataFrame, path: str, checkpoint: str, delay: str = WATERMARK_DELAY,
-                      stamp: Column | None = None, available_now: bool = True,
-                      processing_time: str = "30 seconds") -> StreamingQuery:
-    w = (ward_hourly_stream(staged_stream(records, stamp), delay).writeStream.format("parquet")
-         .option("checkpointLocation", checkpoint).outputMode("append"))
-    return with_trigger(w, available_now, processing_time).start(path)
+
+def start_ward_hourly(records: DataFrame, path: str, checkpoint: str, stamp: Column | None = None,
+                      available_now: bool = True, processing_time: str = "30 seconds",
+                      quarantine_path: str | None = None, compact_every: int | None = 50) -> StreamingQuery:
+    table = ward_hours(records.sparkSession, path, compact_every)
+
+    def job(rows: DataFrame, source: str, batch_id: int) -> None:
+        table.add(marts.ward_partials(staging.stage(rows)), source, batch_id)
+
+    return start(records, job, path, checkpoint, stamp, quarantine_path,
+                 available_now=available_now, processing_time=processing_time)
+
+
+def read_ward_hourly(spark: SparkSession, path: str) -> DataFrame:
+    """The ward-hour figures of every reading written so far, open hours included."""
+    return marts.ward_hourly_of(ward_hours(spark, path).read())
 
 
 # ---------------------------------------------------------------- current row per patient
-# The versioned mart is the state. Each micro-batch reduces to its newest
-# reading per patient (a batch window) and merges that into the mart, newer
-# reading winning: the same rows as a running max_by aggregate in update mode,
-# without a state store that grows with the number of patients.
-def latest_batch_writer(table: BucketedTable | VersionedTable, stamp: Column | None = None,
-                        th: Thresholds = DEFAULT_THRESHOLDS) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` body over raw records: newest reading per patient of the
-    batch, merged into the mart (newer reading wins).
-
-    The mart itself is the state, so no state store grows with the stream.
-    A :class:`BucketedTable` rewrites only the buckets the batch touches; a
-    :class:`VersionedTable` writes version ``batch id + 1`` from the one
-    before. Either way a replayed batch gives the same table.
-    """
-    order = ("reading_timestamp", "kafka_offset")
+# Each micro-batch writes its newest reading per patient; the newest of those
+# is the current row. Compaction folds batches into a snapshot.
+LATEST_ORDER = ("reading_timestamp", "kafka_offset")
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        staged = staging.stage(messages.loaded(messages.decode(batch, stamp=stamp)), th,
-                               carry=("kafka_offset",))
-        newest = marts.latest_per_patient(staged, keep=("kafka_offset",))
-        if isinstance(table, BucketedTable):
-            table.upsert(newest, order=order)
-        else:
-            table.upsert(newest, version=batch_id + 1, key="patient_id", order=order)
-    return write
 
+def latest_table(spark: SparkSession, path: str, compact_every: int | None = 50) -> MergedTable:
+    """The current rows that the stream has written."""
+    return MergedTable(spark, path, lambda rows: newest_by_key(rows, "patient_id", LATEST_ORDER), compact_every)
 
-def start_latest(records: DataFrame, table: BucketedTable | VersionedTable, checkpoint: str,
-                 stamp: Column | None = None, available_now: bool = True,
-                 processing_time: str = "30 seconds") -> StreamingQuery:
-    w = (records.writeStream.foreachBatch(latest_batch_writer(table, stamp))
-         .option("checkpointLocation", checkpoint))
-    return with_trigger(w, available_now, processing_time).start()
+
+def start_latest(records: DataFrame, path: str, checkpoint: str, stamp: Column | None = None,
+                 available_now: bool = True, processing_time: str = "30 seconds",
+                 quarantine_path: str | None = None, compact_every: int | None = 50,
+                 th: Thresholds = DEFAULT_THRESHOLDS) -> StreamingQuery:
+    """Keep the newest reading of each patient; a trigger writes only the patients it heard from."""
+    table = latest_table(records.sparkSession, path, compact_every)
+
+    def job(rows: DataFrame, source: str, batch_id: int) -> None:
+        staged = staging.stage(rows, th, carry=("kafka_offset",))
+        table.add(marts.latest_per_patient(staged, keep=("kafka_offset",)), source, batch_id)
+
+    return start(records, job, path, checkpoint, stamp, quarantine_path,
+                 available_now=available_now, processing_time=processing_time)
 
 
 def summary_from_latest(latest: DataFrame, as_of=None, th: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
-    """Patient summary from the streamed current rows; ``as_of`` defaults to the newest reading."""
-    if as_of is None:
-        as_of = marts.max_reading_time(latest)
+    """Patient summary from the streamed current rows as of ``as_of`` (default: the session clock)."""
     return marts.patient_summary(latest.select(*marts.LATEST_COLUMNS), as_of, th)
 
 
 # ---------------------------------------------------------------- redelivery dedup
-def dedup_stream(staged: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:
-    """Drop redelivered readings: one row per (patient, reading time) within the watermark."""
-    ev = staged.withColumn("event_time", to_event_time("reading_timestamp")).withWatermark("event_time", delay)
-    return ev.dropDuplicatesWithinWatermark(["patient_id", "reading_timestamp"]).drop("event_time")
+SOURCE_POSITION = ["kafka_partition", "kafka_offset"]
 
 
-def start_dedup(records: DataFrame, path: str, checkpoint: str, delay: str = WATERMARK_DELAY,
-                stamp: Column | None = None, available_now: bool = True,
-                processing_time: str = "30 seconds") -> StreamingQuery:
-    w = (dedup_stream(staged_stream(records, stamp), delay).writeStream.format("parquet")
-         .option("checkpointLocation", checkpoint).outputMode("append"))
-    return with_trigger(w, available_now, processing_time).start(path)
+def dedup_job(path: str) -> Callable[[DataFrame, str, int], None]:
+    """Write the rows whose source position is not there yet, by reading day.
+
+    A record sent again has the position and the reading time of the first
+    delivery, so only the days that the batch touches are read (folders of
+    other days are pruned). A first delivery is never dropped, however late.
+    """
+    def job(rows: DataFrame, source: str, batch_id: int) -> None:
+        spark = rows.sparkSession
+        staged = (staging.stage(rows, carry=tuple(SOURCE_POSITION)).dropDuplicates(SOURCE_POSITION)
+                  .withColumn(PARTITION_COLUMN, F.to_date("reading_timestamp")))
+        span = staged.agg(F.min(PARTITION_COLUMN).alias("lo"), F.max(PARTITION_COLUMN).alias("hi")).first()
+        known = read_if_there(spark, path)
+        if known is not None and span["lo"] is not None:
+            mine = (F.col("source") == source) & (F.col("batch_id") == batch_id)       # an earlier try of this batch
+            known = known.where(F.col(PARTITION_COLUMN).between(span["lo"], span["hi"]) & ~mine).select(*SOURCE_POSITION)
+            staged = staged.join(known, SOURCE_POSITION, "left_anti")
+        staged.write.mode("overwrite").partitionBy(PARTITION_COLUMN).parquet(batch_folder(path, source, batch_id))
+    return job
+
+
+def start_dedup(records: DataFrame, path: str, checkpoint: str, stamp: Column | None = None,
+                available_now: bool = True, processing_time: str = "30 seconds",
+                quarantine_path: str | None = None) -> StreamingQuery:
+    """Staged readings, one for each source position (``kafka_partition``, ``kafka_offset``)."""
+    return start(records, dedup_job(path), path, checkpoint, stamp, quarantine_path,
+                 available_now=available_now, processing_time=processing_time)
 
 
 # ---------------------------------------------------------------- late readings
-def late_batch_writer(spark: SparkSession, late_path: str, progress_path: str,
-                      delay_seconds: int, stamp: Column | None = None) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` body: side-list readings older than (newest seen so far - delay).
+def late_readings(staged: DataFrame, delay_seconds: int = 3600) -> DataFrame:
+    """Readings that were loaded more than ``delay_seconds`` after they were taken.
 
-    The newest reading time of every batch is kept in a small progress
-    table; a batch compares its rows with the maximum of the batches before
-    it (one scalar), then records its own maximum.
+    Lateness is a property of the row (reading time against load time), so
+    the list does not depend on how arrivals are cut into batches.
     """
-    def write(records: DataFrame, batch_id: int) -> None:
-        batch = staging.stage(messages.loaded(messages.decode(records, stamp=stamp)),
-                              carry=("kafka_offset",)).persist()
-        try:
-            _side_list_late(batch, batch_id)
-        finally:
-            batch.unpersist()
+    late = F.col("ingested_at") > F.col("reading_timestamp") + F.make_dt_interval(secs=F.lit(delay_seconds))
+    return staged.where(late).select("patient_id", "ward", "reading_timestamp", "ingested_at", "kafka_offset")
 
-    def _side_list_late(batch: DataFrame, batch_id: int) -> None:
-        try:
-            prog = spark.read.parquet(progress_path).where(F.col("batch_id") < batch_id)
-            prev = prog.agg(F.max("max_reading").alias("m")).first()["m"]
-        except AnalysisException:  # first batch: no progress recorded yet
-            prev = None
-        rows = batch.select("patient_id", "ward", "reading_timestamp", "kafka_offset")
-        if prev is not None:
-            cutoff = F.lit(prev.isoformat(sep=" ")).cast("timestamp_ntz") - F.make_dt_interval(secs=F.lit(delay_seconds))
-            late = rows.where(F.col("reading_timestamp") < cutoff)
-        else:
-            late = rows.where(F.lit(False))
-        late.write.mode("overwrite").parquet(f"{late_path}/batch_id={batch_id}")
-        (batch.agg(F.max("reading_timestamp").alias("max_reading"))
-         .write.mode("overwrite").parquet(f"{progress_path}/batch_id={batch_id}"))
-    return write
 
+def start_late(records: DataFrame, late_path: str, checkpoint: str, delay_seconds: int = 3600,
+               stamp: Column | None = None, available_now: bool = True, processing_time: str = "30 seconds",
+               quarantine_path: str | None = None) -> StreamingQuery:
+    """Side-list late readings."""
+    def job(rows: DataFrame, source: str, batch_id: int) -> None:
+        late = late_readings(staging.stage(rows, carry=("kafka_offset",)), delay_seconds)
+        late.write.mode("overwrite").parquet(batch_folder(late_path, source, batch_id))
 
-def start_late(spark: SparkSession, records: DataFrame, late_path: str, progress_path: str,
-               checkpoint: str, delay_seconds: int = 3600, stamp: Column | None = None,
-               available_now: bool = True, processing_time: str = "30 seconds") -> StreamingQuery:
-    w = (records.writeStream
-         .foreachBatch(late_batch_writer(spark, late_path, progress_path, delay_seconds, stamp))
-         .option("checkpointLocation", checkpoint))
-    return with_trigger(w, available_now, processing_time).start()
+    return start(records, job, late_path, checkpoint, stamp, quarantine_path,
+                 available_now=available_now, processing_time=processing_time)

@@ -16,19 +16,24 @@ from wardwatch.schemas import ENVELOPE_SCHEMA
 JSON_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
-def land(records: DataFrame, landing_dir: str, chunks: int = 4, files_per_chunk: int = 2,
-         order: list[int] | None = None, redeliver: DataFrame | None = None) -> int:
+ROWS_PER_FILE = 1_000_000
+
+
+def land(records: DataFrame, landing_dir: str, chunks: int = 4, files_per_chunk: int | None = None,
+         order: list[int] | None = None, redeliver: DataFrame | None = None) -> tuple[int, int]:
     """Write ``records`` in ``chunks`` appends by time range, as they would arrive.
 
     Each chunk is its own write job, so its files are newer than those of
     the chunks before it and a file source reads them in that order.
     ``order`` permutes the chunks (to deliver some late); ``redeliver`` is
-    appended last, as records sent again after a consumer restart. Returns
-    the number of appends. One scalar job finds the time span.
+    appended last, as records sent again after a consumer restart. A chunk has
+    as many files as its rows need. Returns the number of appends and of
+    files in each. One scalar job finds the time span and the row count.
     """
-    span = records.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
+    span = records.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi"), F.count("*").alias("n")).first()
+    files = files_per_chunk or max(2, -(-span["n"] // (chunks * ROWS_PER_FILE)))
     if span["lo"] is None:
-        return 0
+        return 0, files
     lo, hi = span["lo"], span["hi"]
     width = max((hi - lo).total_seconds() / chunks, 1e-6)
     secs = F.timestamp_diff("MICROSECOND", F.lit(lo.isoformat(sep=" ")).cast("timestamp_ntz"),
@@ -37,12 +42,12 @@ def land(records: DataFrame, landing_dir: str, chunks: int = 4, files_per_chunk:
     tagged = records.withColumn("_chunk", chunk)
     for k in (order or list(range(chunks))):
         (tagged.where(F.col("_chunk") == k).drop("_chunk")
-         .repartition(files_per_chunk)
+         .repartition(files)
          .write.mode("append").options(**JSON_OPTIONS).json(landing_dir))
     if redeliver is not None:
-        redeliver.repartition(files_per_chunk).write.mode("append").options(**JSON_OPTIONS).json(landing_dir)
-        return chunks + 1
-    return chunks
+        redeliver.repartition(files).write.mode("append").options(**JSON_OPTIONS).json(landing_dir)
+        return chunks + 1, files
+    return chunks, files
 
 
 def read_landing(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:

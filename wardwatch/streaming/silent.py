@@ -1,107 +1,65 @@
-"""Silent-monitor alerts on a stream: an event-time timer per patient.
-
-A monitor counts as silent when no reading newer than its last one arrives
-within ``limit`` of event time. Each patient keeps one value (its newest
-reading time, ward) and one timer at newest + limit; a newer reading moves
-the timer. When the watermark passes the timer, one alert row is emitted and
-the patient's state is dropped, so state holds only monitors heard from
-recently. This is the streaming form of the batch ``silent_monitors`` query
-(minutes since the last reading above a limit); its output depends on when
-readings arrive, as any real-time alert does.
+"""Silent-monitor alerts on a stream: sessions of event time, native to Spark.
+
+The readings of a patient that follow each other within ``limit`` minutes form
+a session. Once the watermark has passed the end of a session (its last
+reading + the limit), the monitor has been silent for the limit: one alert.
+Which alerts exist is a matter of the readings' own times, not of how they were
+cut into micro-batches. A reading older than the watermark at its arrival
+cannot change alerts that are out; such readings are listed by a second query.
 """
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming.stateful_processor import (
-    ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues,
-)
-
-from wardwatch.functions.time import to_event_time
-
-# The processor runs in Python processes that Spark starts (on the driver to
-# set up state, on executors per partition); pickling this module by value
-# ships its code with the query, so those processes need not import the package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-ALERT_SCHEMA = "patient_id string, ward string, last_reading_at timestamp_ntz, silent_after timestamp_ntz"
-_STATE_SCHEMA = "last_us long, ward string"
-
-
-def _us(ts: pd.Series) -> pd.Series:
-    return ts.astype("datetime64[ns]").astype("int64") // 1_000
-
-
-class SilentMonitorProcessor(StatefulProcessor):
-    """Per-patient dead-man switch on event time."""
-
-    def __init__(self, limit_minutes: int):
-        self.limit_us = int(limit_minutes) * 60_000_000
-
-    def _timer_ms(self, last_us: int) -> int:
-        # timers are set in milliseconds, the state keeps microseconds
-        return (last_us + self.limit_us) // 1_000
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.last = handle.getValueState("last", _STATE_SCHEMA)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        newest_us, ward = None, None
-        for pdf in rows:
-            if pdf.empty:
-                continue
-            us = _us(pdf["reading_timestamp"])
-            i = int(us.values.argmax())
-            if newest_us is None or int(us.iloc[i]) > newest_us:
-                newest_us, ward = int(us.iloc[i]), pdf["ward"].iloc[i]
-        if newest_us is None:
-            return iter([])
-        if self.last.exists():
-            prev_us, _ = self.last.get()
-            if prev_us >= newest_us:
-                return iter([])          # an older or repeated reading does not move the timer
-            self.handle.deleteTimer(self._timer_ms(prev_us))
-        self.last.update((newest_us, ward))
-        self.handle.registerTimer(self._timer_ms(newest_us))
-        return iter([])
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-    def handleExpiredTimer(self, key, timerValues: TimerValues,
-                           expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if not self.last.exists():
-            return iter([])
-        last_us, ward = self.last.get()
-        self.last.clear()
-        yield pd.DataFrame({
-            "patient_id": [key[0]],
-            "ward": [ward],
-            "last_reading_at": [pd.Timestamp(last_us, unit="us")],
-            "silent_after": [pd.Timestamp(last_us + self.limit_us, unit="us")],
-        })
+from wardwatch.functions.time import from_event_time, to_event_time
+from wardwatch.operators import staging
+from wardwatch.operators.upsert import MergedTable
+from wardwatch.streaming import jobs
 
-    def close(self) -> None:
-        pass
+DELAY_MINUTES = 120
 
 
-def silent_monitor_stream(staged: DataFrame, limit_minutes: int = 60, delay: str = "2 hours") -> DataFrame:
-    """Staged readings -> one alert per monitor that fell silent (append mode)."""
-    ev = (staged.select("patient_id", "ward", "reading_timestamp",
-                        to_event_time("reading_timestamp").alias("event_time"))
-          .withWatermark("event_time", delay))
-    return ev.groupBy("patient_id").transformWithStateInPandas(
-        statefulProcessor=SilentMonitorProcessor(limit_minutes),
-        outputStructType=ALERT_SCHEMA, outputMode="Append", timeMode="EventTime")
+def silent_sessions(staged: DataFrame, limit_minutes: int = 60, delay_minutes: int = DELAY_MINUTES) -> DataFrame:
+    """(patient_id, ward, last_reading_at, silent_after): one row per closed session."""
+    ev = (staged.withColumn("event_time", to_event_time("reading_timestamp"))
+          .withWatermark("event_time", f"{delay_minutes} minutes"))
+    closed = (ev.groupBy("patient_id", F.session_window("event_time", f"{limit_minutes} minutes").alias("s"))
+              .agg(F.max_by("ward", "event_time").alias("ward"), F.max("reading_timestamp").alias("last_reading_at")))
+    return closed.select("patient_id", "ward", "last_reading_at", from_event_time(F.col("s.end")).alias("silent_after"))
 
 
 def start_silent(records: DataFrame, path: str, checkpoint: str, limit_minutes: int = 60,
-                 delay: str = "2 hours", stamp=None, available_now: bool = True,
-                 processing_time: str = "30 seconds"):
-    from wardwatch.streaming.jobs import staged_stream, with_trigger
-    w = (silent_monitor_stream(staged_stream(records, stamp), limit_minutes, delay)
+                 delay_minutes: int = DELAY_MINUTES, stamp: Column | None = None, available_now: bool = True,
+                 processing_time: str = "30 seconds") -> StreamingQuery:
+    """Alerts, appended once the session is closed; see :func:`start_too_late` for the rest of the input."""
+    w = (silent_sessions(jobs.staged_stream(records, stamp), limit_minutes, delay_minutes)
          .writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append"))
-    return with_trigger(w, available_now, processing_time).start(path)
+    return jobs.with_trigger(w, available_now, processing_time).start(path)
+
+
+def start_too_late(records: DataFrame, path: str, checkpoint: str, limit_minutes: int = 60,
+                   delay_minutes: int = DELAY_MINUTES, stamp: Column | None = None, available_now: bool = True,
+                   processing_time: str = "30 seconds", quarantine_path: str | None = None) -> StreamingQuery:
+    """List the readings whose session had closed before they came, and set bad records aside.
+
+    Run it on the same source with the same trigger as :func:`start_silent`:
+    the watermark of a batch is the newest reading of the batches before it,
+    less the delay. ``<path>_newest`` holds that newest reading.
+    """
+    newest = MergedTable(records.sparkSession, f"{path}_newest", lambda rows: rows.agg(F.max("newest").alias("newest")))
+    allowance = F.make_dt_interval(mins=F.lit(limit_minutes + delay_minutes))
+
+    def job(rows: DataFrame, source: str, batch_id: int) -> None:
+        staged = staging.stage(rows, carry=("kafka_offset",))
+        seen = newest.read_before(source, batch_id)
+        late = staged.select("patient_id", "ward", "reading_timestamp", "kafka_offset")
+        late = late.where(F.lit(False)) if seen is None else late.where(
+            F.col("reading_timestamp") + allowance <= F.lit(seen.first()["newest"].isoformat(sep=" ")).cast("timestamp_ntz"))
+        late.write.mode("overwrite").parquet(jobs.batch_folder(path, source, batch_id))
+        newest.add(staged.agg(F.max("reading_timestamp").alias("newest")), source, batch_id)
+
+    return jobs.start(records, job, path, checkpoint, stamp, quarantine_path,
+                      available_now=available_now, processing_time=processing_time)
