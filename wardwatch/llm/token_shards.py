@@ -57,68 +57,65 @@ FILE = ("part int, shard int, n_ids long, doc_ids array<long>, ends array<long>,
 
 # --- ids --------------------------------------------------------------------------------------
 
-# fixed value: the pattern by which byte-level tokenizers of this kind cut a text into words
-WORDS = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-LATIN_END = "\u0250"     # below it all Unicode versions agree on what a letter is
+# fixed values: letters and numbers among the characters below U+0250, on which all Unicode versions
+# agree, and the pattern by which byte-level tokenizers of this kind cut a text into words
+LETTERS, NUMBERS = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
+WORDS = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^\s{LETTERS}{NUMBERS}]+|\s+(?!\S)|\s+"
+
+
+class _Words(dict):
+    """Ids of words, made when first asked for."""
+
+    def __init__(self, model, id_bytes: list[bytes]):
+        self.model, self.id_bytes = model, id_bytes
+        # byte-level alphabet: visible bytes stand for themselves, the others follow from U+0100
+        seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        self.letters = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in seen)}
+
+    def __missing__(self, word: str) -> bytes:
+        shown = word.encode().decode("latin-1").translate(self.letters)
+        found = self[word] = b"".join([self.id_bytes[t.id] for t in self.model.tokenize(shown)])
+        return found
 
 
 class Encoder:
     """Ids of texts as little-endian uint32, by the tokenizers library's byte-level BPE.
 
-    No word of such a tokenizer spans a space that is followed by a visible
-    character. So a text is cut there, and the ids of the pieces are kept for
-    reuse. Latin pieces go word by word to the library's BPE model, which saves
-    the cost of an ``Encoding`` each; others, and pieces that may hold a special
-    token, go to ``encode_batch`` whole.
+    Texts of characters below U+0250 are cut into words by the tokenizer's
+    pattern; the library's BPE model gives the ids of each word, which are kept
+    for reuse (that saves the cost of an ``Encoding`` for each text). No word
+    spans a space that is followed by a visible character, so of other texts,
+    and those that hold a special token, only the pieces between such spaces that
+    need it go to ``encode_batch``.
     """
 
-    _cut = re.compile(r" (?=\S)")
-    _odd = re.compile(r" (?!\S)")
+    _words = re.compile(WORDS).findall
+    _odd = re.compile("[\x1c-\x1f\u0250-\U0010ffff]").search       # the first four: white space to Python only
+    _cut = re.compile(r"(?= \S)").split
 
     def __init__(self, tokenizer_path: str):
-        import regex
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.model = self.tokenizer.model
-        self.pieces: dict[str, bytes] = {}      # of " " + piece
-        self.words: dict[str, bytes] = {}
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.split_words = regex.compile(WORDS).findall
-        self.id_bytes = [int(i).to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
-        # byte-level alphabet: visible bytes stand for themselves, the others follow from U+0100
-        seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        hidden = [b for b in range(256) if b not in seen]
-        self.letters = {b: 256 + k for k, b in enumerate(hidden)}
+        self.words = _Words(self.tokenizer.model, [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.split(" ") if self._odd.search(t) is None else self._cut.split(t) for t in texts]
-        for cache in (self.pieces, self.words):
-            if len(cache) > CACHE_WORDS:
-                cache.clear()
-        known, missing = self.pieces, set()
-        for pieces in split:
-            missing.update(pieces[1:])
-        missing = [p for p in missing if p not in known]
-        known.update(zip(missing, self._ids([" " + p for p in missing])))
-        return [head + b"".join(map(known.__getitem__, pieces[1:]))
-                for head, pieces in zip(self._ids([p[0] for p in split]), split)]
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        out = [None if self._whole(t) else b"".join(map(self._word, self.split_words(t))) for t in texts]
-        rest = [i for i, x in enumerate(out) if x is None]
-        for i, e in zip(rest, self.tokenizer.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False)):
-            out[i] = np.array(e.ids, "<u4").tobytes()
-        return out
-
-    def _whole(self, text: str) -> bool:
-        return (not text.isascii() and max(text) >= LATIN_END) or any(s in text for s in self.special)
-
-    def _word(self, word: str) -> bytes:
-        found = self.words.get(word)
-        if found is None:
-            tokens = self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
-            found = self.words[word] = b"".join([self.id_bytes[t.id] for t in tokens])
-        return found
+        if len(self.words) > CACHE_WORDS:
+            self.words.clear()
+        return [self._whole(t) if self._is_odd(t) else self._plain(t) for t in texts]
+
+    def _is_odd(self, text: str) -> bool:
+        return Encoder._odd(text) is not None or any(s in text for s in self.special)
+
+    def _plain(self, text: str) -> bytes:
+        return b"".join(map(self.words.__getitem__, Encoder._words(text)))
+
+    def _whole(self, text: str) -> bytes:
+        pieces = Encoder._cut(text)
+        odd = {p for p in pieces if self._is_odd(p)}
+        ids = dict(zip(odd, (np.array(e.ids, "<u4").tobytes()
+                             for e in self.tokenizer.encode_batch_fast(list(odd), add_special_tokens=False))))
+        return b"".join([ids[p] if p in odd else self._plain(p) for p in pieces])
 
 
 # --- Re-Pair ------------------------------------------------------------------------------------
