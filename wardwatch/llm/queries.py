@@ -11,7 +11,7 @@ from ..session import new_work_dir
 from .common import table
 from . import embedding_dedup
 from .decontaminate import contaminations
-from .license_scan import scan_licenses
+from .license_scan import TEMPLATES, scan_licenses
 from .quality import score_documents
 from .secret_scan import secret_report
 from .sentencepiece_codec import encode_and_decode
@@ -115,7 +115,46 @@ _SECRETS = [("assign", "(" + _WORDS + r""")["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/
             ("github", "gh[pousr]_[A-Za-z0-9]+", 0, 40), ("private_key", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1)]
 _ALL_SPANS = "\n        UNION ALL".join(_spans_sql(k, i, p, g, n) for i, (k, p, g, n) in enumerate(_SECRETS))
 
+# fixed values: the licence notices, restated
+_NOTICES = ", ".join(f"({k}, '{name}', '{text}')" for k, (name, text) in enumerate(TEMPLATES))
+
 ORACLES: dict[str, str] = {
+    "op4_license_scan": f"""
+        WITH templates(k, license, notice) AS (VALUES {_NOTICES}),
+        d AS (SELECT row_number() OVER () AS uid, doc_id, concat_ws('/', source, array_to_string(string_split(CAST(doc_id AS VARCHAR), ''), '/')) AS path,
+                     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+        lines AS (SELECT row_number() OVER () AS unit, uid, x FROM (SELECT uid, unnest(string_split(t, chr(10))) AS x FROM d)),
+        units AS (SELECT unit, uid, x FROM lines UNION ALL
+                  SELECT -row_number() OVER (), uid, x FROM (SELECT uid, unnest(string_split_regex(t, '\\n[ \\t\\r]*\\n')) AS x FROM d)),
+        template_terms AS (SELECT k, term, count(*) AS tf FROM (
+            SELECT k, unnest(regexp_extract_all(lower(notice), '[a-z0-9]+')) AS term FROM templates) GROUP BY k, term),
+        unit_terms AS (SELECT unit, uid, term, count(*) AS tf FROM (
+            SELECT unit, uid, unnest(regexp_extract_all(x, '[a-z0-9]+')) AS term FROM units) GROUP BY unit, uid, term),
+        n AS (SELECT count(*) AS n FROM lines),
+        idf AS (SELECT term, ln((1 + any_value(n.n)) / (1 + count(u.unit))) + 1 AS idf
+                FROM (SELECT DISTINCT term FROM template_terms) t CROSS JOIN n LEFT JOIN unit_terms u USING (term)
+                WHERE u.unit IS NULL OR u.unit > 0 GROUP BY term),
+        unit_weights AS (SELECT unit, uid, term, tf * coalesce(idf, (SELECT ln((1 + n) / 2) + 1 FROM n)) AS w FROM unit_terms LEFT JOIN idf USING (term)),
+        template_weights AS (SELECT k, term, tf * idf AS w FROM template_terms JOIN idf USING (term)),
+        cosines AS (
+          SELECT uid, k, round(sum(u.w * t.w) / sqrt(any_value(nu.s) * any_value(nt.s)), 9) AS score
+          FROM unit_weights u JOIN template_weights t USING (term)
+          JOIN (SELECT unit, sum(w * w) AS s FROM unit_weights GROUP BY unit) nu USING (unit)
+          JOIN (SELECT k, sum(w * w) AS s FROM template_weights GROUP BY k) nt USING (k)
+          GROUP BY uid, unit, k),
+        best AS (SELECT uid, k, score FROM cosines WHERE score >= 0.6
+                 QUALIFY row_number() OVER (PARTITION BY uid ORDER BY score DESC, k) = 1),
+        own AS (SELECT d.doc_id, path, license, coalesce(score, 0.0) AS score, regexp_extract(path, '^(.*)/[^/]*$', 1) AS dir
+                FROM d LEFT JOIN best USING (uid) LEFT JOIN templates USING (k)),
+        declared AS (SELECT dir AS declared_in, license AS inherited FROM own WHERE license IS NOT NULL GROUP BY dir, license
+                     QUALIFY row_number() OVER (PARTITION BY dir ORDER BY count(*) DESC, license) = 1),
+        nearest AS (SELECT dir, declared_in, inherited FROM (SELECT DISTINCT dir FROM own)
+                    JOIN declared ON (dir = declared_in OR declared_in = '' OR starts_with(dir, declared_in || '/'))
+                    QUALIFY row_number() OVER (PARTITION BY dir ORDER BY length(declared_in) DESC) = 1)
+        SELECT doc_id, path, coalesce(license, inherited) AS license, score,
+               CASE WHEN license IS NULL THEN declared_in END AS declared_in
+        FROM own LEFT JOIN nearest USING (dir)
+    """,
     "op2_secret_scan": f"""
         WITH d AS (SELECT row_number() OVER () AS uid, doc_id, coalesce(text, '') AS t FROM documents),
         spans AS ({_ALL_SPANS}),
