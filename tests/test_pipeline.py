@@ -93,3 +93,29 @@ def test_published_mart_follows_the_schema(spark, workdir):
     run_batch(spark, raw_rows(spark, [{"patient_id": "PAT-0001"}]), table, batch=2, as_of=T0)
     out = table.read()
     assert "gone" not in out.columns and "risk_rank" in out.columns and out.count() == 2
+
+
+def test_load_and_publish_the_layers(spark, workdir):
+    from wardwatch.operators import marts, staging
+    from wardwatch.sources import messages
+    from wardwatch.sources.tables import load_tables, publish_tables
+    layers = ("t_raw", "t_staging", "t_marts")
+    create_layers(spark, workdir, layers)
+    records = messages.encode(raw_rows(spark, [{"patient_id": "PAT-0001"}, {"patient_id": None}])).select(
+        "value", F.lit(0).alias("partition"), F.lit(1).alias("offset"))
+    for _ in range(2):
+        load_tables(messages.decode(records, stamp=F.lit(T0)), layers)
+    raw = spark.table("t_raw.raw_patient_vitals")
+    assert raw.count() == 2 and {r["reason"] for r in spark.table("t_raw.raw_patient_vitals_quarantine").collect()} == {"null_patient_id"}
+    staged = staging.stage(raw, carry=("kafka_offset",))
+    for _ in range(2):
+        publish_tables(staging.stage(raw), marts.health_summary(staged, T0), layers)
+    assert spark.table("t_staging.stg_patient_vitals").count() == 2
+    assert spark.table("t_marts.mart_patient_health_summary").first()["patient_id"] == "PAT-0001"
+
+
+def test_keyed_sink_keeps_readings_without_a_key(spark, workdir):
+    from wardwatch.sources.sinks import read_keyed_json, write_keyed_json
+    write_keyed_json(raw_rows(spark, [{"patient_id": "PAT-0001"}, {"patient_id": None}]), f"{workdir}/out")
+    assert [r["key"] for r in read_keyed_json(spark, f"{workdir}/out").collect()] == ["PAT-0001"]
+    assert spark.read.text(f"{workdir}/out_unkeyed").count() == 1

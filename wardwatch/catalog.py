@@ -228,7 +228,7 @@ def q_enrich(spark, sf_dir):
 @register("sink_keyed_json")
 def q_sink(spark, sf_dir):
     path = new_work_dir(spark, "keyed-json")
-    sinks.write_keyed_json(raw(spark, sf_dir).where(F.col("patient_id").isNotNull()), path)
+    sinks.write_keyed_json(raw(spark, sf_dir), path)
     return sinks.read_keyed_json(spark, path)
 
 

@@ -21,9 +21,12 @@ def write_keyed_json(rows: DataFrame, path: str, partitions: int | None = None,
     Like a keyed topic, the records of one patient go to the same output
     task, in blocks of ``block_rows`` consecutive ``order_col`` values: a
     patient that holds a third of all readings is spread over many tasks
-    instead of one, while each block keeps its records together and in
-    order. ``partitions`` defaults to the session's shuffle partitions.
+    instead of one. So a patient's records are together and in order within a
+    block, not over all blocks. Readings without a key go to ``<path>_unkeyed``.
+    ``partitions`` defaults to the session's shuffle partitions.
     """
+    encode(rows.where(F.col("patient_id").isNull())).write.mode("overwrite").json(f"{path}_unkeyed")
+    rows = rows.where(F.col("patient_id").isNotNull())
     rec = encode(rows, keep=tuple(keep) + ((order_col,) if order_col and order_col not in keep else ()))
     keys = [F.col("key")]
     if order_col:

@@ -54,3 +54,16 @@ def create_layers(spark: SparkSession, location: str, layers: tuple[str, str, st
     spark.sql(f"CREATE TABLE IF NOT EXISTS {raw_db}.raw_patient_vitals_quarantine "
               f"({_ddl(QUARANTINE_SCHEMA)}) USING parquet "
               f"LOCATION '{base}/{raw_db}.db/raw_patient_vitals_quarantine'")
+
+
+def load_tables(decoded: DataFrame, layers: tuple[str, str, str] = LAYERS) -> None:
+    """Append decoded records (:func:`messages.decode`) to the raw layer: rows that load, and bad records."""
+    from wardwatch.sources import messages
+    messages.loaded(decoded).write.insertInto(f"{layers[0]}.raw_patient_vitals")
+    messages.quarantined(decoded).write.insertInto(f"{layers[0]}.raw_patient_vitals_quarantine")
+
+
+def publish_tables(staged: DataFrame, mart: DataFrame, layers: tuple[str, str, str] = LAYERS) -> None:
+    """Write the staging and the mart layer's tables anew."""
+    staged.write.mode("overwrite").format("parquet").saveAsTable(f"{layers[1]}.stg_patient_vitals")
+    mart.write.mode("overwrite").format("parquet").saveAsTable(f"{layers[2]}.mart_patient_health_summary")
