@@ -1,0 +1,32 @@
+"""Connected components against union-find."""
+
+import random
+
+from wardwatch.llm.components import connected_components
+
+
+def brute(edges):
+    root = {}
+
+    def find(x):
+        root.setdefault(x, x)
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        if a is not None and b is not None and a != b:
+            a, b = find(a), find(b)
+            root[max(a, b)] = min(a, b)
+    return {x: find(x) for x in root}
+
+
+def test_chains_stars_and_random_graphs(spark):
+    rng = random.Random(2)
+    edges = [(i, i + 1) for i in range(100, 160)] + [(1000, 1000 + i) for i in range(1, 80)] + [(7, 7), (None, 3), (-5, -9), (-9, -5), (-5, -9)]
+    edges += [(rng.randrange(2000, 2200), rng.randrange(2000, 2200)) for _ in range(120)]
+    rng.shuffle(edges)
+    df = spark.createDataFrame(edges, "a long, b long")
+    rows = connected_components(df).collect()
+    assert {r.node: r.component for r in rows} == brute(edges) and len(rows) == len(brute(edges))
+    assert connected_components(df.limit(0)).count() == 0
