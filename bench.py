@@ -21,7 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from wardwatch import catalog as C  # noqa: E402
+import monitor_queries as C  # noqa: E402
 from wardwatch.session import build_session  # noqa: E402
 from wardwatch.streaming import jobs  # noqa: E402
 

@@ -17,7 +17,8 @@ from wardwatch.functions.time import ntz_literal
 from wardwatch.operators import enrich, marts, monitoring, quality, staging, upsert
 from wardwatch.schemas import MESSAGE_COLUMNS, RAW_COLUMNS
 from wardwatch.session import new_work_dir
-from wardwatch.sources import fixtures, messages, sinks
+import monitor_fixtures as fixtures
+from wardwatch.sources import messages, sinks
 from wardwatch.sources.tables import read_table
 from wardwatch.streaming import jobs
 from wardwatch.streaming.landing import land, read_landing

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from wardwatch import catalog as C
+import monitor_queries as C
 from wardwatch.operators import marts
 
 # scale: raw rows, staged rows, patients, ward-hours, newest reading

@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from wardwatch import catalog as C
+import monitor_queries as C
 from wardwatch.operators import marts, monitoring, quality, staging
 from wardwatch.sources.tables import read_raw, write_raw
 
@@ -71,7 +71,7 @@ def test_no_python_udfs_in_batch_plans(spark):
 def test_enrichment_beyond_the_broadcast_size_same_rows(spark):
     """Beyond Spark's byte limit the join is a shuffle join, with the same result."""
     from wardwatch.operators import enrich
-    from wardwatch.sources import fixtures
+    import monitor_fixtures as fixtures
     from wardwatch.sources.tables import read_table
     events = read_table(spark, SF, "events")
     small = enrich.enrich(fixtures.monitor_readings(events), fixtures.registry(events))
