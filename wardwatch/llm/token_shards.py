@@ -34,6 +34,8 @@ shard, never from one task over all documents.
 from __future__ import annotations
 
 import re
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 
@@ -49,7 +51,7 @@ MAX_ROUNDS = 6
 ROUND_RULES = 512       # pairs replaced in one round
 LEAST_COUNT = 8         # occurrences that a pair needs
 TEXTS_AT_ONCE = 2_000
-CACHE_WORDS = 500_000
+CACHE_WORDS = 600_000
 
 FILE = ("part int, shard int, n_ids long, doc_ids array<long>, ends array<long>, base long, "
         "rules binary, sizes binary, symbols binary")
@@ -118,6 +120,14 @@ class Encoder:
         return b"".join([ids[p] if p in odd else self._plain(p) for p in pieces])
 
 
+def encoder_of(tokenizer_path: str) -> Encoder:
+    """This worker process's encoder: it serves many tasks, and keeps the words that they met."""
+    home = sys.modules.setdefault("_wardwatch_encoders", types.ModuleType("_wardwatch_encoders"))
+    if tokenizer_path not in home.__dict__:
+        home.__dict__[tokenizer_path] = Encoder(tokenizer_path)
+    return home.__dict__[tokenizer_path]
+
+
 # --- Re-Pair ------------------------------------------------------------------------------------
 
 def compress(ids: np.ndarray, base: int, max_rounds: int = MAX_ROUNDS,
@@ -148,7 +158,7 @@ def _frequent_pairs(seq: np.ndarray, least: int) -> np.ndarray:
     # pairs are counted by a hash first, and exactly where a hash value is frequent
     place = (left * np.uint32(0x9E3779B1) ^ right * np.uint32(0x85EBCA6B)) >> np.uint32(14)
     count = np.bincount(place, minlength=1 << 18)
-    bar = max(least, int(np.partition(count, -2 * ROUND_RULES)[-2 * ROUND_RULES]))
+    bar = max(least, int(np.partition(count, -ROUND_RULES)[-ROUND_RULES]))
     at = np.flatnonzero((count >= bar)[place])
     key, n = np.unique((left[at].astype(np.uint64) << np.uint64(32)) | right[at], return_counts=True)
     order = np.lexsort((key, -n))[:4 * ROUND_RULES]
@@ -191,15 +201,35 @@ def _replace(seq: np.ndarray, pairs: np.ndarray, first: int) -> np.ndarray:
 
 
 def expand(symbols: np.ndarray, base: int, rules: np.ndarray) -> np.ndarray:
-    """The ids of ``symbols``; a level of rules is opened at a time."""
-    while len(symbols) and (nested := symbols >= base).any():
+    """The ids of ``symbols``: the rules are written out once, and their ids copied into place."""
+    nested = np.flatnonzero(symbols >= base)
+    if not len(nested):
+        return symbols
+    flat, size = _written_out(base, rules)
+    start = np.cumsum(size) - size
+    used = symbols[nested] - base
+    width = np.ones(len(symbols), np.int64)
+    width[nested] = size[used]
+    out = np.repeat(symbols, width)
+    place = (np.cumsum(width) - width)[nested]
+    length = size[used]
+    within = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+    out[np.repeat(place, length) + within] = flat[np.repeat(start[used], length) + within]
+    return out
+
+
+def _written_out(base: int, rules: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all rules end to end, ids of each rule); a level of rules is opened at a time."""
+    ids = rules.astype(np.uint32).reshape(-1)
+    rule = np.repeat(np.arange(len(rules)), 2)
+    while (nested := ids >= base).any():
         width = np.where(nested, 2, 1)
-        out = np.repeat(symbols, width)
+        out = np.repeat(ids, width)
         at = (np.cumsum(width) - width)[nested]
-        pair = rules[symbols[nested] - base]
+        pair = rules[ids[nested] - base]
         out[at], out[at + 1] = pair[:, 0], pair[:, 1]
-        symbols = out
-    return symbols
+        ids, rule = out, np.repeat(rule, width)
+    return ids, np.bincount(rule, minlength=len(rules))
 
 
 def read_ids(shard, start: int, stop: int) -> np.ndarray:
@@ -227,7 +257,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, shard = Encoder(tokenizer_path), TaskContext.get().partitionId(), 0
+        encoder, part, shard = encoder_of(tokenizer_path), TaskContext.get().partitionId(), 0
         base = max(encoder.tokenizer.get_vocab_size(), end_id + 1)
         end = np.array([end_id], "<u4").tobytes()
         names, texts, size = [], [], 0
