@@ -39,7 +39,7 @@ MAX_LISTS = 1_024
 SUBSPACES = 8
 CODEWORDS = 64
 PROBE_WIDTH = 4.0
-BLOCK = 2_048               # entries or queries of a block
+BLOCK = 512                 # entries or queries of a block
 SPLIT = 1 << 20
 
 
@@ -117,6 +117,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, id_col: str = "
     Other columns are not read.
     """
     x = F.col("vec")
+    dtype = "<f4" if vectors.schema[vec_col].dataType.simpleString() == "array<float>" else "<f8"
     rows = cut(vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).alias("label"),
                               F.col(vec_col).cast("array<double>").alias("vec"))
                .withColumn("norm", F.sqrt(F.aggregate(F.transform(x, lambda v: v * v), F.lit(0.0), lambda a, v: a + v)))
@@ -130,7 +131,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, id_col: str = "
         .withColumn("dim", F.size("vec")))
     counts = stars = None
     for dim, n in sorted(tuple(r) for r in entries.groupBy("dim").count().collect()):
-        found = cut(_links(entries.where(F.col("dim") == dim), dim, n, threshold, block))
+        found = cut(_links(entries.where(F.col("dim") == dim), dim, n, threshold, block, dtype))
         some = found.where("star < 0").groupBy("entry").agg(F.sum("n").alias("n"))
         more = found.where("star >= 0").select("entry", "star")
         counts, stars = (some, more) if counts is None else (counts.union(some), stars.union(more))
@@ -149,8 +150,11 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, id_col: str = "
                       F.col("vec_id").eqNullSafe(mine).alias("kept"))
 
 
-def _links(entries: DataFrame, dim: int, n: int, threshold: float, block: int) -> DataFrame:
-    """(entry, star, n): link counts (star -1), and links as stars (n 0), of one dimension's entries."""
+def _links(entries: DataFrame, dim: int, n: int, threshold: float, block: int, dtype: str) -> DataFrame:
+    """(entry, star, n): link counts (star -1), and links as stars (n 0), of one dimension's entries.
+
+    Vectors travel as they came, as ``dtype``; all arithmetic is in double precision.
+    """
     share = min(1.0, SAMPLE / n)
     drawn = F.pmod(F.xxhash64("entry"), F.lit(SPLIT)) < int(share * SPLIT) + 1
     sample = _unit(np.array([r[0] for r in entries.where(drawn).select("vec").collect()] or [np.ones(dim)], float).reshape(-1, dim))
@@ -158,37 +162,38 @@ def _links(entries: DataFrame, dim: int, n: int, threshold: float, block: int) -
 
     def place(batches):
         for batch in batches:
-            x = _unit(_matrix(batch.column("vec"), dim))
+            raw = _matrix(batch.column("vec"), dim)
+            x = _unit(raw)
             home, codes, error = index.code(x)
             yield pa.record_batch(
                 [batch.column("label"), batch.column("entry"), batch.column("copies"), pa.array(home.astype(np.int32)),
                  pa.array(index.probes(x), pa.list_(pa.int32())), pa.array([c.tobytes() for c in codes], pa.binary()),
-                 pa.array(error), pa.array([v.tobytes() for v in x], pa.binary())],
-                names=["label", "entry", "copies", "home", "probes", "code", "error", "unit"])
+                 pa.array(error), pa.array([v.tobytes() for v in raw.astype(dtype)], pa.binary())],
+                names=["label", "entry", "copies", "home", "probes", "code", "error", "raw"])
 
     kind = entries.schema["label"].dataType.simpleString()
     placed = cut(entries.select("label", "entry", "copies", "vec").mapInArrow(
-        place, f"label {kind}, entry long, copies long, home int, probes array<int>, code binary, error double, unit binary"))
+        place, f"label {kind}, entry long, copies long, home int, probes array<int>, code binary, error double, raw binary"))
 
     # blocks of a list, and of the queries that probe it
     def split(total):
         return F.ceil(F.col(total) / F.lit(block)).cast("int")
 
-    queries = placed.select("label", "entry", "copies", "unit", F.explode("probes").alias("list"))
+    queries = placed.select("label", "entry", "copies", "raw", F.explode("probes").alias("list"))
     members = placed.groupBy("label", F.col("home").alias("list")).agg(F.count("*").alias("members"))
     asking = queries.groupBy("label", "list").agg(F.count("*").alias("askers"))
     shape = members.join(asking, ["label", "list"]).select("label", "list", split("members").alias("blocks"), split("askers").alias("rounds"))
     part = lambda n: F.pmod(F.xxhash64("entry"), F.col(n)).cast("int")
     left = (placed.withColumnRenamed("home", "list").join(shape, ["label", "list"])
             .select("label", "list", part("blocks").alias("b"), F.explode(F.sequence(F.lit(0), F.col("rounds") - 1)).alias("q"),
-                    "entry", "copies", "unit", "code", "error"))
+                    "entry", "copies", "raw", "code", "error"))
     right = (queries.join(shape, ["label", "list"])
              .select("label", "list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("b"), part("rounds").alias("q"),
-                     "entry", "copies", "unit"))
+                     "entry", "copies", "raw"))
     right = right.toDF(*right.columns)      # columns of its own: both sides come from one table
 
     def search(key: tuple, items: pa.Table, asked: pa.Table) -> pa.Table:
-        x, y = _units(items, dim), _units(asked, dim)
+        x, y = _units(items, dim, dtype), _units(asked, dim, dtype)
         found = _search(index, key[1].as_py(), y, _longs(asked, "entry"), x, _longs(items, "entry"),
                         np.frombuffer(b"".join(items.column("code").to_pylist()), np.uint8).reshape(len(x), -1) if len(x) else None,
                         items.column("error").to_numpy(), threshold) if len(x) and len(y) else (np.zeros(0, int),) * 2
@@ -243,7 +248,7 @@ def _summed(q: np.ndarray, i: np.ndarray, y_entry, y_copies, x_entry, x_copies)
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
-    x = x / np.abs(x).max(axis=1, keepdims=True)
+    x = x / np.abs(x).max(axis=1, keepdims=True, initial=0.0)
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
@@ -251,8 +256,8 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return np.array(column.flatten().to_numpy(zero_copy_only=False), float).reshape(-1, dim)
 
 
-def _units(rows: pa.Table, dim: int) -> np.ndarray:
-    return np.frombuffer(b"".join(rows.column("unit").to_pylist()), float).reshape(-1, dim)
+def _units(rows: pa.Table, dim: int, dtype: str) -> np.ndarray:
+    return _unit(np.frombuffer(b"".join(rows.column("raw").to_pylist()), dtype).astype(float).reshape(-1, dim))
 
 
 def _longs(rows: pa.Table, name: str) -> np.ndarray:
