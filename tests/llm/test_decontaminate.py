@@ -106,3 +106,50 @@ def test_query_finds_exact_copies_and_agrees_with_all_alignments(spark):
             best, _ = D._smith_waterman([(x, numbers) for x in block.items])
             want |= {(d, block.item_ids[k]) for k, s in enumerate(best) if s >= D.THRESHOLD * 2 * len(block.items[k])}
     assert got == want
+
+
+def all_alignments(block, texts, threshold):
+    """(text, item, score) by aligning every item with every whole text."""
+    out = set()
+    for d, t in enumerate(texts):
+        numbers = block.numbers([t])[0]
+        if len(numbers):
+            for k, x in enumerate(block.items):
+                s = plain_score(x.tolist(), numbers.tolist()) / (2 * len(x))
+                if s >= (threshold if len(x) > 2 else 1.0):
+                    out.add((d, k, s))
+    return out
+
+
+def test_no_edit_at_the_threshold_is_missed_in_common_words():
+    rng = random.Random(5)
+    vocab = [f"w{i}" for i in range(25)]
+    items = [rng.choices(vocab, k=n) for n in (1, 2, 3, 4, 5, 7, 12, 18, 24, 30)]
+    texts = [" ".join(rng.choices(vocab, k=rng.randint(0, 60))) for _ in range(40)]
+    for x in items[4:]:
+        third = ["zz" if j % 3 == 2 else w for j, w in enumerate(x)]
+        dropped = [w for j, w in enumerate(x) if j % 3 != 2]
+        loose = [y for w in x for y in (w, "zz")]
+        texts += [" ".join(["zz"] * 9 + y + ["zz"] * 9) for y in (third, dropped, loose, x[:len(x) // 2 + 1], x[::2])]
+    for threshold in (0.5, 0.3, 0.8):
+        block = D.Block([], [], {})
+        for k, x in enumerate(items):
+            block.item_ids.append(k)
+            block.items.append(np.array([block.vocabulary.setdefault(w, len(block.vocabulary) + 1) for w in x]))
+        block.choose_seeds(threshold)
+        got = [(d, k, s) for d, k, s, _, _ in D._aligned(block, *block.numbers(texts))]
+        want = all_alignments(block, texts, threshold)
+        assert set(got) == want and len(got) == len(want)
+
+
+def test_edited_copies_are_found_whatever_the_rest_of_the_corpus(spark):
+    rng = random.Random(6)
+    item = [f"w{i}" for i in range(30)]
+    third = " ".join("zz" if j % 3 == 2 else w for j, w in enumerate(item))
+    loose = " ".join(f"{w} zz" for w in item)
+    b = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    for rest in (0, 400):       # the item's words, common
+        docs = [(-1, third), (-2, loose)] + [(i, " ".join(rng.choices(item, k=200))) for i in range(rest)]
+        d = spark.createDataFrame(docs, "doc_id long, text string")
+        assert {r.doc_id for r in D.contaminations(d, b).collect()} >= {-1, -2}
+        assert D.decontaminate(d, b).where("doc_id < 0").count() == 0

@@ -1,20 +1,24 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
-
-* Statistics. The words of the benchmark are counted over all documents. A
-  word sequence is rare if, with its words drawn independently at these rates,
-  the whole corpus should hold it at most ``CHANCE`` times. So a passage that a
-  third of the corpus has copied is still made of rare sequences.
-* Seeds. At each word of a test item starts a seed: the shortest sequence of 3
-  to 8 words that is rare. Documents are joined with the items on equal seeds.
-* Alignment. Around the seeds' diagonals the item is aligned locally with the
-  document (match 2, other word -1, gap -1), so replaced, inserted and dropped
-  words cost a little each. The score is a share of the item's perfect score.
+"""Benchmark decontamination: counted word pairs, then Smith-Waterman alignment.
+
+* Seeds. An alignment (match 2, other word -1, gap -1) of m matches has m - 1
+  steps from a match to the next one. If a of them hold no other word or gap and
+  b hold exactly one, its score is at most 2m - b - 2(m - 1 - a - b), so a score
+  of s needs 2a + b >= s - 2. Such a step is a pair of words, next to each other
+  or one word apart, in the item and in the text alike. The text between the
+  first and the last match has at most 3n - s words for an item of n words.
+* Candidates. Documents are joined with the items on equal word pairs. Where the
+  pairs of an item within 3n - s words weigh s - 2 or more, with 2 for a pair next
+  to each other on both sides and 1 for others, it is aligned. So no alignment
+  that reaches the threshold is left out, whatever the size of the corpus or the
+  commonness of the words. Items of so low an s that it asks for no pair are
+  aligned wherever a word of theirs stands.
+* Alignment. The item is aligned locally with the document around the candidates,
+  so replaced, inserted and dropped words cost a little each. The score is a
+  share of the item's perfect score.
 
 Scale: items are taken in blocks of bounded size, broadcast to the scans; for
-each block there are two scans of the documents, one for the counts (summed in
-each task before the shuffle) and one for the alignments, which needs no
-shuffle. Nothing of the documents reaches the driver but the counts of a
-block's vocabulary.
+each block there is one scan of the documents, which needs no shuffle. Nothing of
+the documents reaches the driver.
 """
 
 from __future__ import annotations
@@ -29,12 +33,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SHORTEST, LONGEST = 3, 8        # words of a seed
-CHANCE = 1e-3                   # times that chance may place a seed in the corpus
 THRESHOLD = 0.5                 # share of an item's perfect score
 ITEMS_AT_ONCE = 20_000          # items of a block
 TEXTS_AT_ONCE = 500
 CELLS = 4_000_000               # cells of one batch of alignments
+PAIRS = 4_000_000               # equal pairs looked at together, unless one text has more
 MATCH, OTHER, GAP = 2, -1, -1
 
 _words = re.compile(r"\w+").findall
@@ -48,7 +51,9 @@ class Block:
     item_ids: list
     items: list[np.ndarray]
     vocabulary: dict[str, int]
-    seeds: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] | None = None    # by length: hash, item, position
+    least: np.ndarray | None = None     # by item: score to reach
+    span: np.ndarray | None = None      # by item: most words of text that such an alignment takes
+    seeds: _Seeds | None = None
 
     def numbers(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(numbers of the words of all texts end to end, 0 for others; end of each text)."""
@@ -58,33 +63,59 @@ class Block:
             ends.append(len(out))
         return np.array(out, np.int64), np.array(ends, np.int64)
 
-    def choose_seeds(self, count: np.ndarray, total: int) -> None:
-        rate = np.log(np.maximum(count, 1) / max(total, 1))
-        most = np.log(CHANCE) - np.log(max(total, 1))
-        found: dict[int, list] = defaultdict(list)
-        for k, item in enumerate(self.items):
-            so_far = np.concatenate(([0.0], np.cumsum(rate[item])))
-            for at in range(len(item)):
-                n = next((n for n in range(min(SHORTEST, len(item)), LONGEST + 1)
-                          if at + n <= len(item) and (so_far[at + n] - so_far[at] <= most or n == len(item))), 0)
-                if n:
-                    found[n].append((_hash(item[at:at + n], n)[0], k, at))
-        self.seeds = {}
-        for n, rows in found.items():
-            h, k, at = (np.array(x, d) for x, d in zip(zip(*rows), (np.uint64, np.int64, np.int64)))
-            order = np.argsort(h, kind="stable")
-            self.seeds[n] = h[order], k[order], at[order]
-
-
-def _hash(numbers: np.ndarray, n: int) -> np.ndarray:
-    out = np.zeros(len(numbers) - n + 1, np.uint64)
-    for i in range(n):
-        out = (out ^ numbers[i:len(numbers) - n + 1 + i].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-        out ^= out >> np.uint64(29)
-    return out
-
-
-def _blocks(docs: DataFrame, benchmark: DataFrame, text_col: str, items_at_once: int) -> Iterator:
+    def choose_seeds(self, threshold: float) -> None:
+        size = np.array([len(x) for x in self.items], np.int64)
+        self.least = np.where(size < 3, 1.0, threshold) * MATCH * size      # items of one or two words: whole
+        self.span = np.maximum(1, np.ceil(3 * size - self.least)).astype(np.int64)
+        base, rows = len(self.vocabulary) + 1, []
+        for k, x in enumerate(self.items):
+            if self.least[k] <= 2:
+                rows.append((x, np.full(len(x), k), np.ones(len(x), np.int64)))
+                continue
+            for apart, weight in ((1, 2), (2, 1)):
+                pairs = x[:-apart] * base + x[apart:]
+                rows.append((pairs, np.full(len(pairs), k), np.full(len(pairs), weight)))
+        self.seeds = _Seeds(*(np.concatenate(c) for c in zip(*rows)), base, bool((self.least <= 2).any()))
+
+
+class _Seeds:
+    """Word pairs of items, as left word * base + right word; the words themselves for items that take single words."""
+
+    def __init__(self, key: np.ndarray, item: np.ndarray, weight: np.ndarray, base: int, single: bool):
+        order = np.lexsort((-weight, item, key))
+        key, item, weight = key[order], item[order], weight[order]
+        new = np.concatenate(([True], (np.diff(key) != 0) | (np.diff(item) != 0)))     # the heavier of equal pairs of an item
+        key, self.item, self.weight = key[new], item[new], weight[new]
+        self.key, first = np.unique(key, return_index=True)
+        self.first = np.append(first, len(key))
+        self.base, self.single = base, single
+        self.bits = np.uint64(64 - min(24, max(10, int(len(self.key)).bit_length() + 4)))
+        self.maybe = np.zeros(1 << (64 - int(self.bits)), bool)
+        self.maybe[self._slot(self.key)] = True
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.bits
+
+    def find(self, numbers: np.ndarray, text: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, int]]:
+        """(places in the text, places in ``key``, words apart; 0 for single words) of equal pairs."""
+        out = []
+        for apart in (0, 1, 2) if self.single else (1, 2):
+            if apart:
+                left, right = numbers[:-apart], numbers[apart:]
+                at = np.flatnonzero((left > 0) & (right > 0) & (text[:-apart] == text[apart:]))
+                key = left[at] * self.base + right[at]
+            else:
+                at = np.flatnonzero(numbers)
+                key = numbers[at]
+            some = self.maybe[self._slot(key)]
+            at, key = at[some], key[some]
+            place = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+            same = self.key[place] == key
+            out.append((at[same], place[same], apart))
+        return out
+
+
+def _blocks(docs: DataFrame, benchmark: DataFrame, threshold: float, items_at_once: int) -> Iterator:
     """The blocks of the benchmark with their seeds chosen, as broadcasts."""
     sc = docs.sparkSession.sparkContext
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
@@ -100,24 +131,7 @@ def _blocks(docs: DataFrame, benchmark: DataFrame, text_col: str, items_at_once:
                 block.items.append(np.array([block.vocabulary.setdefault(w, len(block.vocabulary) + 1) for w in words], np.int64))
         if not block.items:
             continue
-        size = len(block.vocabulary) + 1
-        shared = sc.broadcast(block)
-
-        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            n = np.zeros(size, np.int64)
-            for batch in batches:
-                for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
-                    texts = [t or "" for t in batch.column(0).slice(at, TEXTS_AT_ONCE).to_pylist()]
-                    n += np.bincount(shared.value.numbers(texts)[0], minlength=size)
-            some = np.flatnonzero(n)
-            yield pa.record_batch([pa.array(some), pa.array(n[some])], names=["word", "n"])
-
-        counted = (docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(count, "word long, n long")
-                   .groupBy("word").agg(F.sum("n").alias("n")).collect())
-        n = np.zeros(size, np.int64)
-        for word, times in counted:
-            n[word] = times
-        block.choose_seeds(n, int(n.sum()))
+        block.choose_seeds(threshold)
         yield sc.broadcast(block)
 
 
@@ -134,12 +148,12 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, threshold: float = THR
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     out = None
-    for shared in _blocks(docs, benchmark, text_col, items_at_once):
+    for shared in _blocks(docs, benchmark, threshold, items_at_once):
 
         def report(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 ids = batch.column(0).to_pylist()
-                found = _found(shared.value, batch.column(1), threshold)
+                found = _found(shared.value, batch.column(1))
                 columns = list(zip(*((ids[d], shared.value.item_ids[k], s, a, b) for d, k, s, a, b in found))) or [()] * 5
                 kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds)],
@@ -154,62 +168,90 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, threshold: float = THRE
                   items_at_once: int = ITEMS_AT_ONCE) -> DataFrame:
     """The rows of ``docs`` that hold no item; all columns kept. See :func:`contaminations`."""
     out = docs
-    for shared in _blocks(docs, benchmark, text_col, items_at_once):
+    for shared in _blocks(docs, benchmark, threshold, items_at_once):
 
         def keep(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 texts = batch.column(batch.schema.get_field_index(text_col)).cast(pa.string())
                 clean = np.ones(batch.num_rows, bool)
-                clean[[d for d, *_ in _found(shared.value, texts, threshold)]] = False
+                clean[[d for d, *_ in _found(shared.value, texts)]] = False
                 yield batch.filter(pa.array(clean))
 
         out = out.mapInArrow(keep, docs.schema)
     return out
 
 
-def _found(block: Block, texts: pa.Array, threshold: float) -> list[tuple]:
+def _found(block: Block, texts: pa.Array) -> list[tuple]:
     """(row, item, score, start, end) of the alignments of a batch that reach the threshold."""
     out = []
     for at in range(0, len(texts), TEXTS_AT_ONCE):
         some = [t or "" for t in texts.slice(at, TEXTS_AT_ONCE).to_pylist()]
-        out += [(at + d, *rest) for d, *rest in _aligned(block, *block.numbers(some), threshold)]
+        out += [(at + d, *rest) for d, *rest in _aligned(block, *block.numbers(some))]
     return out
 
 
-def _aligned(block: Block, numbers: np.ndarray, ends: np.ndarray, threshold: float) -> list[tuple]:
+def _candidates(block: Block, numbers: np.ndarray, ends: np.ndarray) -> list[tuple[int, int, int, int]]:
+    """(text, item, start, end) of the places that must be aligned, apart from each other."""
     lows = np.concatenate(([0], ends[:-1]))
-    known = np.concatenate(([0], np.cumsum(numbers > 0)))
-    places: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)     # (text, item) -> windows
-    for n, (hashes, items, positions) in block.seeds.items():
-        if len(numbers) < n:
-            continue
-        full = np.flatnonzero(known[n:] - known[:-n] == n)                       # n words of the vocabulary in a row
-        h = _hash(numbers, n)[full]
-        first, last = np.searchsorted(hashes, h, "left"), np.searchsorted(hashes, h, "right")
-        for i in np.flatnonzero(last > first):
-            text = int(np.searchsorted(ends, full[i], "right"))
-            if full[i] + n > ends[text]:
-                continue
-            for s in range(first[i], last[i]):
-                size = len(block.items[items[s]])
-                pad, start = 4 + size // 4, int(full[i] - positions[s])
-                places[text, int(items[s])].append((max(int(lows[text]), start - pad), min(int(ends[text]), start + size + pad)))
-    jobs = []
-    for (text, item), windows in places.items():
-        windows.sort()
-        lo, hi = windows[0]
-        for a, b in windows[1:]:
-            if a > hi:
-                jobs.append((text, item, lo, hi))
-                lo = a
-            hi = max(hi, b) if a <= hi else b
-        jobs.append((text, item, lo, hi))
+    text = np.repeat(np.arange(len(ends)), ends - lows)
+    found = block.seeds.find(numbers, text)
+    # pairs up to each text's end; texts together while they have at most PAIRS
+    total = np.zeros(len(numbers) + 1, np.int64)
+    for at, place, _ in found:
+        total[1:] += np.cumsum(np.bincount(at, block.seeds.first[place + 1] - block.seeds.first[place], len(numbers)).astype(np.int64))
+    out, lo = [], 0
+    while lo < len(ends):
+        hi = max(lo + 1, int(np.searchsorted(total[ends], total[lows[lo]] + PAIRS, "right")))
+        out += _dense(block, found, int(lows[lo]), int(ends[hi - 1]), lows, ends, text)
+        lo = hi
+    return out
+
+
+def _dense(block: Block, found: list, begin: int, stop: int, lows: np.ndarray, ends: np.ndarray, text: np.ndarray) -> list[tuple]:
+    """The candidates of the words from ``begin`` to ``stop``, which are whole texts."""
+    seeds, items, places, weights = block.seeds, [], [], []
+    for at, place, apart in found:
+        a, b = np.searchsorted(at, (begin, stop))
+        first, n = seeds.first[place[a:b]], seeds.first[place[a:b] + 1] - seeds.first[place[a:b]]
+        row = np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)
+        items.append(seeds.item[row])
+        places.append(np.repeat(at[a:b], n))
+        weights.append(seeds.weight[row] if apart == 1 else np.ones(len(row), np.int64))
+    item, place, weight = (np.concatenate(x) for x in (items, places, weights))
+    if not len(item):
+        return []
+    wide = int(ends[-1]) + 1
+    code = item * wide + place
+    order = np.argsort(code)
+    code, weight = code[order], weight[order]
+    new = np.flatnonzero(np.concatenate(([True], np.diff(code) != 0)))
+    code, weight = code[new], np.maximum.reduceat(weight, new)           # a word starts one pair of an alignment
+    item, place = np.divmod(code, wide)
+    span, end = block.span[item], ends[text[place]]
+    sums = np.concatenate(([0], np.cumsum(weight)))
+    last = np.searchsorted(code, code + np.minimum(span, end - place))
+    full = sums[last] - sums[:-1] >= block.least[item] - 2 - 1e-6
+    item, place, span, end = item[full], place[full], span[full], end[full]
+    if not len(item):
+        return []
+    own = text[place]
+    lo, hi = np.maximum(lows[own], place - span + 1), np.minimum(end, place + span)
+    # windows that touch are one
+    new = np.concatenate(([True], (np.diff(item) != 0) | (np.diff(own) != 0) | (lo[1:] > hi[:-1])))
+    start = np.flatnonzero(new)
+    stops = np.append(start[1:], len(item)) - 1
+    return list(zip(own[start].tolist(), item[start].tolist(), lo[start].tolist(), hi[stops].tolist()))
+
+
+def _aligned(block: Block, numbers: np.ndarray, ends: np.ndarray) -> list[tuple]:
+    lows = np.concatenate(([0], ends[:-1]))
+    jobs = _candidates(block, numbers, ends) if len(numbers) else []
     best: dict[tuple[int, int], tuple] = {}
     jobs.sort(key=lambda j: (j[3] - j[2], j))
     for some in _batches(jobs, block):
         pairs = [(block.items[item], numbers[lo:hi]) for _, item, lo, hi in some]
         score, stop = _smith_waterman(pairs)
-        good = [i for i, (x, _) in enumerate(pairs) if score[i] >= threshold * MATCH * len(x)]
+        good = [i for i in range(len(pairs)) if score[i] >= block.least[some[i][1]]]
         # the start: the same alignment read backwards from its end
         back = _smith_waterman([(pairs[i][0][::-1], pairs[i][1][:stop[i]][::-1]) for i in good])[1] if good else []
         for i, length in zip(good, back):
