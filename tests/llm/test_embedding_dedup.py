@@ -79,3 +79,20 @@ def test_recall_on_given_vectors(spark):
     assert all(got[r[0]].n_links <= n for r, n in zip(rows, links))
     assert sum(r.n_links for r in got.values()) >= 0.99 * sum(links)
     assert sum(got[r[0]].component_id == c for r, c in zip(rows, comps)) >= 0.99 * len(rows)
+
+
+@pytest.mark.parametrize("dim,effective", [(768, 8), (256, 16)])
+def test_nothing_is_lost_in_vectors_of_few_effective_dimensions(spark, dim, effective):
+    rng = np.random.default_rng(11)
+    axes = np.linalg.qr(rng.normal(size=(dim, effective)))[0]
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    a = unit(rng.normal(size=(1500, effective)))
+    away = rng.normal(size=a.shape)
+    away = unit(away - (away * a).sum(axis=1, keepdims=True) * a)
+    b = 0.982 * a + np.sqrt(1 - 0.982 ** 2) * away
+    x = np.concatenate((a, b)) @ axes.T
+    x = x[rng.permutation(len(x))]
+    df = spark.createDataFrame([(i, v, 0) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>, label int")
+    near = unit(x) @ unit(x).T >= 0.98
+    got = {r.vec_id: r.n_links for r in E.near_duplicates(df).collect()}
+    assert near.sum() > 4500 and [got[i] for i in range(len(x))] == (near.sum(axis=1) - 1).tolist()

@@ -6,15 +6,16 @@ Vectors of one label link when the cosine of the two is at least a threshold.
   residual is cut into subspaces, each coded by its nearest codeword. Centroids
   and codewords are fitted on a sample of at most about ``SAMPLE`` vectors;
   every vector is indexed. With each code goes the length of its coding error.
-* Search. Every vector queries the lists whose cells it could share with a
-  neighbour: those whose bisecting plane with its own cell is nearer than a
-  margin. The margin is ``PROBE_WIDTH`` times the spread that a difference of
-  the threshold's length has along one direction, so a neighbour's list is left
-  out about once in 15,000 times for differences without a preferred
-  direction. Within a list, distances are sums of table entries (asymmetric: the
-  query is not coded). By the triangle inequality a neighbour lies no further
-  from the query's point than the threshold's length plus its coding error; all
-  such are reranked by exact cosine in double precision. Nothing else is cut off.
+* Search. Two neighbours in different cells lie on either side of the bisecting
+  plane, and their distances from it add up to at most their own; so one of the
+  two lies within half the threshold's length of it. Every vector queries the
+  lists whose planes with its own cell are that near: each pair of neighbours is
+  met in at least one list, whatever the directions of the differences. If both
+  would ask, the smaller entry does. Within a list, distances are sums of table
+  entries (asymmetric: the query is not coded). By the triangle inequality a
+  neighbour lies no further from the query's point than the threshold's length
+  plus its coding error; all such are reranked by exact cosine in double
+  precision. Nothing else is cut off.
 * Result. Each task returns link counts and a star forest of its links, never
   pairs. Components come from ``connected_components``.
 
@@ -38,7 +39,7 @@ SAMPLE = 16_384
 MAX_LISTS = 1_024
 SUBSPACES = 8
 CODEWORDS = 64
-PROBE_WIDTH = 4.0
+SLACK = 1e-6                # of a distance, for rounding
 BLOCK = 512                 # entries or queries of a block
 SPLIT = 1 << 20
 
@@ -49,7 +50,7 @@ class Index:
     def __init__(self, sample: np.ndarray, lists: int, threshold: float):
         rng = np.random.default_rng(7)
         self.radius = float(np.sqrt(max(0.0, 2 - 2 * threshold)))
-        self.margin = PROBE_WIDTH * self.radius / np.sqrt(max(1, sample.shape[1]))
+        self.margin = self.radius / 2 + SLACK
         self.centroids = _kmeans(sample, lists, rng)
         rest = sample - self.centroids[_nearest(sample, self.centroids)]
         parts = min(SUBSPACES, sample.shape[1])
@@ -66,13 +67,11 @@ class Index:
         shown = np.concatenate([w[codes[:, m]] for m, w in enumerate(self.words)], axis=1)
         return home, codes, np.sqrt(((rest - shown) ** 2).sum(axis=1))
 
-    def probes(self, x: np.ndarray) -> list[list[int]]:
-        """Lists whose cell lies within the margin of each vector, its own first."""
-        d = _squares(x, self.centroids)
-        home = d.argmin(axis=1)
-        plane = (d - d[np.arange(len(x)), home][:, None]) / (2 * self.gap[home])
-        near = (plane <= self.margin)
-        near[np.arange(len(x)), home] = True
+    def probes(self, x: np.ndarray, home: np.ndarray) -> list[list[int]]:
+        """Lists whose bisecting plane with its own cell lies within the margin of each vector, its own among them."""
+        d, rows = _squares(x, self.centroids), np.arange(len(x))
+        near = (d - d[rows, home][:, None]) / (2 * self.gap[home]) <= self.margin
+        near[rows, home] = True
         return [np.flatnonzero(row).tolist() for row in near]
 
     def tables(self, x: np.ndarray, at: int) -> list[np.ndarray]:
@@ -167,7 +166,7 @@ def _links(entries: DataFrame, dim: int, n: int, threshold: float, block: int, d
             home, codes, error = index.code(x)
             yield pa.record_batch(
                 [batch.column("label"), batch.column("entry"), batch.column("copies"), pa.array(home.astype(np.int32)),
-                 pa.array(index.probes(x), pa.list_(pa.int32())), pa.array([c.tobytes() for c in codes], pa.binary()),
+                 pa.array(index.probes(x, home), pa.list_(pa.int32())), pa.array([c.tobytes() for c in codes], pa.binary()),
                  pa.array(error), pa.array([v.tobytes() for v in raw.astype(dtype)], pa.binary())],
                 names=["label", "entry", "copies", "home", "probes", "code", "error", "raw"])
 
@@ -179,22 +178,23 @@ def _links(entries: DataFrame, dim: int, n: int, threshold: float, block: int, d
     def split(total):
         return F.ceil(F.col(total) / F.lit(block)).cast("int")
 
-    queries = placed.select("label", "entry", "copies", "raw", F.explode("probes").alias("list"))
+    queries = placed.select("label", "entry", "copies", "raw", "home", F.explode("probes").alias("list"))
     members = placed.groupBy("label", F.col("home").alias("list")).agg(F.count("*").alias("members"))
     asking = queries.groupBy("label", "list").agg(F.count("*").alias("askers"))
     shape = members.join(asking, ["label", "list"]).select("label", "list", split("members").alias("blocks"), split("askers").alias("rounds"))
     part = lambda n: F.pmod(F.xxhash64("entry"), F.col(n)).cast("int")
     left = (placed.withColumnRenamed("home", "list").join(shape, ["label", "list"])
             .select("label", "list", part("blocks").alias("b"), F.explode(F.sequence(F.lit(0), F.col("rounds") - 1)).alias("q"),
-                    "entry", "copies", "raw", "code", "error"))
+                    "entry", "copies", "raw", "code", "error", "probes"))
     right = (queries.join(shape, ["label", "list"])
              .select("label", "list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("b"), part("rounds").alias("q"),
-                     "entry", "copies", "raw"))
+                     "entry", "copies", "raw", "home"))
     right = right.toDF(*right.columns)      # columns of its own: both sides come from one table
 
     def search(key: tuple, items: pa.Table, asked: pa.Table) -> pa.Table:
         x, y = _units(items, dim, dtype), _units(asked, dim, dtype)
-        found = _search(index, key[1].as_py(), y, _longs(asked, "entry"), x, _longs(items, "entry"),
+        found = _search(index, key[1].as_py(), y, _longs(asked, "entry"), _longs(asked, "home"), x, _longs(items, "entry"),
+                        _marked(items.column("probes"), len(index.centroids)),
                         np.frombuffer(b"".join(items.column("code").to_pylist()), np.uint8).reshape(len(x), -1) if len(x) else None,
                         items.column("error").to_numpy(), threshold) if len(x) and len(y) else (np.zeros(0, int),) * 2
         return _summed(*found, _longs(asked, "entry"), _longs(asked, "copies"), _longs(items, "entry"), _longs(items, "copies"))
@@ -203,15 +203,16 @@ def _links(entries: DataFrame, dim: int, n: int, threshold: float, block: int, d
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, "entry long, star long, n long")
 
 
-def _search(index: Index, at: int, y: np.ndarray, y_entry: np.ndarray, x: np.ndarray, x_entry: np.ndarray,
-            codes: np.ndarray, error: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Linked (query, item) positions; of two entries the smaller one asks."""
+def _search(index: Index, at: int, y: np.ndarray, y_entry: np.ndarray, y_home: np.ndarray, x: np.ndarray, x_entry: np.ndarray,
+            x_probes: np.ndarray, codes: np.ndarray, error: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Linked (query, item) positions; of two entries that probe each other's lists the smaller one asks."""
     reach = (index.radius + error + 1e-9) ** 2
     asks, hits = [], []
     for lo in range(0, len(y), 128):
         tables = index.tables(y[lo:lo + 128], at)
         d = sum(t[:, codes[:, m]] for m, t in enumerate(tables))
-        q, i = np.nonzero((d <= reach) & (y_entry[lo:lo + 128, None] < x_entry))
+        mine = (y_entry[lo:lo + 128, None] < x_entry) | ~x_probes[:, y_home[lo:lo + 128]].T
+        q, i = np.nonzero((d <= reach) & mine)
         for a in range(0, len(q), 65_536):
             qa, ia = q[a:a + 65_536] + lo, i[a:a + 65_536]
             close = np.einsum("ij,ij->i", y[qa], x[ia]) >= threshold
@@ -260,5 +261,13 @@ def _units(rows: pa.Table, dim: int, dtype: str) -> np.ndarray:
     return _unit(np.frombuffer(b"".join(rows.column("raw").to_pylist()), dtype).astype(float).reshape(-1, dim))
 
 
+def _marked(lists: pa.ChunkedArray, n: int) -> np.ndarray:
+    """By row and list, whether the row has the list."""
+    out = np.zeros((len(lists), n), bool)
+    for row, some in zip(out, lists.to_pylist()):
+        row[some] = True
+    return out
+
+
 def _longs(rows: pa.Table, name: str) -> np.ndarray:
     return rows.column(name).to_numpy()
