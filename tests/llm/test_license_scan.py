@@ -94,3 +94,15 @@ def test_query_on_whole_small_table(spark):
     got = sorted(map(tuple, op4_license_scan(spark, sf).collect()), key=repr)
     assert got == brute(files, all_declare=True)
     assert any(r[4] for r in got) and any(r[2] and not r[4] for r in got)
+
+
+def test_common_words_beside_a_notice_weigh_what_they_weigh(spark):
+    common = [f"filler{k}" for k in range(12)]
+    files = [(1, "a/f", " ".join(common) + " " + MIT), (2, "b/f", " ".join(f"unseen{k}" for k in range(12)) + " " + MIT)]
+    files += [(i, f"c{i}/f", " ".join(common)) for i in range(10, 3010)]
+    df = spark.createDataFrame(files, "doc_id long, path string, text string")
+    got = {r.doc_id: r for r in L.own_licenses(df).where("doc_id < 10").collect()}
+    idf = lambda n: math.log((1 + len(files)) / (1 + n)) + 1
+    known = len(terms(MIT)) * idf(2) ** 2
+    assert got[1].license == "MIT" and abs(got[1].score - math.sqrt(known / (known + 12 * idf(3001) ** 2))) < 1e-8
+    assert got[2].license is None and got[2].score == 0 and math.sqrt(known / (known + 12 * idf(1) ** 2)) < L.THRESHOLD

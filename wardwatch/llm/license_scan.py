@@ -2,9 +2,8 @@
 
 * Own licence. Every line and every paragraph of a whole text is compared with
   every template by the cosine of sparse TF-IDF vectors. A term's weight comes
-  from the number of lines that hold it, counted over all texts; a term that no
-  template has weighs as if one line held it. The best template at or above the
-  threshold is the file's own licence.
+  from the number of lines that hold it, counted over all texts for all terms.
+  The best template at or above the threshold is the file's own licence.
 * Declaration. A directory's licence is the one that most of its declaring files
   have (ties: first in name order). A file declares by its name (LICENSE,
   COPYING, NOTICE, ...); if asked, every file with a licence of its own does.
@@ -13,8 +12,11 @@
   declared ones on each of their ancestors, the deepest match wins, and the
   files are joined with their directory.
 
-Scale: two narrow passes over the texts; the first sends sums of the templates'
-terms (a bounded vocabulary), the second one row a file without its text. The
+Scale: two narrow passes over the texts; the first sends sums of terms, added up
+in each batch, of which the driver sees the templates' terms (a bounded
+vocabulary); the second sends one row a file without its text, with those lines
+and paragraphs that reach the threshold if other terms weigh the least that a
+term can. Distinct ones of these are joined with the sums of their terms. The
 joins move paths only; directories are made distinct before their ancestors are
 listed, so a directory with a third of all files costs one row there.
 """
@@ -22,6 +24,7 @@ listed, so a directory with a third of all files costs one row there.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,6 +53,11 @@ TEMPLATES = [
     ("CC0-1.0", "Dedicated to the public domain under CC0 1.0."),
 ]
 
+# a line or paragraph with terms that no template has: products with the templates, squared weight of their terms, the others
+_UNIT = "struct<dots: array<double>, known: double, others: array<struct<term: string, times: int>>>"
+_UNITS = pa.list_(pa.struct([("dots", pa.list_(pa.float64())), ("known", pa.float64()),
+                             ("others", pa.list_(pa.struct([("term", pa.string()), ("times", pa.int32())])))]))
+
 _terms = re.compile(r"[a-z0-9]+").findall
 _paragraph = re.compile(r"\n[ \t\r]*\n").split
 _lower = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -60,12 +68,11 @@ def _folded(text: str | None) -> str:
 
 
 class _Matcher:
-    """Weighted templates; scores of a text's lines and paragraphs."""
+    """Weighted templates; what a text's lines and paragraphs have in common with them."""
 
     def __init__(self, templates: list[tuple[str, str]], vocabulary: dict[str, int], lines_with: np.ndarray, lines: int):
         self.names, self.vocabulary = [n for n, _ in templates], vocabulary
         self.idf = np.log((1 + lines) / (1 + lines_with)) + 1
-        self.other = (np.log((1 + lines) / 2) + 1) ** 2
         rows = np.zeros((len(templates), len(vocabulary)))
         for k, (_, text) in enumerate(templates):
             for t in _terms(_folded(text)):
@@ -73,8 +80,11 @@ class _Matcher:
         rows *= self.idf
         self.rows = rows / np.maximum(np.sqrt((rows ** 2).sum(axis=1, keepdims=True)), 1e-300)
 
-    def best(self, unit: str, threshold: float) -> tuple[float, int]:
-        """(cosine, template) of the best template, the first of equals; (0, -1) below the threshold."""
+    def judge(self, unit: str, threshold: float) -> tuple[float, int, tuple | None]:
+        """(cosine, template, None) of the best template, the first of equals; (0, -1, None) below the threshold.
+
+        With terms that no template has, and a chance to reach the threshold: (0, -1, what their weights decide).
+        """
         tf: dict[int, int] = {}
         other: dict[str, int] = {}
         get = self.vocabulary.get
@@ -85,24 +95,30 @@ class _Matcher:
             else:
                 tf[k] = tf.get(k, 0) + 1
         if not tf:
-            return 0.0, -1
+            return 0.0, -1, None
         at = np.fromiter(tf, np.int64, len(tf))
         weight = np.fromiter(tf.values(), float, len(tf)) * self.idf[at]
         known = float(weight @ weight)
-        norm2 = known + self.other * sum(n * n for n in other.values())
-        if known < 0.999 * threshold * threshold * norm2:      # no template can reach the threshold
-            return 0.0, -1
-        cosine = np.round(self.rows[:, at] @ weight / np.sqrt(norm2), 9)
+        most = known + sum(n * n for n in other.values())      # a term weighs 1 at least, when all lines hold it
+        if known < 0.999 * threshold * threshold * most:       # no template can reach the threshold
+            return 0.0, -1, None
+        dots = self.rows[:, at] @ weight
+        cosine = np.round(dots / np.sqrt(most), 9)
         k = int(cosine.argmax())
-        return (float(cosine[k]), k) if cosine[k] >= threshold else (0.0, -1)
-
-    def scan(self, text: str | None, threshold: float) -> tuple[str | None, float]:
-        """(licence, cosine) of the best line or paragraph; of equals the first template."""
+        if cosine[k] < threshold:
+            return 0.0, -1, None
+        if not other:
+            return float(cosine[k]), k, None
+        return 0.0, -1, (tuple(dots.tolist()), known, tuple(sorted(other.items())))
+
+    def scan(self, text: str | None, threshold: float) -> tuple[float, int, list[tuple]]:
+        """(cosine, template) of the best line or paragraph without other terms, of equals the first template; those with other terms."""
         folded = _folded(text)
         lines = folded.split("\n")
         units = lines + _paragraph(folded) if len(lines) > 1 else lines
-        score, k = max((self.best(u, threshold) for u in units), key=lambda x: (x[0], -x[1]))
-        return (self.names[k] if k >= 0 else None), score
+        judged = [self.judge(u, threshold) for u in units]
+        score, k = max((x[:2] for x in judged), key=lambda x: (x[0], -x[1]))
+        return score, k, sorted({x[2] for x in judged if x[2] is not None})
 
 
 def own_licenses(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
@@ -111,33 +127,52 @@ def own_licenses(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
     for _, text in templates:
         for t in _terms(_folded(text)):
             vocabulary.setdefault(t, len(vocabulary))
-    n_terms = len(vocabulary)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, known = np.zeros(n_terms + 1, np.int64), vocabulary.keys()
         for batch in batches:
+            n: Counter = Counter()
             for text in batch.column(0):
-                for line in _folded(text.as_py()).split("\n"):
-                    n[-1] += 1
-                    for t in known & set(_terms(line)):
-                        n[vocabulary[t]] += 1
-        yield pa.record_batch([pa.array(np.arange(n_terms + 1)), pa.array(n)], names=["term", "n"])
+                lines = _folded(text.as_py()).split("\n")
+                n[""] += len(lines)
+                for line in lines:
+                    n.update(set(_terms(line)))
+            yield pa.record_batch([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], names=["term", "n"])
 
     text = F.col("text").cast("string").alias("text")
-    counts = np.zeros(n_terms + 1, np.int64)
-    for term, n in files.select(text).mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n")).collect():
-        counts[term] = n
-    matcher = _Matcher(templates, vocabulary, counts[:-1], int(counts[-1]))
+    lines_with = cut(files.select(text).mapInArrow(count, "term string, n long").groupBy("term").agg(F.sum("n").alias("n")))
+    counts, lines = np.zeros(len(vocabulary), np.int64), 0
+    for term, n in lines_with.where(F.col("term").isin("", *vocabulary)).collect():
+        if term:
+            counts[vocabulary[term]] = n
+        else:
+            lines = n
+    matcher = _Matcher(templates, vocabulary, counts, lines)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [matcher.scan(t.as_py(), threshold) for t in batch.column(2)]
-            names, scores = zip(*found) if found else ((), ())
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                                  names=["doc_id", "path", "license", "score"])
-
-    return (files.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("path").cast("string").alias("path"), text)
-            .mapInArrow(scan, "doc_id long, path string, license string, score double"))
+            scores, ks, units = zip(*found) if found else ((),) * 3
+            units = [[{"dots": d, "known": n, "others": [{"term": t, "times": m} for t, m in o]} for d, n, o in some] for some in units]
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(ks, pa.int32()), pa.array(scores, pa.float64()),
+                                   pa.array(units, _UNITS)], names=["doc_id", "path", "k", "score", "units"])
+
+    scanned = cut(files.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("path").cast("string").alias("path"), text)
+                  .mapInArrow(scan, f"doc_id long, path string, k int, score double, units array<{_UNIT}>")
+                  .withColumn("row", F.monotonically_increasing_id()))
+    unit = F.explode("units").alias("unit")
+    idf = F.log((1 + F.lit(lines)) / (1 + F.col("n"))) + 1
+    weighed = (scanned.select(unit).distinct().select("unit", F.explode("unit.others").alias("other"))
+               .select("unit", F.col("other.term").alias("term"), F.col("other.times").alias("times")).join(lines_with, "term")
+               .groupBy("unit").agg(F.sum(F.pow(F.col("times") * idf, F.lit(2.0))).alias("others")))
+    cosines = F.transform("unit.dots", lambda d: F.round(d / F.sqrt(F.col("unit.known") + F.col("others")), 9))
+    judged = (weighed.select("unit", cosines.alias("cosines")).select("unit", "cosines", F.array_max("cosines").alias("score"))
+              .where(F.col("score") >= threshold)
+              .select("unit", F.struct("score", (1 - F.array_position("cosines", F.col("score"))).cast("int").alias("k")).alias("best")))
+    best = scanned.select("row", unit).join(judged, "unit").groupBy("row").agg(F.max("best").alias("best"))
+    own = F.struct("score", (-F.col("k")).alias("k"))
+    names = F.array(*(F.lit(n) for n in matcher.names))
+    return (scanned.join(best, "row", "left").withColumn("own", F.greatest(own, "best"))
+            .select("doc_id", "path", F.when(F.col("own.score") > 0, F.get(names, -F.col("own.k"))).alias("license"), "own.score"))
 
 
 def _directory(path: Column) -> Column:
