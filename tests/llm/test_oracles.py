@@ -20,4 +20,4 @@ def test_key(spark, con, key):
 
 
 def test_keys():
-    assert set(ORACLES) <= set(QUERIES) and len(QUERIES) == 10
+    assert set(ORACLES) <= set(QUERIES) and len(QUERIES) == 13

@@ -12,13 +12,16 @@ from .common import table
 from . import embedding_dedup
 from .decontaminate import contaminations
 from .license_scan import TEMPLATES, scan_licenses
+from .periodic_runs import WORD, greatest_run, periodic_runs
 from .quality import score_documents
 from .secret_scan import secret_report
 from .sentencepiece_codec import encode_and_decode
+from .shuffle_shards import read_shards as read_shuffled, write_shards as write_shuffled
 from .simhash import near_duplicates
 from .substring_dedup import dedup_substrings
 from .token_shards import document_index, read_shards, write_shards
 from .url_filter import judge_urls
+from .whitening import whiten
 
 # fixed values of the url rules: host, path, verdict
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"),
@@ -81,6 +84,46 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def with_periodic_tails(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): one text in ten, by h = crc32 of the id, has its words from a on replaced by repetitions of p words.
+
+    g = h div 10, a = g mod n, p = 1 + (n - a) div (3 + g mod 8) of its n words; a NULL id has no h, and nothing is replaced.
+    """
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(f"({WORD})"), 1))
+    rows = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), words.alias("words"))
+    n = F.size("words")
+    a = F.pmod("g", n).cast("int")
+    p = F.floor((n - F.col("a")) / (F.pmod("g", F.lit(8)) + 3)).cast("int") + 1
+    rows = rows.withColumn("a", F.when(n > 0, a)).withColumn("p", F.when(n > 0, p))
+    times = F.ceil((n - F.col("a")) / F.col("p")).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), times)), F.lit(1), n - F.col("a"))
+    made = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), tail), " ")
+    return rows.select("doc_id", F.when(n > 0, made).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(with_periodic_tails(table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"),
+                                                               r["period"].cast("string")), F.lit("\n")))
+    best = greatest_run(F.col("runs"))
+    found = found.select("doc_id", "kept", F.size("runs").cast("long").alias("n_runs"), F.array_join(lines, "").alias("lines"), best.alias("best"))
+    return found.select("doc_id", "n_runs", "best.start", "best.length", "best.period",
+                        F.expr("1000 * best.length DIV best.period").alias("exponent_milli"),
+                        F.sha2(F.col("lines").cast("binary"), 256).alias("runs_sha256"),
+                        F.sha2(F.col("kept").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, path = table(spark, sf_dir, "documents"), new_work_dir(spark, "shuffled-shards")
+    write_shuffled(docs, path, shards=16)
+    return read_shuffled(spark, path, docs).select("doc.doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_secret_scan": op2_secret_scan,
@@ -92,8 +135,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_url_filter": op10_url_filter,
+    "op11_whitening": op11_whitening,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_sharding": op13_sharding,
 }
 
+
 def _spans_sql(kind: str, order: int, pattern: str, group: int, least: int) -> str:
     """The spans of one kind: lengths of the text between matches and of the matches add up to positions."""
     p = pattern.replace("'", "''")
