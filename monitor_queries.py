@@ -18,7 +18,7 @@ from wardwatch.operators import enrich, marts, monitoring, quality, staging, ups
 from wardwatch.schemas import MESSAGE_COLUMNS, RAW_COLUMNS
 from wardwatch.session import new_work_dir
 import monitor_fixtures as fixtures
-from wardwatch.sources import messages, sinks
+from wardwatch.sources import messages, sinks, tables
 from wardwatch.sources.tables import read_table
 from wardwatch.streaming import jobs
 from wardwatch.streaming.landing import land, read_landing
@@ -40,6 +40,8 @@ REDELIVER_MODULUS = 7
 LATE_ORDER = [0, 2, 3, 1]
 # late readings (``stream_late``): loaded more than this many seconds after they were taken
 LATE_SECONDS = 30
+# the days of staging that ``layer_tables`` reads back
+LAYER_SINCE = "2024-01-20 00:00:00"
 # one load stamp for a whole batch (``ingest_stamp``)
 BATCH_STAMP = "2024-02-01 00:00:00"
 
@@ -220,6 +222,30 @@ def q_ingest_counts(spark, sf_dir):
     return messages.counts(decoded(spark, sf_dir))
 
 
+@register("ingest_utf8_counts")
+def q_ingest_utf8_counts(spark, sf_dir):
+    return messages.utf8_counts(fixtures.binary_envelopes(raw(spark, sf_dir)))
+
+
+@register("layer_tables")
+def q_layer_tables(spark, sf_dir):
+    """Two loads into catalog tables, the second run twice; staging and mart published; the last days of staging read by name."""
+    work = new_work_dir(spark, "layers")
+    layers = tuple(f"{name}_{work.rsplit('-', 1)[1]}" for name in tables.LAYERS)
+    tables.create_layers(spark, work, layers)
+    records, split = fixtures.envelopes(raw(spark, sf_dir), faults=True), ntz_literal(UPSERT_SPLIT)
+    early = F.col("timestamp") <= split
+    for load_id, some in (("early", early), ("late", ~early), ("late", ~early)):
+        tables.load_tables(messages.decode(records.where(some), stamp=F.col("timestamp")), load_id, layers)
+    stg = staging.stage(tables.read_raw_table(spark, layers), carry=("kafka_offset",))
+    tables.publish_tables(stg, marts.health_summary(stg, marts.max_reading_time(stg)), layers)
+    published = spark.table(f"{layers[1]}.{tables.STAGING_TABLE}")
+    recent = marts.in_time_range(published, ntz_literal(LAYER_SINCE), None)
+    mart = spark.table(f"{layers[2]}.{tables.MART_TABLE}").select("patient_id", "patient_risk_level", "last_reading_at")
+    return (recent.select("patient_id", "ward", "reading_timestamp", "has_alert", "kafka_offset")
+            .join(mart, "patient_id"))
+
+
 @register("enrich_registry")
 def q_enrich(spark, sf_dir):
     events = read_table(spark, sf_dir, "events")
@@ -254,6 +280,19 @@ def q_stream_ingest(spark, sf_dir):
     return jobs.read_raw(spark, f"{work}/raw").select(*RAW_COLUMNS)
 
 
+@register("ingest_file_position")
+def q_ingest_file_position(spark, sf_dir):
+    """Messages as files, a folder for each sender; every row knows its file. The folder of the file stands for it here."""
+    from wardwatch.streaming.landing import read_message_files, start_file_load
+    work = new_work_dir(spark, "message-files")
+    sent = fixtures.envelopes(raw(spark, sf_dir), faults=True)
+    sent.select("value", F.concat(F.lit("sender-"), "partition").alias("sender")).write.partitionBy("sender").text(f"{work}/landing")
+    files = read_message_files(spark, f"{work}/landing/*", f"{work}/archive")
+    jobs.run_to_end(start_file_load(files, f"{work}/raw", f"{work}/checkpoint", stamp=ntz_literal(BATCH_STAMP)))
+    folder = F.regexp_extract("source_file", "sender=([^/]+)/[^/]+$", 1).alias("sender")
+    return jobs.read_batches(spark, f"{work}/raw").select("patient_id", "reading_timestamp", "heart_rate_bpm", folder, "source_block")
+
+
 @register("stream_staging")
 def q_stream_staging(spark, sf_dir):
     work, src = _landed(spark, sf_dir, "stream-staging")
@@ -303,6 +342,88 @@ def q_stream_dedup(spark, sf_dir):
     return jobs.read_batches(spark, f"{work}/dedup").drop("kafka_partition", "reading_day")
 
 
+# lost records (``stream_offset_gaps``): this stretch of every so many offsets of a partition, and a block's worth once
+LOST_MODULUS, LOST_FROM, LOST_TO = 300, 40, 46
+
+
+@register("stream_offset_gaps")
+def q_stream_offset_gaps(spark, sf_dir):
+    """Records with dense offsets in three partitions, of which some are lost, some sent twice, some late."""
+    work = new_work_dir(spark, "stream-offsets")
+    event = F.col("event_id")
+    recs = read_table(spark, sf_dir, "events").select(
+        F.lit(None).cast("string").alias("key"), F.lit("{}").alias("value"), (event % 3).cast("int").alias("partition"),
+        F.floor(event / 3).alias("offset"), F.col("ts").alias("timestamp"))
+    here = recs.where(~(F.col("offset") % LOST_MODULUS).between(LOST_FROM, LOST_TO))
+    _, files = land(here, f"{work}/landing", STREAM_CHUNKS, order=LATE_ORDER, redeliver=here.where(F.col("offset") % REDELIVER_MODULUS == 0))
+    jobs.run_to_end(jobs.start_offset_log(read_landing(spark, f"{work}/landing", files), f"{work}/received", f"{work}/checkpoint",
+                                          compact_every=2))
+    return jobs.offset_gaps(spark, f"{work}/received")
+
+
+# the registry of ``stream_enrich``: users that are registered from the start, and between two runs; others never are
+REGISTERED_LATER, NEVER_REGISTERED = 3, 7
+
+
+def _stream_enrich(spark, sf_dir) -> str:
+    from wardwatch.streaming.enrichment import current_registry, start_enrich
+    work = new_work_dir(spark, "stream-enrich")
+    events = read_table(spark, sf_dir, "events")
+    user = F.col("user_id")
+    later = user % REGISTERED_LATER == 0
+    readings, split = fixtures.monitor_readings(events), ntz_literal(UPSERT_SPLIT)
+    now = F.col("reading_timestamp") <= split
+    for some, known in ((now, ~later), (~now, later & (user % NEVER_REGISTERED != 0))):
+        fixtures.registry(events.where(known)).write.mode("append").parquet(f"{work}/registry")
+        readings.where(some).write.mode("append").parquet(f"{work}/readings")
+        src = spark.readStream.schema(readings.schema).parquet(f"{work}/readings")
+        jobs.run_to_end(start_enrich(src, lambda s: current_registry(s, f"{work}/registry"), f"{work}/messages", f"{work}/checkpoint"))
+    return f"{work}/messages"
+
+
+@register("stream_progress")
+def q_stream_progress(spark, sf_dir):
+    """Load counts and failing rows of the staging checks, observed by the batches that wrote the rows, over all batches."""
+    from wardwatch.streaming import progress
+    work, src = _landed(spark, sf_dir, "stream-progress")
+    log = progress.ProgressLog(spark, f"{work}/progress", work)
+    spark.streams.addListener(log)
+    try:
+        query = progress.start_observed_staging(src, f"{work}/stg", f"{work}/checkpoint", work, stamp=F.col(SOURCE_STAMP))
+        jobs.run_to_end(query)
+        log.wait_for(query)
+    finally:
+        spark.streams.removeListener(log)
+    return progress.totals(progress.read_progress(spark, f"{work}/progress"))
+
+
+@register("stream_enrich")
+def q_stream_enrich(spark, sf_dir):
+    """Half of the readings come before a third of the patients is registered; those are matched by the next batch."""
+    from wardwatch.streaming.enrichment import read_enriched
+    return read_enriched(spark, _stream_enrich(spark, sf_dir))
+
+
+@register("stream_enrich_waiting")
+def q_stream_enrich_waiting(spark, sf_dir):
+    """The other side of ``stream_enrich``: readings of patients that nobody has registered."""
+    from wardwatch.streaming.enrichment import read_waiting
+    return read_waiting(spark, _stream_enrich(spark, sf_dir))
+
+
+@register("stream_silent_timers")
+def q_stream_silent_timers(spark, sf_dir):
+    """Alerts raised by timers, the clock standing at the newest reading when the stream starts."""
+    from wardwatch.streaming import timers
+    beside = timers.timer_session(spark, drain=True)
+    work, _ = _landed(spark, sf_dir, "stream-silent-timers", order=LATE_ORDER)
+    as_of = marts.max_reading_time(jobs.loaded_stream(fixtures.envelopes(raw(spark, sf_dir), faults=True)))
+    src = read_landing(beside, f"{work}/landing")
+    jobs.run_to_end(timers.start_silence(src, f"{work}/events", f"{work}/checkpoint", SILENT_MINUTES * 60, as_of,
+                                         stamp=F.col(SOURCE_STAMP), available_now=True))
+    return timers.silent_now(spark.read.parquet(f"{work}/events"), as_of, SILENT_MINUTES)
+
+
 @register("stream_silent_monitors")
 def q_stream_silent(spark, sf_dir):
     from wardwatch.streaming.silent import start_silent

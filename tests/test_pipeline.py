@@ -50,8 +50,8 @@ def test_create_layers_twice(spark, workdir):
     create_layers(spark, workdir)
     create_layers(spark, workdir)
     cols = spark.table("vitals_raw.raw_patient_vitals").columns
-    assert cols[0] == "patient_id" and cols[-1] == "kafka_offset"
-    raw_rows(spark, [{}]).write.insertInto("vitals_raw.raw_patient_vitals")
+    assert cols[0] == "patient_id" and cols[-3:] == ["kafka_offset", "load_id", "reading_day"]
+    raw_rows(spark, [{}]).selectExpr("*", "'one'", "to_date(reading_timestamp)").write.insertInto("vitals_raw.raw_patient_vitals")
     assert spark.table("vitals_raw.raw_patient_vitals").where(F.col("patient_id") == "PAT-0001").count() == 1
 
 
@@ -98,20 +98,29 @@ def test_published_mart_follows_the_schema(spark, workdir):
 def test_load_and_publish_the_layers(spark, workdir):
     from wardwatch.operators import marts, staging
     from wardwatch.sources import messages
-    from wardwatch.sources.tables import load_tables, publish_tables
+    from wardwatch.sources.tables import load_tables, publish_tables, read_raw_table
     layers = ("t_raw", "t_staging", "t_marts")
     create_layers(spark, workdir, layers)
-    records = messages.encode(raw_rows(spark, [{"patient_id": "PAT-0001"}, {"patient_id": None}])).select(
-        "value", F.lit(0).alias("partition"), F.lit(1).alias("offset"))
-    for _ in range(2):
-        load_tables(messages.decode(records, stamp=F.lit(T0)), layers)
-    raw = spark.table("t_raw.raw_patient_vitals")
-    assert raw.count() == 2 and {r["reason"] for r in spark.table("t_raw.raw_patient_vitals_quarantine").collect()} == {"null_patient_id"}
+
+    def load(load_id, *days):
+        rows = raw_rows(spark, [{"patient_id": "PAT-0001", "reading_timestamp": T0 - dt.timedelta(days=d)} for d in days] + [{"patient_id": None}])
+        records = messages.encode(rows).select("value", F.lit(0).alias("partition"), F.lit(1).alias("offset"))
+        load_tables(messages.decode(records, stamp=F.lit(T0)), load_id, layers)
+
+    for load_id, *days in (("one", 0, 1), ("two", 1, 3), ("two", 1, 3), ("one", 0, 1)):      # both are run twice
+        load(load_id, *days)
+    raw = read_raw_table(spark, layers)
+    assert raw.count() == 4 and spark.table("t_raw.raw_patient_vitals_quarantine").count() == 2
     staged = staging.stage(raw, carry=("kafka_offset",))
     for _ in range(2):
         publish_tables(staging.stage(raw), marts.health_summary(staged, T0), layers)
-    assert spark.table("t_staging.stg_patient_vitals").count() == 2
+    published = spark.table("t_staging.stg_patient_vitals")
+    assert published.count() == 4
     assert spark.table("t_marts.mart_patient_health_summary").first()["patient_id"] == "PAT-0001"
+    for rows in (marts.in_time_range(published, F.lit(T0 - dt.timedelta(hours=30)), None), marts.lookback(staging.stage(raw), T0, hours=30)):
+        assert rows.count() == 3
+        filters = rows._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+        assert "reading_day" in filters and ">= 2024-01-29" in filters
 
 
 def test_keyed_sink_keeps_readings_without_a_key(spark, workdir):

@@ -72,7 +72,8 @@ def test_stream_latest_keeps_newer_row(spark, workdir):
     jobs.run_to_end(jobs.start_latest(src, f"{workdir}/mart", f"{workdir}/chk", stamp=F.col("timestamp"), compact_every=None))
     table = jobs.latest_table(spark, f"{workdir}/mart")
     assert [r["heart_rate_bpm"] for r in table.read().collect()] == [90]
-    assert table.compact() == 1 and table.snapshot.read().count() == 1
+    source = spark.read.parquet(f"{workdir}/mart/batches").first()["source"]
+    assert table.compact(source, 1) == 1 and table.snapshot.read().count() == 1
     assert [r["heart_rate_bpm"] for r in table.read().collect()] == [90]
 
 

@@ -183,13 +183,23 @@ def ward_hourly(staged: DataFrame) -> DataFrame:
     return agg.select("ward", "reading_hour", *ward_hour_figures("_patients"))
 
 
-# a micro-batch's share of the rollup: sums per (ward, hour, patient)
-_PARTIAL_KEYS = ("ward", "reading_hour", "patient_id")
+# a micro-batch's share of the rollup: sums per (ward, hour, patient bucket), and the bucket's patients as a bitmap
+_PARTIAL_KEYS = ("ward", "reading_hour", "_bucket", "_other_id")
+# ids of the usual form stand for their number, one id a number; any other id has a row of its own
+_NUMBERED_ID = r"^PAT-([0-9]{4}|[1-9][0-9]{4,17})$"
 
 
 def ward_partials(staged: DataFrame) -> DataFrame:
-    """The rollup's sums per ward, hour and patient."""
-    return staged.groupBy(*_PARTIAL_KEYS).agg(*ward_hour_partials())
+    """The rollup's sums per ward, hour and bucket of 32,768 patients, with the exact set of those patients.
+
+    The number of rows does not grow with the number of patients but by their
+    buckets. Patients whose id is not of the usual form are kept by their id.
+    """
+    number = F.when(F.rlike("patient_id", F.lit(_NUMBERED_ID)), F.substring("patient_id", 5, 18).try_cast("long"))
+    coded = staged.withColumn("_number", number)
+    return coded.groupBy("ward", "reading_hour", F.bitmap_bucket_number("_number").alias("_bucket"),
+                         F.when(F.col("_number").isNull(), F.col("patient_id")).alias("_other_id")).agg(
+        *ward_hour_partials(), F.bitmap_construct_agg(F.bitmap_bit_position("_number")).alias("_patients"))
 
 
 def _added_up() -> list[Column]:
@@ -201,13 +211,14 @@ def _added_up() -> list[Column]:
 
 
 def merge_ward_partials(partials: DataFrame) -> DataFrame:
-    """Sums of several batches added up, one row per ward, hour and patient."""
-    return partials.groupBy(*_PARTIAL_KEYS).agg(*_added_up())
+    """Sums of several batches added up and their patient sets united, one row per ward, hour and bucket."""
+    return partials.groupBy(*_PARTIAL_KEYS).agg(*_added_up(), F.bitmap_or_agg("_patients").alias("_patients"))
 
 
 def ward_hourly_of(partials: DataFrame) -> DataFrame:
     """The ward-hour figures (as :func:`ward_hourly`) of merged sums."""
-    agg = partials.groupBy("ward", "reading_hour").agg(*_added_up(), F.count(F.lit(1)).alias("_patients"))
+    there = F.when(F.col("_other_id").isNotNull(), 1).otherwise(F.bitmap_count("_patients"))
+    agg = partials.groupBy("ward", "reading_hour").agg(*_added_up(), F.sum(there).alias("_patients"))
     return agg.select("ward", "reading_hour", *ward_hour_figures("_patients"))
 
 

@@ -9,14 +9,16 @@ costs no more than any other.
 ``VersionedTable`` publishes immutable snapshots: a version is a new folder
 that nothing ever writes to again, visible once its commit is recorded.
 ``MergedTable`` is a snapshot plus the small batches written since; a
-micro-batch adds only its own rows, and a reader merges.
+micro-batch adds only its own rows, and a reader merges the finished ones.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import re
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -87,7 +89,7 @@ class VersionedTable:
     def _commits(self) -> DataFrame | None:
         return read_if_there(self.spark, f"{self.base}/commits", COMMIT_SCHEMA)
 
-    def _commit(self, version: int | None = None):
+    def commit(self, version: int | None = None):
         """The commit of ``version``, or the newest; one bounded row."""
         commits = self._commits()
         if commits is None:
@@ -98,36 +100,44 @@ class VersionedTable:
 
     def latest(self) -> int | None:
         """The newest committed version."""
-        commit = self._commit()
+        commit = self.commit()
         return None if commit is None else commit["version"]
 
     def through(self) -> dict[str, int]:
         """The newest batch of each source that the newest version contains."""
-        commit = self._commit()
+        commit = self.commit()
         return {} if commit is None else dict(commit["through"] or {})
 
     def read(self, version: int | None = None) -> DataFrame:
-        commit = self._commit(version)
+        commit = self.commit(version)
         if commit is None:
             raise FileNotFoundError(f"no committed version {version or ''} below {self.base}")
         return self.spark.read.parquet(f"{self.base}/data/{commit['folder']}")
 
     def publish(self, df: DataFrame, through: dict[str, int] | None = None,
-                audit: Callable[[DataFrame], object] | None = None) -> int:
+                audit: Callable[[DataFrame], object] | None = None, after: int | None = None) -> int | None:
         """Write ``df`` as the next version and commit it.
 
         ``audit`` runs on the written, not yet committed rows and may raise to
         stop the publish: readers keep seeing the versions that they saw.
+        ``after``: the version that ``df`` was made from; if it is no longer the
+        newest, nothing is committed and None returned.
         """
-        version = (self.latest() or 0) + 1
+        version = (self.latest() or 0 if after is None else after) + 1
         folder = f"v={version:012d}-{uuid.uuid4().hex[:12]}"
         df.write.parquet(f"{self.base}/data/{folder}")
         if audit is not None:
             audit(self.spark.read.parquet(f"{self.base}/data/{folder}"))
         now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        # fails if another writer has committed this version meanwhile
-        (self.spark.createDataFrame([(version, folder, through or {}, now)], COMMIT_SCHEMA).coalesce(1)
-         .write.mode("error").parquet(f"{self.base}/commits/v={version:012d}"))
+        if after is not None and (self.latest() or 0) != after:
+            return None
+        try:        # fails if another writer has committed this version meanwhile
+            (self.spark.createDataFrame([(version, folder, through or {}, now)], COMMIT_SCHEMA).coalesce(1)
+             .write.mode("error").parquet(f"{self.base}/commits/v={version:012d}"))
+        except AnalysisException as e:
+            if after is None or e.getCondition() != "PATH_ALREADY_EXISTS":
+                raise
+            return None
         return version
 
     def upsert(self, updates: DataFrame, batch: int | None = None, source: str = "", key="patient_id",
@@ -138,7 +148,7 @@ class VersionedTable:
         ``batch`` numbers the updates of one ``source``, ascending: one that the
         table already contains is a replay and changes nothing.
         """
-        commit = self._commit()
+        commit = self.commit()
         through = {} if commit is None else dict(commit["through"] or {})
         if batch is not None and batch <= through.get(source, -1):
             return commit["version"]
@@ -154,7 +164,10 @@ class MergedTable:
     ``merge`` maps rows to rows of the same columns and may be applied again to
     its own output (newest row per key; sums per group). A batch is a folder
     named by its stream and number, so a replay replaces its own rows, and a
-    stream on a new checkpoint (another source) adds to what is there.
+    stream on a new checkpoint (another source) adds to what is there. Only
+    finished batches are read, and a snapshot holds exactly the batches that its
+    commit names: a stream folds in its own batches up to the one that it has
+    just written, never another stream's.
     """
 
     def __init__(self, spark: SparkSession, base: str, merge: Callable[[DataFrame], DataFrame],
@@ -164,46 +177,58 @@ class MergedTable:
         self.snapshot = VersionedTable(spark, f"{self.base}/snapshot")
 
     def add(self, rows: DataFrame, source: str, batch: int) -> None:
-        """Write one batch (already merged within itself); fold batches in now and then."""
-        rows.write.mode("overwrite").parquet(f"{self.base}/batches/source={source}/batch_id={batch}")
+        """Write one batch (already merged within itself); fold this stream's batches in now and then."""
+        rows.write.mode("overwrite").parquet(self._folder(source, batch))
         if self.compact_every and batch % self.compact_every == self.compact_every - 1:
-            self.compact()
+            self.compact(source, batch)
+
+    def _folder(self, source: str, batch: int) -> str:
+        return f"{self.base}/batches/source={source}/batch_id={batch}"
+
+    def _finished(self) -> list[tuple[str, int]]:
+        """(source, batch) of every batch folder whose write job has committed; the driver lists folder names only."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.base}/batches/source=*/batch_id=*/_SUCCESS")
+        found = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(path) or []
+        parts = [re.search(r"/source=([^/]*)/batch_id=(\d+)/_SUCCESS$", str(f.getPath())) for f in found]
+        return sorted((m[1], int(m[2])) for m in parts if m)
+
+    def _rows(self, batches: list[tuple[str, int]]) -> list[DataFrame]:
+        if not batches:
+            return []
+        paths = [self._folder(*b) for b in batches]
+        return [self.spark.read.option("basePath", f"{self.base}/batches").parquet(*paths).drop("source", "batch_id")]
+
+    def _parts(self, commit, wanted: Callable[[str, int], bool] = lambda source, batch: True) -> list[DataFrame]:
+        """The snapshot of ``commit`` and the finished batches beyond it that are wanted."""
+        through = {} if commit is None else dict(commit["through"] or {})
+        base = [] if commit is None else [self.snapshot.read(commit["version"])]
+        return base + self._rows([b for b in self._finished() if b[1] > through.get(b[0], -1) and wanted(*b)])
 
-    def _open(self) -> DataFrame | None:
-        """Rows of batches that the snapshot does not contain."""
-        rows = read_if_there(self.spark, f"{self.base}/batches")
-        if rows is None:
-            return None
-        for source, batch in self.snapshot.through().items():
-            rows = rows.where((F.col("source") != source) | (F.col("batch_id") > batch))
-        return rows
+    def _merged(self, parts: list[DataFrame]) -> DataFrame:
+        return self.merge(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts))
 
     def read(self) -> DataFrame:
-        rows, version = self._open(), self.snapshot.latest()
-        if rows is None and version is None:
+        parts = self._parts(self.snapshot.commit())
+        if not parts:
             raise FileNotFoundError(f"nothing written below {self.base}")
-        rows = None if rows is None else rows.drop("source", "batch_id")
-        if version is None:
-            return self.merge(rows)
-        base = self.snapshot.read(version)
-        return base if rows is None else self.merge(base.unionByName(rows, allowMissingColumns=True))
+        return self._merged(parts)
 
     def read_before(self, source: str, batch: int) -> DataFrame | None:
-        """The merged rows without this batch and later ones of its source (a replay has written some); None if there are none."""
-        rows, version = self._open(), self.snapshot.latest()
-        parts = [] if version is None else [self.snapshot.read(version)]
-        if rows is not None:
-            earlier = rows.where((F.col("source") != source) | (F.col("batch_id") < batch)).drop("source", "batch_id")
-            if not earlier.isEmpty():
-                parts.append(earlier)
-        return self.merge(parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])) if parts else None
-
-    def compact(self) -> int | None:
-        """Publish a snapshot of everything written so far."""
-        rows = self._open()
-        if rows is None:
-            return None
-        through = self.snapshot.through()
-        for r in rows.groupBy("source").agg(F.max("batch_id").alias("b")).collect():    # a row for each stream
-            through[r["source"]] = max(r["b"], through.get(r["source"], -1))
-        return self.snapshot.publish(self.read(), through)
+        """The merged rows without this batch and later ones of its source (a replay has written some); None if there are none.
+
+        A snapshot that holds the batch already (it was folded in, then replayed) is passed over for the last one before it.
+        """
+        commit = self.snapshot.commit()
+        while commit is not None and (commit["through"] or {}).get(source, -1) >= batch:
+            commit = self.snapshot.commit(commit["version"] - 1) if commit["version"] > 1 else None
+        parts = self._parts(commit, lambda s, b: s != source or b < batch)
+        return self._merged(parts) if parts else None
+
+    def compact(self, source: str, batch: int) -> int | None:
+        """Publish a snapshot with this stream's batches up to ``batch`` folded in; None if another stream published meanwhile."""
+        commit = self.snapshot.commit()
+        through = {} if commit is None else dict(commit["through"] or {})
+        if through.get(source, -1) >= batch:
+            return commit["version"]
+        rows = self._merged(self._parts(commit, lambda s, b: s == source and b <= batch))
+        return self.snapshot.publish(rows, through | {source: batch}, after=0 if commit is None else commit["version"])

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from wardwatch.config import MAX_LENGTHS
 from wardwatch.functions.cache import per_context
+from wardwatch.functions.rounding import half_up_div
 from wardwatch.schemas import MESSAGE_COLUMNS, MESSAGE_FIELDS, MESSAGE_TEXT_ARRAY, MESSAGE_TEXT_SCHEMA, RAW_COLUMNS
 
 # reading times travel as ISO text with microseconds, no zone
@@ -42,7 +43,7 @@ def _text(value: Column) -> Column:
 
 
 def decode(envelopes: DataFrame, stamp: Column | None = None, value: str = "value",
-           partition: str = "partition", offset: str = "offset") -> DataFrame:
+           partition: str = "partition", offset: str = "offset", carry: tuple[str, ...] = ()) -> DataFrame:
     """Topic records -> one row per message element with typed fields and a reason.
 
     Output: the 16 message fields (typed), ``ingested_at``, ``kafka_partition``,
@@ -50,7 +51,7 @@ def decode(envelopes: DataFrame, stamp: Column | None = None, value: str = "valu
     record loads), ``_first`` (first element of its record, for counting).
     Every record received has at least one row.
     ``stamp`` is the load time; default: the session clock, one value per
-    query / micro-batch.
+    query / micro-batch. ``carry`` columns of the records go along unchanged.
     """
     stamp = F.localtimestamp() if stamp is None else stamp
     vtype = envelopes.schema[value].dataType
@@ -59,19 +60,19 @@ def decode(envelopes: DataFrame, stamp: Column | None = None, value: str = "valu
         text.alias("_raw"),
         F.col(partition).cast("int").alias("kafka_partition"),
         F.col(offset).cast("long").alias("kafka_offset"),
-        stamp.cast("timestamp_ntz").alias("ingested_at"),
+        stamp.cast("timestamp_ntz").alias("ingested_at"), *carry,
     )
     exploded = parsed.select(
-        "_raw", "kafka_partition", "kafka_offset", "ingested_at",
+        "_raw", "kafka_partition", "kafka_offset", "ingested_at", *carry,
         F.posexplode(_elements()).alias("_pos", "_e"),
-    ).select("_raw", "kafka_partition", "kafka_offset", "ingested_at", "_pos",
+    ).select("_raw", "kafka_partition", "kafka_offset", "ingested_at", *carry, "_pos",
              F.col("_e.why").alias("_why"), F.col("_e.m").alias("_m"))
     # each field is cast once, here; the reason compares text and value in the next projection
     casts = exploded.withColumns({f"_t_{n}": _typed(F.col("_m").getField(n), t) for n, t in MESSAGE_FIELDS
                                   if not isinstance(t, T.StringType)})
     typed = [(F.col("_m").getField(n) if isinstance(t, T.StringType) else F.col(f"_t_{n}")).alias(n)
              for n, t in MESSAGE_FIELDS]
-    return casts.select(*typed, "ingested_at", "kafka_partition", "kafka_offset", "_raw", _reason(),
+    return casts.select(*typed, "ingested_at", "kafka_partition", "kafka_offset", *carry, "_raw", _reason(),
                         (F.col("_pos") == 0).alias("_first"))
 
 
@@ -127,23 +128,46 @@ def _reason() -> Column:
     return reason.alias("_reason")
 
 
-def loaded(decoded: DataFrame) -> DataFrame:
-    """Records that load: the raw table's 19 columns."""
-    return decoded.where(F.col("_reason").isNull()).select(*RAW_COLUMNS)
+def loaded(decoded: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Records that load: the raw table's 19 columns (+ ``carry``)."""
+    return decoded.where(F.col("_reason").isNull()).select(*RAW_COLUMNS, *carry)
 
 
-def quarantined(decoded: DataFrame) -> DataFrame:
-    """Records set aside: text, reason and source position."""
+def quarantined(decoded: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Records set aside: text, reason and source position (+ ``carry``)."""
     return decoded.where(F.col("_reason").isNotNull()).select(
         F.col("_raw").alias("raw"), F.col("_reason").alias("reason"),
-        "ingested_at", "kafka_partition", "kafka_offset")
+        "ingested_at", "kafka_partition", "kafka_offset", *carry)
+
+
+def count_columns() -> list[Column]:
+    """Load progress: records received, decoded, loaded, set aside."""
+    return [F.count_if("_first").cast("long").alias("messages_received"),
+            F.count(F.lit(1)).cast("long").alias("records_decoded"),
+            F.count_if(F.col("_reason").isNull()).cast("long").alias("rows_loaded"),
+            F.count_if(F.col("_reason").isNotNull()).cast("long").alias("rows_quarantined")]
 
 
 def counts(decoded: DataFrame) -> DataFrame:
-    """Load progress in one pass: records received, decoded, loaded, set aside."""
-    return decoded.agg(
-        F.count_if("_first").cast("long").alias("messages_received"),
-        F.count(F.lit(1)).cast("long").alias("records_decoded"),
-        F.count_if(F.col("_reason").isNull()).cast("long").alias("rows_loaded"),
-        F.count_if(F.col("_reason").isNotNull()).cast("long").alias("rows_quarantined"),
-    )
+    """Load progress in one pass, see :func:`count_columns`."""
+    return decoded.agg(*count_columns())
+
+
+class EncodingError(RuntimeError):
+    """Raised when more of a batch's records than allowed are not valid UTF-8."""
+
+
+def utf8_counts(envelopes: DataFrame, value: str = "value", partition: str = "partition") -> DataFrame:
+    """(kafka_partition, records, repaired, repaired_pct): records whose bytes are not valid UTF-8 and get repaired, by source partition."""
+    bad = F.coalesce(~F.is_valid_utf8(F.col(value).cast("string")), F.lit(False))
+    found = envelopes.groupBy(F.col(partition).cast("int").alias("kafka_partition")).agg(
+        F.count(F.lit(1)).alias("records"), F.count_if(bad).alias("repaired"))
+    return found.withColumn("repaired_pct", half_up_div(F.col("repaired") * 10000, F.col("records")).cast("double") / 100)
+
+
+def enforce_utf8(counted: DataFrame, most_pct: float) -> None:
+    """The encoding gate: raises :class:`EncodingError` if a partition's share of repaired records is above ``most_pct``."""
+    rows = counted.where(F.col("repaired") * 100 > F.col("records") * most_pct).collect()      # a row a partition
+    if rows:
+        raise EncodingError("records that are not valid UTF-8: " + ", ".join(
+            f"{r['repaired']} of {r['records']} in partition {r['kafka_partition']}" for r in rows))

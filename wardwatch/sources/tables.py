@@ -35,12 +35,17 @@ def _ddl(schema) -> str:
 
 # one database per layer: raw input, staging, marts
 LAYERS = ("vitals_raw", "vitals_staging", "vitals_marts")
+RAW_TABLE, QUARANTINE_TABLE = "raw_patient_vitals", "raw_patient_vitals_quarantine"
+STAGING_TABLE, MART_TABLE = "stg_patient_vitals", "mart_patient_health_summary"
 
 
 def create_layers(spark: SparkSession, location: str, layers: tuple[str, str, str] = LAYERS) -> None:
-    """Idempotent setup: one database per layer and the raw tables (parquet).
+    """Idempotent setup: one database per layer and its parquet tables, partitioned.
 
     ``location`` is a shared folder; running this twice changes nothing.
+    The raw tables are partitioned by load, the raw and the staging table by
+    reading day below it. An insert replaces the partitions that it holds rows of
+    and no others (dynamic overwrite, a property of the tables).
     The raw table's NOT NULL patient id is enforced by the loader
     (quarantine), as a parquet table does not enforce it.
     """
@@ -48,22 +53,35 @@ def create_layers(spark: SparkSession, location: str, layers: tuple[str, str, st
     base = location.rstrip("/")
     for db in layers:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{base}/{db}.db'")
-    raw_db = layers[0]
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {raw_db}.raw_patient_vitals ({_ddl(RAW_SCHEMA)}) "
-              f"USING parquet LOCATION '{base}/{raw_db}.db/raw_patient_vitals'")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {raw_db}.raw_patient_vitals_quarantine "
-              f"({_ddl(QUARANTINE_SCHEMA)}) USING parquet "
-              f"LOCATION '{base}/{raw_db}.db/raw_patient_vitals_quarantine'")
 
+    def create(table: str, columns: str, by: str) -> None:
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {layers[0]}.{table} ({columns}) USING parquet "
+                  f"OPTIONS (partitionOverwriteMode 'dynamic') PARTITIONED BY ({by}) LOCATION '{base}/{layers[0]}.db/{table}'")
 
-def load_tables(decoded: DataFrame, layers: tuple[str, str, str] = LAYERS) -> None:
-    """Append decoded records (:func:`messages.decode`) to the raw layer: rows that load, and bad records."""
+    create(RAW_TABLE, f"{_ddl(RAW_SCHEMA)}, load_id string, {PARTITION_COLUMN} date", f"load_id, {PARTITION_COLUMN}")
+    create(QUARANTINE_TABLE, f"{_ddl(QUARANTINE_SCHEMA)}, load_id string", "load_id")
+
+
+def load_tables(decoded: DataFrame, load_id: str, layers: tuple[str, str, str] = LAYERS) -> None:
+    """Put decoded records (:func:`messages.decode`) into the raw layer: rows that load, and bad records.
+
+    ``load_id`` names the load: one that is run again (after a failure half-way, or by
+    mistake) replaces its own rows, so that a record is there once.
+    """
     from wardwatch.sources import messages
-    messages.loaded(decoded).write.insertInto(f"{layers[0]}.raw_patient_vitals")
-    messages.quarantined(decoded).write.insertInto(f"{layers[0]}.raw_patient_vitals_quarantine")
+    load = F.lit(load_id)
+    loaded = with_reading_day(messages.loaded(decoded).withColumn("load_id", load))
+    loaded.write.mode("overwrite").insertInto(f"{layers[0]}.{RAW_TABLE}")
+    messages.quarantined(decoded).withColumn("load_id", load).write.mode("overwrite").insertInto(f"{layers[0]}.{QUARANTINE_TABLE}")
+
+
+def read_raw_table(spark: SparkSession, layers: tuple[str, str, str] = LAYERS) -> DataFrame:
+    """The raw table by name, ``reading_day`` kept: time ranges become partition filters."""
+    return spark.table(f"{layers[0]}.{RAW_TABLE}").drop("load_id")
 
 
 def publish_tables(staged: DataFrame, mart: DataFrame, layers: tuple[str, str, str] = LAYERS) -> None:
-    """Write the staging and the mart layer's tables anew."""
-    staged.write.mode("overwrite").format("parquet").saveAsTable(f"{layers[1]}.stg_patient_vitals")
-    mart.write.mode("overwrite").format("parquet").saveAsTable(f"{layers[2]}.mart_patient_health_summary")
+    """Write the staging and the mart layer's tables anew; staging is partitioned by reading day."""
+    (staged.withColumn(PARTITION_COLUMN, F.to_date("reading_timestamp")).write.mode("overwrite").format("parquet")
+     .partitionBy(PARTITION_COLUMN).saveAsTable(f"{layers[1]}.{STAGING_TABLE}"))
+    mart.write.mode("overwrite").format("parquet").saveAsTable(f"{layers[2]}.{MART_TABLE}")

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wardwatch.config import DEFAULT_THRESHOLDS, Thresholds
-from wardwatch.operators import marts, quality, staging
-from wardwatch.operators.upsert import MergedTable, newest_by_key, read_if_there
+from wardwatch.operators import marts, offsets, quality, staging
+from wardwatch.operators.upsert import MergedTable, newest_by_key
 from wardwatch.sources import messages, tables
 from wardwatch.sources.tables import PARTITION_COLUMN, with_reading_day
 
@@ -57,15 +57,21 @@ def batch_folder(path: str, source: str, batch_id: int) -> str:
 
 
 def batch_writer(job: Callable[[DataFrame, str, int], None], quarantine_path: str, stamp: Column | None = None,
-                 log_path: str | None = None) -> Callable[[DataFrame, int], None]:
+                 log_path: str | None = None, carry: tuple[str, ...] = (),
+                 most_repaired_pct: float | None = None) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` body: decode once, hand the rows that load to ``job(rows, source, batch id)``,
-    keep the bad records under ``quarantine_path`` and, with ``log_path``, the batch's load counts."""
+    keep the bad records under ``quarantine_path`` and, with ``log_path``, the batch's load counts.
+
+    With ``most_repaired_pct`` a batch in which a source partition has a greater share of records that are not valid
+    UTF-8 raises :class:`messages.EncodingError` before anything is written."""
     def write(batch: DataFrame, batch_id: int) -> None:
         source = source_of(batch)
-        dec = messages.decode(batch, stamp=stamp).persist()
+        if most_repaired_pct is not None:
+            messages.enforce_utf8(messages.utf8_counts(batch), most_repaired_pct)
+        dec = messages.decode(batch, stamp=stamp, carry=carry).persist()
         try:
-            job(messages.loaded(dec), source, batch_id)
-            messages.quarantined(dec).write.mode("overwrite").parquet(batch_folder(quarantine_path, source, batch_id))
+            job(messages.loaded(dec, carry), source, batch_id)
+            messages.quarantined(dec, carry).write.mode("overwrite").parquet(batch_folder(quarantine_path, source, batch_id))
             if log_path:
                 messages.counts(dec).write.mode("overwrite").parquet(batch_folder(log_path, source, batch_id))
         finally:
@@ -132,21 +138,6 @@ def compact_raw(spark: SparkSession, raw_path: str, to_path: str, files_per_day:
 
 
 # ---------------------------------------------------------------- staging
-QUALITY_METRICS = "staging_quality"
-
-
-def observe_quality(staged: DataFrame, name: str = QUALITY_METRICS) -> DataFrame:
-    """Attach the staging checks as observed metrics (one count per check).
-
-    Each micro-batch then reports ``<relation>.<column>.<test>`` failing
-    counts in ``StreamingQueryProgress.observedMetrics[name]``, computed in
-    the same pass that writes the rows.
-    """
-    checks = [c for c in quality.default_checks() if c.relation == quality.STAGING]
-    metrics = [F.expr(f"count_if({c.failing_sql()})").alias(f"{c.column}.{c.test}") for c in checks]
-    return staged.observe(name, F.count(F.lit(1)).alias("rows"), *metrics)
-
-
 def staging_job(path: str, gate: bool = False, th: Thresholds = DEFAULT_THRESHOLDS) -> Callable[[DataFrame, str, int], None]:
     """Stage a micro-batch and write it with its check counts under ``<path>_checks``.
 
@@ -179,11 +170,11 @@ def start_staging(records: DataFrame, path: str, checkpoint: str, stamp: Column
 
 
 # ---------------------------------------------------------------- ward x hour rollup
-# A micro-batch writes sums per (ward, hour, patient) of its own rows; the
-# ward-hour view adds them up when read. No state and no watermark: a reading
+# A micro-batch writes sums per (ward, hour, bucket of patients) of its own rows, and the
+# bucket's patients as a bitmap; the ward-hour view adds up and unites when read. No state and no watermark: a reading
 # counts whenever it comes, and the current hour is there at once.
 def ward_hours(spark: SparkSession, path: str, compact_every: int | None = 50) -> MergedTable:
-    """The sums per (ward, hour, patient) that the stream has written."""
+    """The sums and patient sets per (ward, hour, bucket) that the stream has written."""
     return MergedTable(spark, path, marts.merge_ward_partials, compact_every)
 
 
@@ -235,37 +226,70 @@ def summary_from_latest(latest: DataFrame, as_of=None, th: Thresholds = DEFAULT_
     return marts.patient_summary(latest.select(*marts.LATEST_COLUMNS), as_of, th)
 
 
-# ---------------------------------------------------------------- redelivery dedup
-SOURCE_POSITION = ["kafka_partition", "kafka_offset"]
+# ---------------------------------------------------------------- source positions: redelivery, loss
+def received_intervals(spark: SparkSession, path: str, compact_every: int | None = 50) -> MergedTable:
+    """The intervals of source positions that a stream has received, whether the records load or not."""
+    return MergedTable(spark, path, offsets.merge_intervals, compact_every)
 
 
-def dedup_job(path: str) -> Callable[[DataFrame, str, int], None]:
-    """Write the rows whose source position is not there yet, by reading day.
+def first_delivery_writer(body: Callable[[DataFrame, int], None], intervals: MergedTable) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` body that hands ``body`` only the records whose source position was not received before.
 
-    A record sent again has the position and the reading time of the first
-    delivery, so only the days that the batch touches are read (folders of
-    other days are pruned). A first delivery is never dropped, however late.
+    What was received is known by intervals of offsets, a row for each block of a stream without gaps: no row of the
+    stream's output is read. A record sent again is known by its position, however late it comes; a first delivery
+    is never dropped. The batch's own positions are written when ``body`` is done, so that a replay finds what
+    it found the first time.
     """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        source = source_of(batch)
+        batch = batch.persist()
+        try:
+            known = intervals.read_before(source, batch_id)
+            body(offsets.first_deliveries(batch, known, "partition", "offset"), batch_id)
+            intervals.add(offsets.islands(positions_of(batch)), source, batch_id)
+        finally:
+            batch.unpersist()
+    return write
+
+
+def positions_of(records: DataFrame) -> DataFrame:
+    """The source positions of topic records."""
+    return records.select(F.col("partition").cast("int").alias("kafka_partition"), F.col("offset").cast("long").alias("kafka_offset"))
+
+
+def deduplicated_job(path: str) -> Callable[[DataFrame, str, int], None]:
+    """Write the staged rows of first deliveries by reading day."""
     def job(rows: DataFrame, source: str, batch_id: int) -> None:
-        spark = rows.sparkSession
-        staged = (staging.stage(rows, carry=tuple(SOURCE_POSITION)).dropDuplicates(SOURCE_POSITION)
-                  .withColumn(PARTITION_COLUMN, F.to_date("reading_timestamp")))
-        span = staged.agg(F.min(PARTITION_COLUMN).alias("lo"), F.max(PARTITION_COLUMN).alias("hi")).first()
-        known = read_if_there(spark, path)
-        if known is not None and span["lo"] is not None:
-            mine = (F.col("source") == source) & (F.col("batch_id") == batch_id)       # an earlier try of this batch
-            known = known.where(F.col(PARTITION_COLUMN).between(span["lo"], span["hi"]) & ~mine).select(*SOURCE_POSITION)
-            staged = staged.join(known, SOURCE_POSITION, "left_anti")
+        staged = (staging.stage(rows, carry=offsets.POSITION).withColumn(PARTITION_COLUMN, F.to_date("reading_timestamp")))
         staged.write.mode("overwrite").partitionBy(PARTITION_COLUMN).parquet(batch_folder(path, source, batch_id))
     return job
 
 
 def start_dedup(records: DataFrame, path: str, checkpoint: str, stamp: Column | None = None,
                 available_now: bool = True, processing_time: str = "30 seconds",
-                quarantine_path: str | None = None) -> StreamingQuery:
-    """Staged readings, one for each source position (``kafka_partition``, ``kafka_offset``)."""
-    return start(records, dedup_job(path), path, checkpoint, stamp, quarantine_path,
-                 available_now=available_now, processing_time=processing_time)
+                quarantine_path: str | None = None, compact_every: int | None = 50) -> StreamingQuery:
+    """Staged readings of the first delivery of each source position; ``<path>_received`` holds what was received."""
+    body = first_delivery_writer(batch_writer(deduplicated_job(path), quarantine_path or f"{path}_quarantine", stamp),
+                                 received_intervals(records.sparkSession, f"{path}_received", compact_every))
+    w = records.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
+    return with_trigger(w, available_now, processing_time).start()
+
+
+def start_offset_log(records: DataFrame, path: str, checkpoint: str, available_now: bool = True,
+                     processing_time: str = "30 seconds", compact_every: int | None = 50) -> StreamingQuery:
+    """Keep the intervals of received source positions, for :func:`offset_gaps` of a source whose readings go elsewhere."""
+    table = received_intervals(records.sparkSession, path, compact_every)
+
+    def body(batch: DataFrame, batch_id: int) -> None:
+        table.add(offsets.islands(positions_of(batch)), source_of(batch), batch_id)
+
+    w = records.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
+    return with_trigger(w, available_now, processing_time).start()
+
+
+def offset_gaps(spark: SparkSession, path: str) -> DataFrame:
+    """Offsets that a stream has not received though later ones of their partition came: lost, or still under way."""
+    return offsets.gaps(received_intervals(spark, path).read())
 
 
 # ---------------------------------------------------------------- late readings

@@ -56,3 +56,38 @@ def read_landing(spark: SparkSession, landing_dir: str, max_files_per_trigger: i
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return r.json(landing_dir)
+
+
+# where a record of a landed file was read: the file, and the place in it at which the part that a task read begins
+FILE_POSITION = ("source_file", "source_block")
+
+
+def read_message_files(spark: SparkSession, landing_dir: str, archive_dir: str | None = None,
+                       max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming DataFrame of message files (a JSON message a line, as a stage delivers them), with their position.
+
+    The files carry no topic position: ``partition`` and ``offset`` are NULL, and the file stands in for them
+    (``source_file``, ``source_block``, from the source's hidden metadata). With ``archive_dir`` a file that a
+    committed batch has read is moved there, so that the folder lists only what is still to come.
+    """
+    r = spark.readStream
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if archive_dir:
+        r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
+    return r.text(landing_dir).select(
+        "value", F.lit(None).cast("int").alias("partition"), F.lit(None).cast("long").alias("offset"),
+        F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("source_block"))
+
+
+def start_file_load(files: DataFrame, path: str, checkpoint: str, stamp=None, available_now: bool = True,
+                    processing_time: str = "30 seconds"):
+    """Load a stream of :func:`read_message_files`: raw rows below ``path``, bad records beside it, both with their file."""
+    from wardwatch.streaming import jobs
+
+    def job(rows: DataFrame, source: str, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(jobs.batch_folder(path, source, batch_id))
+
+    body = jobs.batch_writer(job, f"{path}_quarantine", stamp, carry=FILE_POSITION)
+    w = files.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
+    return jobs.with_trigger(w, available_now, processing_time).start()
