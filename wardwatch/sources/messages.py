@@ -62,11 +62,11 @@ def decode(envelopes: DataFrame, stamp: Column | None = None, value: str = "valu
         F.col(offset).cast("long").alias("kafka_offset"),
         stamp.cast("timestamp_ntz").alias("ingested_at"), *carry,
     )
-    exploded = parsed.select(
-        "_raw", "kafka_partition", "kafka_offset", "ingested_at", *carry,
-        F.posexplode(_elements()).alias("_pos", "_e"),
-    ).select("_raw", "kafka_partition", "kafka_offset", "ingested_at", *carry, "_pos",
-             F.col("_e.why").alias("_why"), F.col("_e.m").alias("_m"))
+    keep = ("_raw", "kafka_partition", "kafka_offset", "ingested_at", *carry)
+    # a message is parsed once, in a projection of its own; the next one decides what the result means
+    exploded = (parsed.select(*keep, *_parsed()).select(*keep, "_one", "_many", _parsed_elements())
+                .select(*keep, F.posexplode(_elements()).alias("_pos", "_e"))
+                .select(*keep, "_pos", F.col("_e.why").alias("_why"), F.col("_e.m").alias("_m")))
     # each field is cast once, here; the reason compares text and value in the next projection
     casts = exploded.withColumns({f"_t_{n}": _typed(F.col("_m").getField(n), t) for n, t in MESSAGE_FIELDS
                                   if not isinstance(t, T.StringType)})
@@ -76,32 +76,45 @@ def decode(envelopes: DataFrame, stamp: Column | None = None, value: str = "valu
                         (F.col("_pos") == 0).alias("_first"))
 
 
+def _listed() -> Column:
+    """Whether ``_raw`` begins as an array does."""
+    return F.coalesce(F.ltrim("_raw").startswith("["), F.lit(False))
+
+
 @per_context
-def _elements() -> Column:
-    """The elements of ``_raw`` as ``array<struct<why, m>>``, never empty; ``why``: no object to load, else NULL.
+def _parsed() -> tuple[Column, ...]:
+    """``_raw`` parsed inside brackets, where one object (``_one``) or one array (``_many``) must be all of it."""
+    inside = F.concat(F.lit("["), "_raw", F.lit("]"))
+    return (F.when(~_listed(), F.from_json(inside, MESSAGE_TEXT_ARRAY)).alias("_one"),
+            F.when(_listed(), F.from_json(inside, T.ArrayType(T.ArrayType(T.StringType())))).alias("_many"))
 
-    The text is parsed inside brackets: one object, or one array, must be all of it.
-    """
+
+@per_context
+def _parsed_elements() -> Column:
+    """The elements of the array in ``_many`` as ``array<struct<text, m>>``, each parsed once."""
+    def parse(text: Column) -> Column:
+        return F.struct(text.alias("text"), F.from_json(F.concat(F.lit("["), text, F.lit("]")), MESSAGE_TEXT_ARRAY)[0].alias("m"))
+    return F.when(F.size("_many") == 1, F.transform(F.col("_many")[0], parse)).alias("_texts")
+
+
+@per_context
+def _elements() -> Column:
+    """The elements of a message as ``array<struct<why, m>>``, never empty; ``why``: no object to load, else NULL."""
     none = F.lit(None).cast(MESSAGE_TEXT_SCHEMA)
-    refuse = lambda why: F.struct(F.lit(why).alias("why"), none.alias("m"))
-    inside = F.concat(F.lit("["), "_raw", F.lit("]"))
-    one = F.from_json(inside, MESSAGE_TEXT_ARRAY)
-    many = F.from_json(inside, T.ArrayType(T.ArrayType(T.StringType())))
-
-    def element(text: Column) -> Column:
-        m = F.from_json(F.concat(F.lit("["), text, F.lit("]")), MESSAGE_TEXT_ARRAY)[0]
-        why = (F.when(text.isNull(), "null_element").when(~text.startswith("{"), "not_an_object")
-               .when(m.isNull(), "malformed_json"))
-        return F.struct(why.alias("why"), F.when(why.isNull(), m).alias("m"))
-
-    listed = (F.when(many.isNull() | (F.size(many) != 1), F.array(refuse("malformed_json")))
-              .when(many[0].isNull(), F.array(refuse("malformed_json")))
-              .when(F.size(many[0]) == 0, F.array(refuse("empty_array")))
-              .otherwise(F.transform(many[0], element)))
-    single = (F.when(one.isNull() | (F.size(one) != 1), F.array(refuse("malformed_json")))
-              .when(one[0].isNull(), F.array(refuse("not_an_object")))
-              .otherwise(F.array(F.struct(F.lit(None).cast("string").alias("why"), one[0].alias("m")))))
-    return F.when(F.coalesce(F.ltrim("_raw").startswith("["), F.lit(False)), listed).otherwise(single)
+    refuse = lambda why: F.array(F.struct(F.lit(why).alias("why"), none.alias("m")))
+
+    def element(e: Column) -> Column:
+        why = (F.when(e["text"].isNull(), "null_element").when(~e["text"].startswith("{"), "not_an_object")
+               .when(e["m"].isNull(), "malformed_json"))
+        return F.struct(why.alias("why"), F.when(why.isNull(), e["m"]).alias("m"))
+
+    listed = (F.when(F.col("_texts").isNull(), refuse("malformed_json")).when(F.size("_texts") == 0, refuse("empty_array"))
+              .otherwise(F.transform("_texts", element)))
+    first = F.col("_one")[0]
+    single = (F.when(F.col("_one").isNull() | (F.size("_one") != 1), refuse("malformed_json"))
+              .when(first.isNull(), refuse("not_an_object"))
+              .otherwise(F.array(F.struct(F.lit(None).cast("string").alias("why"), first.alias("m")))))
+    return F.when(_listed(), listed).otherwise(single)
 
 
 ZONE = r"[0-9]:[0-9]{2}.*(Z|z|[+-][0-9]{1,2}(:?[0-9]{2})?)$"
