@@ -56,6 +56,37 @@ def test_grammar_round_trip():
     assert len(T.compress(np.array([1, 2] * 5000, np.uint32), 10)[0]) < 1000
 
 
+def test_no_pair_is_left(encoder):
+    """The grammar is whole: no two symbols stand side by side ``LEAST_COUNT`` times, and it is as small as it should be."""
+    import pyarrow.parquet as pq
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"])["text"].to_pylist()
+    ids = np.frombuffer(b"".join(encoder.encode([t or "" for t in texts])), "<u4")
+    symbols, rules, sizes = T.compress(ids, 50_300)
+    left = symbols[:-1].astype(np.uint64) << np.uint64(32) | symbols[1:]
+    pairs, n = np.unique(left, return_counts=True)
+    # of a run of one symbol only every other pair counts
+    assert all(c < T.LEAST_COUNT or p >> 32 == p & 0xFFFFFFFF and c < 2 * T.LEAST_COUNT for p, c in zip(pairs.tolist(), n.tolist()))
+    assert (len(symbols) + 2 * len(rules)) / len(ids) < 0.55
+    assert (T.expand(symbols, 50_300, rules) == ids).all() and int(sizes.max()) > 20
+
+
+def test_counts_kept_from_round_to_round_are_right():
+    rng = random.Random(9)
+    for _ in range(60):
+        words = [[rng.randrange(12) for _ in range(rng.randint(1, 6))] for _ in range(8)]
+        x = np.array([i for _ in range(rng.randint(1, 300)) for i in rng.choice(words)], np.uint32)
+        symbols, rules, _ = T.compress(x, 50, least=3)
+        assert (T.expand(symbols, 50, rules) == x).all()
+        pairs, n = np.unique(symbols[:-1].astype(np.uint64) << np.uint64(32) | symbols[1:], return_counts=True)
+        assert all(c < 3 or p >> 32 == p & 0xFFFFFFFF for p, c in zip(pairs.tolist(), n.tolist()))
+
+
+def test_very_long_texts_and_words(encoder, tokenizer):
+    long = "lorem ipsum dolor " * 20_000 + "x" * 5_000 + " " + "日本" * 3_000
+    assert ids_of(encoder.encode([long])[0]) == tokenizer.encode(long, add_special_tokens=False).ids
+    assert max(map(len, encoder.words)) <= T.LONGEST_KEPT
+
+
 def shards_of(spark, docs, workdir, **how):
     T.write_shards(docs, workdir, PATH, **how)
     return T.read_shards(spark, workdir)

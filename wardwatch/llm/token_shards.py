@@ -3,10 +3,10 @@
 Texts become ids, each document ends with an end id, and the ids of the whole
 table stand in ascending order of doc_id. A shard holds the ids of consecutive
 documents as a grammar: rounds of Re-Pair replace frequent pairs of symbols by
-new symbols. In one round all pairs whose left symbols are no right symbols of
-another chosen pair are replaced together, most frequent first (their
-occurrences cannot overlap), so a round is a few passes of numpy over the
-shard, and the counts are taken anew in the next.
+new symbols, until no pair occurs ``LEAST_COUNT`` times. In one round all pairs
+whose left symbols are no right symbols of another chosen pair are replaced
+together, most frequent first (their occurrences cannot overlap). The counts
+are kept from round to round and changed only beside what was replaced.
 
 File format: Parquet, one row a shard.
 
@@ -47,11 +47,9 @@ from pyspark.sql import functions as F
 
 END_ID = 2
 SHARD_IDS = 1 << 20
-MAX_ROUNDS = 6
-ROUND_RULES = 512       # pairs replaced in one round
 LEAST_COUNT = 8         # occurrences that a pair needs
-TEXTS_AT_ONCE = 2_000
-CACHE_WORDS = 600_000
+CHARS_AT_ONCE = 4_000_000
+CACHE_WORDS, LONGEST_KEPT, WORDS_AT_ONCE = 600_000, 48, 10_000
 
 FILE = ("part int, shard int, n_ids long, doc_ids array<long>, ends array<long>, base long, "
         "rules binary, sizes binary, symbols binary")
@@ -62,7 +60,7 @@ FILE = ("part int, shard int, n_ids long, doc_ids array<long>, ends array<long>,
 # fixed values: letters and numbers among the characters below U+0250, on which all Unicode versions
 # agree, and the pattern by which byte-level tokenizers of this kind cut a text into words
 LETTERS, NUMBERS = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
-WORDS = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^\s{LETTERS}{NUMBERS}]+|\s+(?!\S)|\s+"
+WORDS = rf" ?[{LETTERS}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[{NUMBERS}]+| ?[^\s{LETTERS}{NUMBERS}]+|\s+(?!\S)|\s+"
 
 
 class _Words(dict):
@@ -76,7 +74,9 @@ class _Words(dict):
 
     def __missing__(self, word: str) -> bytes:
         shown = word.encode().decode("latin-1").translate(self.letters)
-        found = self[word] = b"".join([self.id_bytes[t.id] for t in self.model.tokenize(shown)])
+        found = b"".join([self.id_bytes[t.id] for t in self.model.tokenize(shown)])
+        if len(word) <= LONGEST_KEPT:
+            self[word] = found
         return found
 
 
@@ -85,7 +85,8 @@ class Encoder:
 
     Texts of characters below U+0250 are cut into words by the tokenizer's
     pattern; the library's BPE model gives the ids of each word, which are kept
-    for reuse (that saves the cost of an ``Encoding`` for each text). No word
+    for reuse (that saves the cost of an ``Encoding`` for each text): so many, of
+    so many characters at most, hence bounded in bytes. No word
     spans a space that is followed by a visible character, so of other texts,
     and those that hold a special token, only the pieces between such spaces that
     need it go to ``encode_batch``.
@@ -104,7 +105,22 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.words) > CACHE_WORDS:
             self.words.clear()
-        return [self._whole(t) if self._is_odd(t) else self._plain(t) for t in texts]
+        cut = [None if self._is_odd(t) else Encoder._words(t) for t in texts]
+        self._learn(set().union(*(words for words in cut if words)) - self.words.keys())
+        return [self._whole(t) if words is None else b"".join(map(self.words.__getitem__, words)) for t, words in zip(texts, cut)]
+
+    def _learn(self, words: set[str]) -> None:
+        """Keep the ids of new words: those that begin with a space, end to end, are one text to the library, which cuts it there again."""
+        spaced = [w for w in words if len(w) <= LONGEST_KEPT and w[0] == " " and not w[1:2].isspace() and len(w) > 1]
+        for at in range(0, len(spaced), WORDS_AT_ONCE):
+            some = spaced[at:at + WORDS_AT_ONCE]
+            found = self.tokenizer.encode("".join(some), add_special_tokens=False)
+            word = np.array(found.word_ids)
+            begins = np.searchsorted(word, np.arange(len(some) + 1)) * 4
+            if word[-1] != len(some) - 1 or (np.diff(begins) == 0).any():       # cut elsewhere: each is asked for by itself
+                continue
+            ids = np.array(found.ids, "<u4").tobytes()
+            self.words.update((w, ids[a:b]) for w, a, b in zip(some, begins.tolist(), begins[1:].tolist()))
 
     def _is_odd(self, text: str) -> bool:
         return Encoder._odd(text) is not None or any(s in text for s in self.special)
@@ -130,43 +146,86 @@ def encoder_of(tokenizer_path: str) -> Encoder:
 
 # --- Re-Pair ------------------------------------------------------------------------------------
 
-def compress(ids: np.ndarray, base: int, max_rounds: int = MAX_ROUNDS,
-             least: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(symbols, rules, sizes): the grammar of ``ids``, all below ``base``."""
-    seq = ids.astype(np.uint32)
-    rules, sizes = np.zeros((0, 2), np.uint32), np.zeros(0, np.uint32)
-    for _ in range(max_rounds):
-        pairs = _frequent_pairs(seq, least)
-        if not len(pairs):
-            break
-        before = len(seq)
-        first = base + len(rules)
-        seq = _replace(seq, pairs, first)
-        size = np.concatenate((np.ones(base, np.uint32), sizes))
-        rules = np.concatenate((rules, pairs))
-        sizes = np.concatenate((sizes, size[pairs].sum(axis=1, dtype=np.uint32)))
-        if len(seq) > 0.97 * before:
-            break
-    return seq, rules, sizes
-
-
-def _frequent_pairs(seq: np.ndarray, least: int) -> np.ndarray:
+def compress(ids: np.ndarray, base: int, least: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(symbols, rules, sizes): the grammar of ``ids``, all below ``base``; no pair occurs ``least`` times in ``symbols``.
+
+    The pairs of two symbols are counted when the newer of the two is made, and can only
+    get fewer after that: a round adds the pairs of its new symbols, and takes away those
+    beside what it replaced. A pair that is rare when it is counted is forgotten.
+    """
+    seq, rules, size = ids.astype(np.uint32), [], np.ones(base, np.uint32)
+    keys, counts = _counted(_pairs_at(seq, slice(None, -1)), least)
+    first = base
+    while len(keys):
+        pairs = _chosen(keys, counts)
+        at, rule = _occurrences(seq, pairs, first)
+        fewer = np.zeros(len(seq) + 1, bool)         # places before and behind a replaced pair, where the pairs of old neighbours begin
+        fewer[at - 1] = fewer[at + 1] = True
+        beside = np.flatnonzero(fewer[:len(seq) - 1])
+        _, place = _found(keys, _pairs_at(seq, beside))
+        counts = counts - np.bincount(place, minlength=len(keys))
+        counts[np.searchsorted(keys, _key(pairs))] = 0
+        keep = np.ones(len(seq), bool)
+        keep[at + 1] = False
+        seq[at] = first + rule
+        seq = seq[keep]
+        now = at - np.arange(len(at))
+        fresh = np.zeros(len(seq) + 1, bool)
+        fresh[now - 1] = fresh[now] = True
+        new_keys, new_counts = _counted(_pairs_at(seq, np.flatnonzero(fresh[:max(len(seq) - 1, 0)])), least)
+        still = counts >= least
+        keys, counts = np.concatenate((keys[still], new_keys)), np.concatenate((counts[still], new_counts))
+        order = np.argsort(keys)
+        keys, counts = keys[order], counts[order]
+        size = np.concatenate((size, size[pairs].sum(axis=1, dtype=np.uint32)))
+        rules.append(pairs)
+        first += len(pairs)
+    return seq, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32), size[base:]
+
+
+def _key(pairs: np.ndarray) -> np.ndarray:
+    return (pairs[:, 0].astype(np.uint64) << np.uint64(32)) | pairs[:, 1]
+
+
+def _pairs_at(seq: np.ndarray, at) -> np.ndarray:
+    """The pairs that begin at places ``at`` (none of them the last place), as numbers."""
+    left, right = (seq[:-1], seq[1:]) if isinstance(at, slice) else (seq[at], seq[at + 1])
+    return (left.astype(np.uint64) << np.uint64(32)) | right
+
+
+def _hashed(pairs: np.ndarray, bits: int) -> np.ndarray:
+    return ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _found(keys: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(which, place): the ``pairs`` that are among ``keys`` (ascending), and where; most others are told by their hash."""
+    there = np.zeros(1 << 18, bool)
+    there[_hashed(keys, 18)] = True
+    which = np.flatnonzero(there[_hashed(pairs, 18)])
+    place = np.minimum(np.searchsorted(keys, pairs[which]), len(keys) - 1)
+    same = keys[place] == pairs[which]
+    return which[same], place[same]
+
+
+def _counted(pairs: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(pairs, counts) of those that occur ``least`` times, in ascending order."""
+    if len(pairs) < least:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    # only what shares its hash value with enough others is sorted
+    bits = max(10, min(22, len(pairs).bit_length() + 2))
+    place = _hashed(pairs, bits)
+    enough = np.bincount(place, minlength=1 << bits) >= least
+    keys, counts = np.unique(pairs[enough[place]], return_counts=True)
+    often = counts >= least
+    return keys[often], counts[often]
+
+
+def _chosen(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Frequent pairs, most frequent first, such that no two occurrences of different ones overlap."""
-    if len(seq) < 2 * least:
-        return np.zeros((0, 2), np.uint32)
-    left, right = seq[:-1], seq[1:]
-    # pairs are counted by a hash first, and exactly where a hash value is frequent
-    place = (left * np.uint32(0x9E3779B1) ^ right * np.uint32(0x85EBCA6B)) >> np.uint32(14)
-    count = np.bincount(place, minlength=1 << 18)
-    bar = max(least, int(np.partition(count, -ROUND_RULES)[-ROUND_RULES]))
-    at = np.flatnonzero((count >= bar)[place])
-    key, n = np.unique((left[at].astype(np.uint64) << np.uint64(32)) | right[at], return_counts=True)
-    order = np.lexsort((key, -n))[:4 * ROUND_RULES]
+    order = np.lexsort((keys, -counts))
     lefts, rights, out = set(), set(), []
-    for k, c in zip(key[order].tolist(), n[order].tolist()):
+    for k in keys[order].tolist():
         a, b = k >> 32, k & 0xFFFFFFFF
-        if c < least or len(out) == ROUND_RULES:
-            break
         if a not in rights and b not in lefts and (a != b or (a not in lefts and a not in rights)):
             lefts.add(a)
             rights.add(b)
@@ -174,17 +233,15 @@ def _frequent_pairs(seq: np.ndarray, least: int) -> np.ndarray:
     return np.array(out, np.uint32).reshape(-1, 2)
 
 
-def _replace(seq: np.ndarray, pairs: np.ndarray, first: int) -> np.ndarray:
-    """``seq`` with every occurrence of pair k replaced by symbol ``first + k``."""
+def _occurrences(seq: np.ndarray, pairs: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
+    """(place, number of the pair) of every occurrence of ``pairs`` that is replaced; all symbols are below ``first``."""
     is_left, is_right = np.zeros(first, bool), np.zeros(first, bool)
     is_left[pairs[:, 0]] = is_right[pairs[:, 1]] = True
     at = np.flatnonzero(is_left[seq[:-1]] & is_right[seq[1:]])
-    keys = (pairs[:, 0].astype(np.uint64) << np.uint64(32)) | pairs[:, 1]
+    keys = _key(pairs)
     order = np.argsort(keys)
-    mine = (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1]
-    found = np.minimum(np.searchsorted(keys[order], mine), len(keys) - 1)
-    hit = keys[order][found] == mine
-    at, rule = at[hit], order[found[hit]]
+    hit, found = _found(keys[order], _pairs_at(seq, at))
+    at, rule = at[hit], order[found]
     # in a run of one symbol every other pair is replaced
     twin = pairs[rule, 0] == pairs[rule, 1]
     if twin.any():
@@ -193,11 +250,7 @@ def _replace(seq: np.ndarray, pairs: np.ndarray, first: int) -> np.ndarray:
         start = np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))
         odd = twin & ((np.arange(len(at)) - start) % 2 == 1)
         at, rule = at[~odd], rule[~odd]
-    out = seq.copy()
-    out[at] = first + rule
-    keep = np.ones(len(seq), bool)
-    keep[at + 1] = False
-    return out[keep]
+    return at, rule
 
 
 def expand(symbols: np.ndarray, base: int, rules: np.ndarray) -> np.ndarray:
@@ -263,9 +316,9 @@ def write_shards(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
         names, texts, size = [], [], 0
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            for at in range(0, len(ids), TEXTS_AT_ONCE):
-                some = [t or "" for t in batch.column(1).slice(at, TEXTS_AT_ONCE).to_pylist()]
-                for doc_id, found in zip(ids[at:at + TEXTS_AT_ONCE], encoder.encode(some)):
+            for at, stop in _spans(batch.column(1)):
+                some = [t or "" for t in batch.column(1).slice(at, stop - at).to_pylist()]
+                for doc_id, found in zip(ids[at:stop], encoder.encode(some)):
                     if texts and size + len(found) // 4 + 1 > shard_ids:
                         yield _shard(part, shard, names, texts, base)
                         names, texts, size, shard = [], [], 0, shard + 1
@@ -281,6 +334,16 @@ def write_shards(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
      .mapInArrow(write, FILE).write.parquet(path))
 
 
+def _spans(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Stretches of a batch's rows that hold about ``CHARS_AT_ONCE`` bytes of text each, or one row."""
+    held = np.cumsum(np.array(pa.compute.binary_length(texts).fill_null(0), np.int64))
+    at = 0
+    while at < len(held):
+        stop = max(at + 1, int(np.searchsorted(held, (held[at - 1] if at else 0) + CHARS_AT_ONCE, "right")))
+        yield at, stop
+        at = stop
+
+
 def _shard(part: int, shard: int, names: list, texts: list[bytes], base: int) -> pa.RecordBatch:
     ids = np.frombuffer(b"".join(texts), "<u4")
     symbols, rules, sizes = compress(ids, base)
