@@ -49,7 +49,7 @@ END_ID = 2
 SHARD_IDS = 1 << 20
 LEAST_COUNT = 8         # occurrences that a pair needs
 CHARS_AT_ONCE = 4_000_000
-CACHE_WORDS, LONGEST_KEPT, WORDS_AT_ONCE = 600_000, 48, 10_000
+CACHE_WORDS, LONGEST_KEPT = 600_000, 48
 
 FILE = ("part int, shard int, n_ids long, doc_ids array<long>, ends array<long>, base long, "
         "rules binary, sizes binary, symbols binary")
@@ -105,22 +105,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.words) > CACHE_WORDS:
             self.words.clear()
-        cut = [None if self._is_odd(t) else Encoder._words(t) for t in texts]
-        self._learn(set().union(*(words for words in cut if words)) - self.words.keys())
-        return [self._whole(t) if words is None else b"".join(map(self.words.__getitem__, words)) for t, words in zip(texts, cut)]
-
-    def _learn(self, words: set[str]) -> None:
-        """Keep the ids of new words: those that begin with a space, end to end, are one text to the library, which cuts it there again."""
-        spaced = [w for w in words if len(w) <= LONGEST_KEPT and w[0] == " " and not w[1:2].isspace() and len(w) > 1]
-        for at in range(0, len(spaced), WORDS_AT_ONCE):
-            some = spaced[at:at + WORDS_AT_ONCE]
-            found = self.tokenizer.encode("".join(some), add_special_tokens=False)
-            word = np.array(found.word_ids)
-            begins = np.searchsorted(word, np.arange(len(some) + 1)) * 4
-            if word[-1] != len(some) - 1 or (np.diff(begins) == 0).any():       # cut elsewhere: each is asked for by itself
-                continue
-            ids = np.array(found.ids, "<u4").tobytes()
-            self.words.update((w, ids[a:b]) for w, a, b in zip(some, begins.tolist(), begins[1:].tolist()))
+        return [self._whole(t) if self._is_odd(t) else self._plain(t) for t in texts]
 
     def _is_odd(self, text: str) -> bool:
         return Encoder._odd(text) is not None or any(s in text for s in self.special)
@@ -190,11 +175,14 @@ def _key(pairs: np.ndarray) -> np.ndarray:
 def _pairs_at(seq: np.ndarray, at) -> np.ndarray:
     """The pairs that begin at places ``at`` (none of them the last place), as numbers."""
     left, right = (seq[:-1], seq[1:]) if isinstance(at, slice) else (seq[at], seq[at + 1])
-    return (left.astype(np.uint64) << np.uint64(32)) | right
+    pairs = left.astype(np.uint64)
+    pairs <<= np.uint64(32)
+    pairs |= right
+    return pairs
 
 
 def _hashed(pairs: np.ndarray, bits: int) -> np.ndarray:
-    return ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
+    return ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).view(np.int64)
 
 
 def _found(keys: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -212,7 +200,7 @@ def _counted(pairs: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     if len(pairs) < least:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     # only what shares its hash value with enough others is sorted
-    bits = max(10, min(22, len(pairs).bit_length() + 2))
+    bits = max(10, min(20, len(pairs).bit_length()))
     place = _hashed(pairs, bits)
     enough = np.bincount(place, minlength=1 << bits) >= least
     keys, counts = np.unique(pairs[enough[place]], return_counts=True)
