@@ -13,7 +13,9 @@ from wardwatch.llm.queries import op8_embedding_dedup
 def brute(rows, threshold=0.98):
     """rows: (vec_id, vector, label) -> (links, component ids) by row."""
     ok = [v is not None and lab is not None and None not in v and all(map(math.isfinite, v)) and any(v) for _, v, lab in rows]
-    unit = [np.array(v, float) / np.linalg.norm(np.array(v, float)) if o else None for (_, v, _), o in zip(rows, ok)]
+    # scaled first, so that no norm leaves the range of a double
+    scaled = [np.array(v, float) / np.abs(np.array(v, float)).max() if o else None for (_, v, _), o in zip(rows, ok)]
+    unit = [v if v is None else v / np.linalg.norm(v) for v in scaled]
     links, root = [0] * len(rows), list(range(len(rows)))
 
     def find(i):
@@ -58,10 +60,6 @@ def test_matches_all_pairs(spark, block):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").withColumn("row", F.lit("x"))
     got = E.near_duplicates(df, block=block).collect()
     links, comps = brute(rows)
-    # with vectors this short the sum of squares is zero in double precision: such a vector counts as zero
-    for i, r in enumerate(rows):
-        if r[0] in (912, 913):
-            links[i], comps[i] = 0, r[0]
     key = lambda r: tuple(-1 if x is None else x for x in r)
     want = sorted(((r[0], n, c, r[0] == c) for r, n, c in zip(rows, links, comps)), key=key)
     assert sorted(map(tuple, got), key=key) == want
@@ -96,3 +94,12 @@ def test_nothing_is_lost_in_vectors_of_few_effective_dimensions(spark, dim, effe
     near = unit(x) @ unit(x).T >= 0.98
     got = {r.vec_id: r.n_links for r in E.near_duplicates(df).collect()}
     assert near.sum() > 4500 and [got[i] for i in range(len(x))] == (near.sum(axis=1) - 1).tolist()
+
+
+def test_very_large_and_small_entries_link(spark):
+    """Vectors whose norm is beyond a double's range are finite and not zero: they link as any other."""
+    rows = [(0, 1, [1e200, 1e200]), (1, 1, [1e200, 1e200]), (2, 1, [1e-200, 1e-200]), (3, 1, [1e-200, -1e-200]), (4, 1, [0.0, 0.0]),
+            (5, 1, [1.0, None]), (6, 1, [])]
+    got = E.near_duplicates(spark.createDataFrame(rows, "vec_id long, label long, embedding array<double>")).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got} == {
+        0: (2, 0), 1: (2, 0), 2: (2, 0), 3: (0, 3), 4: (0, 4), 5: (0, 5), 6: (0, 6)}

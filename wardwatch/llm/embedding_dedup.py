@@ -119,10 +119,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, id_col: str = "
     dtype = "<f4" if vectors.schema[vec_col].dataType.simpleString() == "array<float>" else "<f8"
     rows = cut(vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).alias("label"),
                               F.col(vec_col).cast("array<double>").alias("vec"))
-               .withColumn("norm", F.sqrt(F.aggregate(F.transform(x, lambda v: v * v), F.lit(0.0), lambda a, v: a + v)))
                .withColumn("row", F.monotonically_increasing_id())
-               .withColumn("fit", F.coalesce(F.col("label").isNotNull() & (F.col("norm") > 0) & (F.col("norm") < float("inf"))
-                                             & ~F.isnan("norm"), F.lit(False))))
+               # by the entries, not by a norm, which very large or small ones would take out of the range of a double
+               .withColumn("fit", F.coalesce(F.col("label").isNotNull() & F.exists(x, lambda v: v != 0) & F.forall(
+                   x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))), F.lit(False))))
     # one entry for each distinct vector of a label
     same = F.struct("label", "vec")
     entries = cut(rows.where("fit").groupBy("label", "vec").agg(
