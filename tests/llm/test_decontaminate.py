@@ -95,10 +95,7 @@ def test_query_finds_exact_copies_and_agrees_with_all_alignments(spark):
     items = {r.item_id: r.text for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()}
     got = {(r.doc_id, r.item_id) for r in op3_decontaminate(spark, sf).collect()}
     assert {(d, i) for d, t in docs.items() for i, x in items.items() if x in t} <= got
-    block = D.Block([], [], {})
-    for i, x in items.items():
-        block.item_ids.append(i)
-        block.items.append(np.array([block.vocabulary.setdefault(w, len(block.vocabulary) + 1) for w in D._words(x.lower())]))
+    block = D.Block([(i, D._words(x.lower())) for i, x in items.items()])
     want = set()
     for d, t in docs.items():
         numbers = block.numbers([t])[0]
@@ -121,7 +118,7 @@ def all_alignments(block, texts, threshold):
     return out
 
 
-def test_no_edit_at_the_threshold_is_missed_in_common_words():
+def test_no_edit_at_the_threshold_is_missed_in_common_words(monkeypatch):
     rng = random.Random(5)
     vocab = [f"w{i}" for i in range(25)]
     items = [rng.choices(vocab, k=n) for n in (1, 2, 3, 4, 5, 7, 12, 18, 24, 30)]
@@ -132,14 +129,15 @@ def test_no_edit_at_the_threshold_is_missed_in_common_words():
         loose = [y for w in x for y in (w, "zz")]
         texts += [" ".join(["zz"] * 9 + y + ["zz"] * 9) for y in (third, dropped, loose, x[:len(x) // 2 + 1], x[::2])]
     for threshold in (0.5, 0.3, 0.8):
-        block = D.Block([], [], {})
-        for k, x in enumerate(items):
-            block.item_ids.append(k)
-            block.items.append(np.array([block.vocabulary.setdefault(w, len(block.vocabulary) + 1) for w in x]))
-        block.choose_seeds(threshold)
-        got = [(d, k, s) for d, k, s, _, _ in D._aligned(block, *block.numbers(texts))]
+        block = D.Block(list(enumerate(items)), threshold)
         want = all_alignments(block, texts, threshold)
-        assert set(got) == want and len(got) == len(want)
+        counted = np.zeros((2, len(block.pairs)), np.int64)
+        block.count(texts, counted)
+        for total in (counted, -counted, np.random.default_rng(1).integers(0, 99, counted.shape)):     # complete for any order of seeds
+            for pairs in (1_000_000, 50):
+                monkeypatch.setattr(D, "PAIRS", pairs)
+                got = [(d, k, s) for d, k, s, _, _ in D._aligned(block, block.choose_seeds(total), *block.numbers(texts))]
+                assert set(got) == want and len(got) == len(want)
 
 
 def test_edited_copies_are_found_whatever_the_rest_of_the_corpus(spark):
@@ -153,3 +151,28 @@ def test_edited_copies_are_found_whatever_the_rest_of_the_corpus(spark):
         d = spark.createDataFrame(docs, "doc_id long, text string")
         assert {r.doc_id for r in D.contaminations(d, b).collect()} >= {-1, -2}
         assert D.decontaminate(d, b).where("doc_id < 0").count() == 0
+
+
+def test_counts_of_pairs_are_of_all_documents(spark):
+    block = D.Block([(1, "a b c".split()), (2, "b b".split())])
+    docs = spark.createDataFrame([(i, "a b c x a b b") for i in range(50)] + [(50, None), (51, "")], "doc_id long, text string")
+    total = D._counted(docs.repartition(7), spark.sparkContext.broadcast(block), "text")
+    name = {v: k for k, v in block.vocabulary.items()}
+    got = {(name[p // block.base], name[p % block.base]): t for p, t in zip(block.pairs.tolist(), total.T.tolist())}
+    assert got == {("a", "b"): [100, 50], ("b", "c"): [50, 0], ("a", "c"): [0, 50], ("b", "b"): [50, 0]}
+
+
+def test_common_pairs_are_no_seeds_where_rare_ones_suffice():
+    rng = np.random.default_rng(3)
+    word = lambda n: [f"w{k}" for k in np.minimum(rng.zipf(1.3, n), 50_000)]
+    texts = [" ".join(word(1000)) for _ in range(20)]
+    hits = []
+    for n in (200, 2000):
+        block = D.Block([(k, word(50)) for k in range(n)])
+        total = np.zeros((2, len(block.pairs)), np.int64)
+        block.count(texts, total)
+        numbers, ends = block.numbers(texts)
+        own = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+        found = lambda t: sum(int((e - f).sum()) for _, f, e, _ in block.choose_seeds(t).find(block, numbers, own))
+        hits.append((found(total), found(-total)))
+    assert all(rare * 10 < common for rare, common in hits)
