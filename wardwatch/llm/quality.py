@@ -1,6 +1,7 @@
 """Text quality by positive-unlabelled learning.
 
-Known: texts trusted to be good, and texts of unknown quality. A text is
+Known: texts trusted to be good, and the texts of the corpus itself, labelled or
+not, whose quality is unknown. A text is
 described by counts that do not depend on its topic (kinds of characters,
 repetition of words, word pairs and lines, lengths); the model adds one weight
 for each feature's quantile bin.
@@ -13,10 +14,10 @@ for each feature's quantile bin.
   ``p E_pos[l(f)] + max(0, E_unl[l(-f)] - p E_pos[l(-f)])`` is minimised; where the
   second part falls below zero, its gradient is followed upwards instead.
 
-Scale: the fit uses at most about ``sample`` rows of each set (a documented
-parameter; rows are drawn by a hash of their id, which spreads over all data
-and is the same in every run), joined to their texts by a broadcast of those
-ids. Scoring is one narrow pass over all texts.
+Scale: the fit uses about ``sample`` trusted texts and twice as many unknown ones (a
+documented parameter; rows are drawn by a 64-bit hash of their id, which spreads over all data
+and is the same in every run), one row an id, joined to their texts by a broadcast
+of the drawn ids. Scoring is one narrow pass over all texts.
 """
 
 from __future__ import annotations
@@ -33,7 +34,6 @@ from pyspark.sql import functions as F
 SAMPLE = 20_000
 BINS = 12
 STEPS = 300
-SPLIT = 1 << 20
 
 # kinds of bytes whose shares are features
 KINDS = [b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b" \t", b"\r\n", b"!", b"|", b"*#$%&@^~",
@@ -121,34 +121,39 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string")) % 5 == 0, F.lit(False))
 
 
-def _drawn(ids: DataFrame, sample: int) -> DataFrame:
-    n = ids.count()
-    share = min(1.0, sample / n) if n else 1.0
-    return ids.where(F.pmod(F.xxhash64("doc_id"), F.lit(SPLIT)) < int(share * SPLIT) + 1)
+def _below(share: float) -> Column:
+    """Whether the id's hash falls into that share of all 64-bit hashes."""
+    return F.xxhash64("doc_id") <= F.lit(min(2 ** 63 - 1, int(share * 2 ** 64) - 2 ** 63))
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
     """The model of ``labels`` (doc_id, quality), learnt from rows that are not held out.
 
-    Trusted: texts whose quality is 1. Unknown: texts of labelled rows of either
-    quality, the label withheld. About ``sample`` rows of each, at most. None if
-    there is no trusted or no unknown text.
+    Trusted: texts whose label is quality 1. Unknown: texts of ``docs``, with or
+    without a label, which is not looked at. About ``sample`` ids of the trusted ones at most,
+    twice as many rows of the unknown; of an id's rows the one of the smallest hash. None if there is no trusted or no
+    unknown text.
     """
-    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "quality").where("doc_id is not null")
-    known = known.where(~held_out(F.col("doc_id")))
-    good = _drawn(known.where("quality = 1").select("doc_id").distinct(), sample).withColumn("trusted", F.lit(True))
-    some = _drawn(known.select("doc_id").distinct(), sample).withColumn("trusted", F.lit(False))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = texts.where("doc_id is not null").where(~held_out(F.col("doc_id")))
+    good = labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null")
+    good = good.where(~held_out(F.col("doc_id"))).distinct()
+    n_good, n_all = good.count(), texts.count()
+    trusted = good.where(_below(sample / max(1, n_good))).withColumn("trusted", F.lit(True))
+    unknown = _below(2 * sample / max(1, n_all))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array([features(t.as_py()) for t in batch.column(2)],
-                                                                           pa.list_(pa.float64()))], names=["doc_id", "trusted", "x"])
-
-    rows = (texts.join(F.broadcast(good.union(some)), "doc_id").select("doc_id", "trusted", "text")
-            .mapInArrow(describe, "doc_id long, trusted boolean, x array<double>").collect())
-    rows.sort(key=lambda r: (r.doc_id, r.trusted, r.x))
-    sets = [np.array([r.x for r in rows if r.trusted == t], float) for t in (True, False)]
+            yield pa.record_batch([*batch.columns[:4], pa.array([features(t.as_py()) for t in batch.column(4)],
+                                                                pa.list_(pa.float64()))], names=["doc_id", "trusted", "unknown", "order", "x"])
+
+    rows = (texts.join(F.broadcast(trusted), "doc_id", "left").withColumn("unknown", unknown)
+            .where(F.col("trusted") | F.col("unknown"))
+            .select("doc_id", F.coalesce("trusted", F.lit(False)).alias("trusted"), "unknown", F.xxhash64("text").alias("order"), "text")
+            .mapInArrow(describe, "doc_id long, trusted boolean, unknown boolean, order long, x array<double>")
+            .groupBy("doc_id").agg(F.first("trusted").alias("trusted"), F.first("unknown").alias("unknown"), F.min_by("x", F.struct("order", "x")).alias("x")).collect())
+    rows.sort(key=lambda r: r.doc_id)
+    sets = [np.array([r.x for r in rows if r[kind]], float) for kind in ("trusted", "unknown")]
     return Model(*sets) if all(map(len, sets)) else None
 
 
@@ -156,10 +161,11 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.3,
     """(doc_id, held_out, score, predicted), one row per row of ``docs`` (doc_id, text).
 
     ``score``: estimated probability of good quality, from the text alone; a null
-    or empty text has the score of the empty text. ``predicted``: 1 if score >=
-    threshold. Label rows with a null id or without a document teach nothing;
-    repeated label rows count once. Without a trusted text every score is 0.5.
-    Null and repeated ids keep their rows; other columns are not read.
+    or empty text has the score of the empty text, a very long one is described
+    whole. ``predicted``: 1 if score >= threshold. Label rows with a null id or
+    without a document teach nothing; repeated label rows count once. Without a
+    trusted text every score is 0.5; an empty table has no rows. Null and repeated
+    ids keep their rows; other columns are not read.
     """
     model = fit(docs, labels, sample)
 
