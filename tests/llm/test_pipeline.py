@@ -1,6 +1,5 @@
 """The pipeline's rows against brute force, stage by stage, on the smallest tables."""
 
-import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -36,9 +35,7 @@ def brute(spark, sf):
     groups = test_simhash.brute_components([test_simhash.brute_fingerprint(docs[d]) for d in ids], 4)
     ids = [d for i, d in enumerate(ids) if groups[i] == i]
     items = [r.text for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
-    block = D.Block([], [], {})
-    for text in items:
-        block.items.append(np.array([block.vocabulary.setdefault(w, len(block.vocabulary) + 1) for w in D._words(text.lower())]))
+    block = D.Block([(None, D._words(text.lower())) for text in items])
     out = {}
     model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
     pieces = [(model.id_to_piece(i), model.get_score(i), "byte" if model.is_byte(i) else "unknown" if model.is_unknown(i) else

@@ -95,6 +95,13 @@ def test_weights_are_those_of_the_risk_restated(monkeypatch):
         assert np.allclose(model.weights, want, atol=1e-4) and (turned or prior < 0.9)
 
 
+def test_a_single_text_of_a_kind_has_no_estimate_of_the_prior():
+    x = np.arange(12.0).reshape(6, 2)
+    for p, u in ((x[:1], x), (x, x[:1]), (x[:1], x[:1])):
+        model = Q.Model(p, u)
+        assert model.prior == 0.5 and np.isfinite(model.scores(x)).all()
+
+
 def test_prior_is_the_least_ratio_restated():
     rng = np.random.default_rng(8)
     for _ in range(5):

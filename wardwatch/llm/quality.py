@@ -64,6 +64,8 @@ class Model:
         self.edges = [np.unique(np.quantile(both[:, j], np.linspace(0, 1, BINS + 1)[1:-1])) for j in range(both.shape[1])]
         self.places = np.concatenate(([0], np.cumsum([len(e) + 1 for e in self.edges])))
         p, u = self._bins(trusted), self._bins(unknown)
+        if prior is None and min(len(p), len(u)) < 2:
+            prior = 0.5         # no rows left to estimate it from
         if prior is None:
             half, other = np.arange(len(p)) % 2 == 0, np.arange(len(u)) % 2 == 0
             first = self._fit(p[half], u[other], 0.5, flat=True)
@@ -164,7 +166,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.3,
     or empty text has the score of the empty text, a very long one is described
     whole. ``predicted``: 1 if score >= threshold. Label rows with a null id or
     without a document teach nothing; repeated label rows count once. Without a
-    trusted text every score is 0.5; an empty table has no rows. Null and repeated
+    trusted text every score is 0.5, with a single one the prior is; an empty table
+    has no rows. Null and repeated
     ids keep their rows; other columns are not read.
     """
     model = fit(docs, labels, sample)
