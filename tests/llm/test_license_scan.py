@@ -18,8 +18,7 @@ def brute(files, templates=L.TEMPLATES, threshold=L.THRESHOLD, all_declare=False
     """files: (doc_id, path, text) -> sorted (doc_id, path, licence, score, declared_in)."""
     lines = [line for _, _, t in files for line in (t or "").split("\n")]
     having = Counter(t for line in lines for t in set(terms(line)))
-    known = {t for _, x in templates for t in terms(x)}
-    idf = lambda t: math.log((1 + len(lines)) / (1 + (having[t] if t in known else 1))) + 1
+    idf = lambda t: math.log((1 + len(lines)) / (1 + having[t])) + 1
 
     def vector(text):
         v = {t: n * idf(t) for t, n in Counter(terms(text)).items()}
@@ -105,4 +104,5 @@ def test_common_words_beside_a_notice_weigh_what_they_weigh(spark):
     idf = lambda n: math.log((1 + len(files)) / (1 + n)) + 1
     known = len(terms(MIT)) * idf(2) ** 2
     assert got[1].license == "MIT" and abs(got[1].score - math.sqrt(known / (known + 12 * idf(3001) ** 2))) < 1e-8
+    assert [(i, "MIT" if i == 1 else None) for i in (1, 2)] == [r[:1] + r[2:3] for r in brute(files) if r[0] in (1, 2)]
     assert got[2].license is None and got[2].score == 0 and math.sqrt(known / (known + 12 * idf(1) ** 2)) < L.THRESHOLD

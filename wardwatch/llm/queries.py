@@ -178,10 +178,10 @@ ORACLES: dict[str, str] = {
         unit_terms AS (SELECT unit, uid, term, count(*) AS tf FROM (
             SELECT unit, uid, unnest(regexp_extract_all(x, '[a-z0-9]+')) AS term FROM units) GROUP BY unit, uid, term),
         n AS (SELECT count(*) AS n FROM lines),
-        idf AS (SELECT term, ln((1 + any_value(n.n)) / (1 + count(u.unit))) + 1 AS idf
-                FROM (SELECT DISTINCT term FROM template_terms) t CROSS JOIN n LEFT JOIN unit_terms u USING (term)
-                WHERE u.unit IS NULL OR u.unit > 0 GROUP BY term),
-        unit_weights AS (SELECT unit, uid, term, tf * coalesce(idf, (SELECT ln((1 + n) / 2) + 1 FROM n)) AS w FROM unit_terms LEFT JOIN idf USING (term)),
+        lines_with AS (SELECT term, count(*) AS held FROM unit_terms WHERE unit > 0 GROUP BY term),
+        idf AS (SELECT term, ln((1 + n) / (1 + coalesce(held, 0))) + 1 AS idf
+                FROM (SELECT term FROM template_terms UNION SELECT term FROM lines_with) LEFT JOIN lines_with USING (term) CROSS JOIN n),
+        unit_weights AS (SELECT unit, uid, term, tf * idf AS w FROM unit_terms JOIN idf USING (term)),
         template_weights AS (SELECT k, term, tf * idf AS w FROM template_terms JOIN idf USING (term)),
         cosines AS (
           SELECT uid, k, round(sum(u.w * t.w) / sqrt(any_value(nu.s) * any_value(nt.s)), 9) AS score
