@@ -16,8 +16,10 @@ is one Python call. A cell sends an anchor once, however many of its documents
 hold it, and gets one bit back; the same for windows, with the smallest id in
 the cell. So a passage that a third of all documents share costs one entry a
 cell, and no pairs are ever made. Anchors and windows meet in buckets whose
-number grows with the input. Texts are shuffled once; the three calls on a
-cell read the same exchange. Windows compare by 64 bits of hash beside the
+number grows with the input, and so do the partitions that cells and buckets
+are dealt into: a task holds some cells whatever the session's number of
+shuffle partitions. Texts are shuffled once; the three calls on a cell read
+the same exchange. Windows compare by 64 bits of hash beside the
 bits of the anchor's bucket; anchors by 32 bits beside their bucket, which can
 only send some windows to be compared in vain.
 """
@@ -29,12 +31,15 @@ from itertools import compress
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
+from .common import shuffle_partitions
+
 GRAM = 5                        # words of a gram
 CELL_BYTES = 4_000_000          # text of one cell
 BUCKET_BYTES = 8_000_000        # text whose anchors or windows meet in one bucket
+PART_BYTES = 64_000_000         # text whose cells or buckets share a partition, at most on average
 NO_ID = np.iinfo(np.int64).max  # a null id counts as the largest
 
 
@@ -47,7 +52,8 @@ def dedup_substrings(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
     doc_id never remove words of each other; a null doc_id counts as larger
     than any id (rows without ids do not remove from each other). A null or
     empty text has no words and an empty ``kept``; a text shorter than a window
-    is kept whole. Other columns are not read.
+    is kept whole; a very long text makes its cell as much larger. No rows give
+    no rows. Other columns are not read.
     """
     if window < GRAM:
         raise ValueError(f"window: at least {GRAM} words")
@@ -57,13 +63,20 @@ def dedup_substrings(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
     cell = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col), F.spark_partition_id()), F.lit(cells)).alias("cell")
     dealt = docs.select(cell, F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
+    some = shuffle_partitions(docs.sparkSession)
+    of_cells, of_buckets = (max(min(groups, some), size // PART_BYTES + 1) for groups in (cells, buckets))
+
+    def by_cell(df: DataFrame) -> GroupedData:
+        return df.repartition(of_cells, "cell").groupBy("cell")
+
+    def by_bucket(df: DataFrame) -> GroupedData:
+        return df.repartition(of_buckets, "bucket").groupBy("bucket")
+
     answer = "cell long, bucket long, seed boolean, bits binary"
-    seeds = (dealt.groupBy("cell").applyInArrow(_sender(window, buckets), "bucket long, cell long, data binary")
-             .groupBy("bucket").applyInArrow(_shared, answer))
-    repeats = (dealt.groupBy("cell").cogroup(seeds.groupBy("cell"))
-               .applyInArrow(_extender(window, buckets), "bucket long, cell long, data binary, ids binary")
-               .groupBy("bucket").applyInArrow(_earlier, answer))
-    return (dealt.groupBy("cell").cogroup(seeds.union(repeats).groupBy("cell"))
+    seeds = by_bucket(by_cell(dealt).applyInArrow(_sender(window, buckets), "bucket long, cell long, data binary")).applyInArrow(_shared, answer)
+    asked = by_cell(dealt).cogroup(by_cell(seeds)).applyInArrow(_extender(window, buckets), "bucket long, cell long, data binary, ids binary")
+    repeats = by_bucket(asked).applyInArrow(_earlier, answer)
+    return (by_cell(dealt).cogroup(by_cell(seeds.union(repeats)))
             .applyInArrow(_remover(window, buckets), "doc_id long, n_words long, n_removed long, kept string"))
 
 
