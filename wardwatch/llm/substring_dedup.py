@@ -60,21 +60,22 @@ def dedup_substrings(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
     size = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
     cells, buckets = size // cell_bytes + 1, size // bucket_bytes + 1
     # the partition in the hash spreads rows that are repeated as a whole
-    cell = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col), F.spark_partition_id()), F.lit(cells)).alias("cell")
+    cell = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col), F.spark_partition_id()), F.lit(cells)).cast("int").alias("cell")
     dealt = docs.select(cell, F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     some = shuffle_partitions(docs.sparkSession)
     of_cells, of_buckets = (max(min(groups, some), size // PART_BYTES + 1) for groups in (cells, buckets))
 
+    # by number, not by hash: every partition gets the same number of cells, give or take one
     def by_cell(df: DataFrame) -> GroupedData:
-        return df.repartition(of_cells, "cell").groupBy("cell")
+        return df.repartitionById(of_cells, F.col("cell")).groupBy("cell")
 
     def by_bucket(df: DataFrame) -> GroupedData:
-        return df.repartition(of_buckets, "bucket").groupBy("bucket")
+        return df.repartitionById(of_buckets, F.col("bucket")).groupBy("bucket")
 
-    answer = "cell long, bucket long, seed boolean, bits binary"
-    seeds = by_bucket(by_cell(dealt).applyInArrow(_sender(window, buckets), "bucket long, cell long, data binary")).applyInArrow(_shared, answer)
-    asked = by_cell(dealt).cogroup(by_cell(seeds)).applyInArrow(_extender(window, buckets), "bucket long, cell long, data binary, ids binary")
+    answer = "cell int, bucket int, seed boolean, bits binary"
+    seeds = by_bucket(by_cell(dealt).applyInArrow(_sender(window, buckets), "bucket int, cell int, data binary")).applyInArrow(_shared, answer)
+    asked = by_cell(dealt).cogroup(by_cell(seeds)).applyInArrow(_extender(window, buckets), "bucket int, cell int, data binary, ids binary")
     repeats = by_bucket(asked).applyInArrow(_earlier, answer)
     return (by_cell(dealt).cogroup(by_cell(seeds.union(repeats)))
             .applyInArrow(_remover(window, buckets), "doc_id long, n_words long, n_removed long, kept string"))
@@ -181,7 +182,7 @@ def _sender(window: int, buckets: int):
             out["bucket"].append(b)
             out["cell"].append(key[0].as_py())
             out["data"].append(sent[lo:hi].astype(np.uint32).tobytes())
-        return _table(out, bucket=pa.int64(), cell=pa.int64(), data=pa.binary())
+        return _table(out, bucket=pa.int32(), cell=pa.int32(), data=pa.binary())
     return send
 
 
@@ -208,7 +209,7 @@ def _answers(key: tuple, asked: pa.Table, parts: list[np.ndarray], flags: np.nda
             out["bucket"].append(key[0].as_py())
             out["seed"].append(seed)
             out["bits"].append(np.packbits(mine).tobytes())
-    return _table(out, cell=pa.int64(), bucket=pa.int64(), seed=pa.bool_(), bits=pa.binary())
+    return _table(out, cell=pa.int32(), bucket=pa.int32(), seed=pa.bool_(), bits=pa.binary())
 
 
 def _told(answers: pa.Table, seed: bool, bucket: np.ndarray) -> np.ndarray:
@@ -233,7 +234,7 @@ def _extender(window: int, buckets: int):
             out["cell"].append(key[0].as_py())
             out["data"].append(w.value[lo:hi].tobytes())
             out["ids"].append(w.first_id[lo:hi].tobytes())
-        return _table(out, bucket=pa.int64(), cell=pa.int64(), data=pa.binary(), ids=pa.binary())
+        return _table(out, bucket=pa.int32(), cell=pa.int32(), data=pa.binary(), ids=pa.binary())
     return extend
 
 
