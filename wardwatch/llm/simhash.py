@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import beside, cut
 from .components import connected_components
 
 BITS = 64
@@ -85,12 +85,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col
     smallest doc_id reachable over links, the own one included. A null or
     empty text has the fingerprint zero and links like any other. A null
     doc_id keeps its row and links, but is never a component_id (null if the
-    component has no other). Repeated rows stay. Other columns are not read.
+    component has no other). Repeated rows stay. A very long text is hashed a
+    bounded piece at a time. No rows give no rows. Other columns are not read.
     """
     fps = cut(fingerprints(docs, shingle, id_col, text_col))
-    placed = _rooted(fps, max_bits, task_fingerprints, F.min("doc_id").alias("first_id"))
-    roots = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = placed.join(roots, "root").select("fp", "component_id")
+    placed = cut(_rooted(fps, max_bits, task_fingerprints, F.min("doc_id").alias("first_id")))
+    tied = placed.where("linked")
+    roots = tied.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    named = (beside(tied, roots, ["root"], "fp").select("fp", "component_id")
+             .union(placed.where("not linked").select("fp", "first_id")))
     return fps.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
@@ -122,11 +125,11 @@ def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str =
 
 
 def _rooted(fps: DataFrame, max_bits: int, task_fingerprints: int, first: Column) -> DataFrame:
-    """The distinct fingerprints with the root of their component, and ``first`` aggregated for each."""
+    """The distinct fingerprints with the root of their component, whether they have links, and ``first`` aggregated for each."""
     nodes = fps.groupBy("fp").agg(first)
     linked = connected_components(hamming_links(nodes.select("fp"), max_bits, task_fingerprints))
     return nodes.join(linked, nodes.fp == linked.node, "left").select(
-        "fp", nodes.columns[-1], F.coalesce("component", "fp").alias("root"))
+        "fp", nodes.columns[-1], F.coalesce("component", "fp").alias("root"), F.col("component").isNotNull().alias("linked"))
 
 
 # --- the trie -----------------------------------------------------------------------------
