@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import beside, cut, drawn
 from .components import connected_components
 
 SAMPLE = 16_384
@@ -41,7 +41,6 @@ SUBSPACES = 8
 CODEWORDS = 64
 SLACK = 1e-6                # of a distance, for rounding
 BLOCK = 512                 # entries or queries of a block
-SPLIT = 1 << 20
 
 
 class Index:
@@ -113,7 +112,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, id_col: str = "
     own included; ``kept``: vec_id = component_id. A null vec_id keeps its row and
     links but names no component; its ``kept`` is false unless the row has no
     other id to fall back on (then component_id is null and kept is true).
-    Other columns are not read.
+    No rows give no rows. Other columns are not read.
     """
     x = F.col("vec")
     dtype = "<f4" if vectors.schema[vec_col].dataType.simpleString() == "array<float>" else "<f8"
@@ -138,11 +137,14 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, id_col: str = "
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
                            F.lit(True).alias("kept"))
     linked = connected_components(stars, "entry", "star").withColumnRenamed("node", "entry")
-    placed = (entries.join(counts, "entry", "left").join(linked, "entry", "left")
-              .select("label", "vec", "first_id", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-                      F.coalesce("component", "entry").alias("root")))
-    roots = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = placed.join(roots, "root").select(F.struct("label", "vec").alias("same"), "n_links", "component_id")
+    # ids only: the vectors meet the result once
+    placed = cut(entries.select("entry", "first_id", "copies").join(counts, "entry", "left").join(linked, "entry", "left")
+                 .select("entry", "first_id", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.col("component").alias("root")))
+    tied = placed.where("root is not null")
+    roots = tied.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    told = (beside(tied, roots, ["root"], "entry").select("entry", "n_links", "component_id")
+            .union(placed.where("root is null").select("entry", "n_links", "first_id")))
+    named = entries.select("entry", same.alias("same")).join(told, "entry").drop("entry")
     out = rows.withColumn("same", F.when(F.col("fit"), same)).join(named, "same", "left")
     mine = F.when(F.col("fit"), F.col("component_id")).otherwise(F.col("vec_id"))
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), mine.alias("component_id"),
@@ -155,8 +157,7 @@ def _links(entries: DataFrame, dim: int, n: int, threshold: float, block: int, d
     Vectors travel as they came, as ``dtype``; all arithmetic is in double precision.
     """
     share = min(1.0, SAMPLE / n)
-    drawn = F.pmod(F.xxhash64("entry"), F.lit(SPLIT)) < int(share * SPLIT) + 1
-    sample = _unit(np.array([r[0] for r in entries.where(drawn).select("vec").collect()] or [np.ones(dim)], float).reshape(-1, dim))
+    sample = _unit(np.array([r[0] for r in entries.where(drawn("entry", share)).select("vec").collect()] or [np.ones(dim)], float).reshape(-1, dim))
     index = Index(sample, int(np.clip(np.sqrt(n) / 4, 1, MAX_LISTS)), threshold)
 
     def place(batches):
@@ -183,10 +184,10 @@ def _links(entries: DataFrame, dim: int, n: int, threshold: float, block: int, d
     asking = queries.groupBy("label", "list").agg(F.count("*").alias("askers"))
     shape = members.join(asking, ["label", "list"]).select("label", "list", split("members").alias("blocks"), split("askers").alias("rounds"))
     part = lambda n: F.pmod(F.xxhash64("entry"), F.col(n)).cast("int")
-    left = (placed.withColumnRenamed("home", "list").join(shape, ["label", "list"])
+    left = (beside(placed.withColumnRenamed("home", "list"), shape, ["label", "list"], "entry")
             .select("label", "list", part("blocks").alias("b"), F.explode(F.sequence(F.lit(0), F.col("rounds") - 1)).alias("q"),
                     "entry", "copies", "raw", "code", "error", "probes"))
-    right = (queries.join(shape, ["label", "list"])
+    right = (beside(queries, shape, ["label", "list"], "entry")
              .select("label", "list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("b"), part("rounds").alias("q"),
                      "entry", "copies", "raw", "home"))
     right = right.toDF(*right.columns)      # columns of its own: both sides come from one table
