@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, shuffle_partitions
+from .common import ascii_lower, drawn, shuffle_partitions
 
 SAMPLES_PER_RANGE = 30
 SWEPT = "uid long, page_id long, host string, path string, rule string, verdict string, size int, host_size int"
@@ -64,7 +64,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow",
     and path without the path's first slash (``example.net/en/``), null if none
     fits; then the verdict is ``default``. Longest: host and path together,
     then the host. Two rules of the same host and path: the later verdict in
-    text order (block over allow). Rules with a null are ignored. A null url,
+    text order (block over allow). Rules with a null are ignored. No pages give
+    no rows. A null url,
     or one without ``://``, has an empty host and path, which no rule fits. Null
     and repeated ids keep their rows. Other columns are not read.
     """
@@ -86,7 +87,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow",
 
     total = one.count()
     share = min(1.0, SAMPLES_PER_RANGE * n / max(total, 1))
-    sample = swept.where(F.pmod(F.xxhash64("at"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).select("at")
+    sample = swept.where(drawn("at", share)).select("at")
     points = sorted(r[0] for r in sample.collect())
     bounds = sorted({points[len(points) * i // n] for i in range(1, n)}) if points else []
 
