@@ -1,4 +1,4 @@
-"""Substring dedup: repeated passages found by winnowed anchors, extended, and removed from later documents.
+"""Substring dedup: repeated passages found by winnowed anchors and removed from later documents.
 
 A window is ``window`` consecutive words of one document; a word goes if a
 window over it also starts in a document with a smaller id. What is left of
@@ -7,8 +7,9 @@ touching windows are the maximal repeats of at least ``window`` words.
 * Seed. Every window has an anchor: the smallest hash among its 5-word grams
   (winnowing), so equal windows have equal anchors. Documents are joined on
   anchors: an anchor that only one document has cannot belong to a repeat.
-* Extend. Around a shared anchor, all windows that it anchors, to its left and
-  to its right, are compared: the smallest id that has the same window decides.
+* Compare, in place of an extension word by word. Around a shared anchor, all
+  windows that it anchors, to its left and to its right, are compared: the
+  smallest id that has the same window decides.
 * Keep. Words covered by no repeated window are kept.
 
 Scale. Documents are dealt into cells of a few MB by a hash of the row; a cell
@@ -245,7 +246,9 @@ class _Windows:
         sent, shared, inverse = cell.anchors()
         shared = shared | _told(seeds, True, cell.bucket(sent))
         pick = np.flatnonzero(shared[inverse])
-        bucket, value, ids = cell.bucket(cell.anchor[pick]), cell.value[pick], cell.doc[pick]
+        value, ids = cell.value[pick], cell.doc[pick]
+        # both count: at the edge of a common passage one anchor has as many windows as documents
+        bucket = cell.bucket((cell.anchor[pick] >> np.uint64(1)) + (value >> np.uint64(1)))
         order = np.lexsort((ids, value, bucket))
         self.at, bucket, value, ids = cell.at[pick][order], bucket[order], value[order], ids[order]
         new = np.ones(len(order), bool)
