@@ -1,6 +1,7 @@
 """Best paths against brute force and the sentencepiece library; round trips."""
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -106,3 +107,50 @@ def test_query_on_whole_small_table(spark, codec):
     for r in rows:
         assert r.decoded_sha256 == hashlib.sha256(docs[r.doc_id].encode()).hexdigest() and r.n_ids == len(r.ids)
         assert r.ids == ids_of(codec.encode([docs[r.doc_id]])[0])
+
+
+def test_words_are_searched_once_also_by_later_tasks(codec, monkeypatch):
+    searched = []
+    monkeypatch.setattr(C.Codec, "_paths", lambda self, words, paths=C.Codec._paths: searched.extend(words) or paths(self, words))
+    monkeypatch.setattr(C, "BYTES_AT_ONCE", 30)
+    for _ in range(2):      # two tasks of one worker
+        batch = pa.record_batch({"doc_id": [1, 2, 3, None], "text": ["one two one", None, "two three " * 9, "one"]})
+        mine = C._codec(PATH, "this")
+        for _, texts in C._some(batch):
+            ends, ids = mine.encode_all(texts)
+            assert mine.decode_all(ends, ids) == texts
+    assert sorted(searched) == sorted(C.SPACE + w for w in ["", "one", "two", "three"])
+    assert len(C._codec(PATH, "next").words) == 0
+
+
+def test_batches_hold_bounded_bytes_and_all_rows(monkeypatch):
+    monkeypatch.setattr(C, "BYTES_AT_ONCE", 10)
+    texts = ["a" * 4, None, "b" * 6, "c" * 25, "", "é" * 5, "d"]
+    got = list(C._some(pa.record_batch({"doc_id": pa.array(range(7), pa.int32()), "text": texts})))
+    assert [t for _, some in got for t in some] == [t or "" for t in texts]
+    assert [k for keys, _ in got for k in keys.to_pylist()] == list(range(7))
+    assert all(len(some) == 1 or sum(len(t.encode()) for t in some) <= 10 for _, some in got) and len(got) == 4
+    assert list(C._some(pa.record_batch({"doc_id": pa.array([], pa.int64()), "text": pa.array([], pa.string())}))) == []
+
+
+@pytest.mark.parametrize("most, longest", [(0, 64), (60, 64), (300, 8), (10 ** 6, 0)])
+def test_known_words_are_bounded_and_change_no_ids(codec, pieces, monkeypatch, most, longest):
+    monkeypatch.setattr(C, "CACHE_BYTES", most)
+    monkeypatch.setattr(C, "LONGEST_KNOWN", longest)
+    mine = C.Codec(pieces)
+    for start in range(0, len(TEXTS), 2):
+        for texts in (TEXTS[start:start + 2], TEXTS[start:start + 3]):
+            assert mine.encode(texts) == codec.encode(texts)
+            assert mine.words.nbytes + mine.paths.nbytes <= most
+            assert all(len(w.encode()) <= longest for w in mine.words.to_pylist())
+
+
+def test_workers_need_no_installed_package(codec, tmp_path):
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+    (tmp_path / "task").write_bytes(cloudpickle.dumps(lambda: C._codec(PATH, "this").encode(TEXTS)))
+    code = "import pickle; print(pickle.load(open('task', 'rb'))())"
+    out = subprocess.run([sys.executable, "-I", "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=100)
+    assert out.stdout.strip() == str(codec.encode(TEXTS)), out.stderr
