@@ -15,16 +15,13 @@ piece is used on whole texts.
 
 Scale: a narrow map over the documents; a task holds some texts of bounded
 size together, or one longer text, and the known words' paths, also of bounded
-size. A Python worker keeps them for its next tasks of the same query.
+size.
 """
 
 from __future__ import annotations
 
-import sys
-import types
 from collections.abc import Iterator
 from itertools import chain
-from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +31,7 @@ from pyspark.sql import functions as F
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
-CACHE_BYTES = 64_000_000    # known words and their paths
+CACHE_BYTES = 32_000_000    # known words and their paths
 LONGEST_KNOWN = 64          # bytes of a word that is kept
 WORDS_AT_ONCE = 20_000      # searched in one pass
 BYTES_AT_ONCE = 4_000_000   # of texts, or one text
@@ -216,14 +213,6 @@ class Codec:
         return text[1:] if text[:1] == " " else text
 
 
-def _codec(path: str, query: str) -> Codec:
-    """This worker process's codec: it serves many tasks of one query, and keeps the words that they met."""
-    home = sys.modules.setdefault("_wardwatch_codec", types.ModuleType("_wardwatch_codec"))
-    if home.__dict__.get("of") != (path, query):
-        home.__dict__.update(codec=Codec.from_file(path), of=(path, query))
-    return home.__dict__["codec"]
-
-
 def _some(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, list[str]]]:
     """(ids, texts) of consecutive rows with ``BYTES_AT_ONCE`` of texts at most, or one longer text."""
     before = np.cumsum([0, *pc.binary_length(batch.column(1)).fill_null(0).to_pylist()])
@@ -241,10 +230,8 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
     A null or empty text has no ids. Null and repeated ids keep their rows.
     Other columns are not read. ``model_path`` must be readable on every executor.
     """
-    query = uuid4().hex
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(model_path, query)
+        codec = Codec.from_file(model_path)
         for keys, texts in chain.from_iterable(map(_some, batches)):
             yield pa.record_batch([keys, _lists(*codec.encode_all(texts))], names=["doc_id", "ids"])
 
@@ -256,10 +243,8 @@ def decode_documents(encoded: DataFrame, model_path: str, id_col: str = "doc_id"
 
     Gives back the text that was encoded, but for U+2581, which comes back as a space.
     """
-    query = uuid4().hex
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(model_path, query)
+        codec = Codec.from_file(model_path)
         for batch in batches:
             for at in range(0, batch.num_rows, LISTS_AT_ONCE):
                 some = batch.slice(at, LISTS_AT_ONCE)
@@ -272,10 +257,8 @@ def decode_documents(encoded: DataFrame, model_path: str, id_col: str = "doc_id"
 
 def encode_and_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids, decoded): :func:`encode_documents`, and what its ids decode to, in one pass."""
-    query = uuid4().hex
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(model_path, query)
+        codec = Codec.from_file(model_path)
         for keys, texts in chain.from_iterable(map(_some, batches)):
             ends, ids = codec.encode_all(texts)
             yield pa.record_batch([keys, _lists(ends, ids), pa.array(codec.decode_all(ends, ids), pa.string())],
